@@ -46,13 +46,13 @@ class FeatureParams:
 
     precision: int = NUMERIC_PRECISION
     window_size: int = HISTORY_WINDOW_SIZE
-    block_minutes: int = 1024
+    block_minutes: int | None = None  # None: sized from the spine (pipeline.block_size)
     max_lookback: int = 30
     history_minutes: int = HISTORY_PRELOAD_MINUTES
     history_days: int | None = None  # None: unlimited day look-back (full recompute)
 
     def __post_init__(self):
-        if self.block_minutes <= self.max_lookback:
+        if self.block_minutes is not None and self.block_minutes <= self.max_lookback:
             raise ValueError("block_minutes must exceed max_lookback")
         if self.window_size <= 0 or self.precision < 0:
             raise ValueError("window_size must be positive and precision non-negative")

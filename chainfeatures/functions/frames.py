@@ -1,46 +1,57 @@
-"""Positional frames over the global minute queue.
+"""Positional frames over the global minute queue, as Spark SQL window text.
 
 ``minute_seq`` numbers the valid minutes 1, 2, 3, ... in time order, so "k
 minutes ago" is the row whose ``minute_seq`` is exactly ``s - k`` (absent ->
 null; no fallback to an older row).  Every look-back in the engine is one of
-three range frames over ``minute_seq``:
+three range frames over ``minute_seq``, within a partition (a key and its time
+block):
 
-* ``lag_at(x, w, k)``  -- the value exactly k positions back   (range -k..-k)
-* ``history(w, n)``    -- the n earlier positions              (range -n..-1)
-* ``with_current(w, n)`` -- the n earlier positions and now    (range -n..0)
+* ``lag(x, k)``          -- the value exactly k positions back  (k PRECEDING .. k PRECEDING)
+* ``hist(agg, x, n)``    -- over the n earlier positions         (n PRECEDING .. 1 PRECEDING)
+* ``cur(agg, x, n)``     -- over the n earlier positions and now (n PRECEDING .. CURRENT ROW)
 
 The warm-up gate is global: a look-back of n needs n earlier minutes in the
-queue, whether or not the key had rows in them.
+queue, whether or not the key had rows in them (``gate``).
+
+Features are written as SQL expression text and turned into Columns with one
+``F.expr`` each: Catalyst sees the same plan as with the Column API, and plan
+construction stays cheap for ~100 windowed expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
-from pyspark.sql import functions as F
-
 SEQ = "minute_seq"
 
 
-def lag_at(x: Column, w: WindowSpec, k: int) -> Column:
-    return F.max(x).over(w.rangeBetween(-k, -k))
+class Frames:
+    """Window text for one partitioning (e.g. ``expirDate, block``)."""
 
+    def __init__(self, *partition: str):
+        self.partition = ", ".join(f"`{p}`" for p in partition)
+        self.spec = f"PARTITION BY {self.partition} ORDER BY {SEQ}"
 
-def history(w: WindowSpec, n: int) -> WindowSpec:
-    return w.rangeBetween(-n, -1)
+    def over(self, lo: str, hi: str) -> str:
+        return f"OVER ({self.spec} RANGE BETWEEN {lo} AND {hi})"
 
+    def lag(self, x: str, k: int) -> str:
+        return f"max({x}) {self.over(f'{k} PRECEDING', f'{k} PRECEDING')}"
 
-def with_current(w: WindowSpec, n: int) -> WindowSpec:
-    return w.rangeBetween(-n, 0)
+    def hist(self, agg: str, x: str, n: int) -> str:
+        return f"{agg}({x}) {self.over(f'{n} PRECEDING', '1 PRECEDING')}"
 
+    def cur(self, agg: str, x: str, n: int) -> str:
+        return f"{agg}({x}) {self.over(f'{n} PRECEDING', 'CURRENT ROW')}"
 
-def available(window_size: int) -> Column:
-    """Queue size before the current minute is appended (capacity-limited)."""
-    return F.least(F.col(SEQ) - 1, F.lit(window_size))
+    def span(self, agg: str, x: str, lo: int, hi: int = 0) -> str:
+        """Positions s-lo .. s-hi."""
+        end = "CURRENT ROW" if hi == 0 else f"{hi} PRECEDING"
+        return f"{agg}({x}) {self.over(f'{lo} PRECEDING', end)}"
 
 
-def gate(n: int, window_size: int) -> Column:
-    return available(window_size) >= F.lit(n)
+def available(window_size: int) -> str:
+    """Queue size before the current minute is appended (capacity-limited)."""
+    return f"least({SEQ} - 1, {int(window_size)})"
 
 
-def ordered(*partition_cols: str) -> WindowSpec:
-    return Window.partitionBy(*partition_cols).orderBy(SEQ)
+def gate(n: int, window_size: int) -> str:
+    return f"({available(window_size)} >= {int(n)})"

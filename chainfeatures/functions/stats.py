@@ -1,39 +1,37 @@
-"""Rolling statistics built from window aggregates only."""
+"""Rolling statistics as SQL expression text (window aggregates only)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
-from pyspark.sql import functions as F
-
 from chainfeatures.config import STD_FLOOR
-from chainfeatures.functions import frames
+from chainfeatures.functions.frames import Frames
+
+FLOOR = repr(STD_FLOOR)
 
 
-def zscore_with_current(x: Column, w: WindowSpec, n: int, ok: Column) -> Column:
+def zscore_with_current(x: str, fr: Frames, n: int, ok: str) -> str:
     """z of x against the non-missing values of the n earlier minutes plus now.
 
     Sample std; null if x is missing, fewer than 2 values, or std < 1e-6.
     """
-    f = frames.with_current(w, n)
-    mean, std, cnt = F.avg(x).over(f), F.stddev_samp(x).over(f), F.count(x).over(f)
-    return F.when(ok & x.isNotNull() & (cnt >= 2) & (std >= F.lit(STD_FLOOR)), (x - mean) / std)
+    mean, std, cnt = fr.cur("avg", x, n), fr.cur("stddev_samp", x, n), fr.cur("count", x, n)
+    return (f"CASE WHEN {ok} AND {x} IS NOT NULL AND {cnt} >= 2 AND {std} >= {FLOOR} "
+            f"THEN ({x} - {mean}) / {std} END")
 
 
-def zscore_history(x: Column, w: WindowSpec, n: int, ok: Column) -> Column:
+def zscore_history(x: str, fr: Frames, n: int, ok: str) -> str:
     """z of x against the n earlier minutes only; needs std > 1e-6."""
-    f = frames.history(w, n)
-    mean, std = F.avg(x).over(f), F.stddev_samp(x).over(f)
-    return F.when(ok & (std > F.lit(STD_FLOOR)), (x - mean) / std)
+    mean, std = fr.hist("avg", x, n), fr.hist("stddev_samp", x, n)
+    return f"CASE WHEN {ok} AND {std} > {FLOOR} THEN ({x} - {mean}) / {std} END"
 
 
-def log_return(now: Column, then: Column) -> Column:
+def log_return(now: str, then: str) -> str:
     """ln(now/then) when both are positive, else null."""
-    return F.when((now > 0) & (then > 0), F.log(now / then))
+    return f"CASE WHEN {now} > 0 AND {then} > 0 THEN ln({now} / {then}) END"
 
 
-def ema_fold(points: Column, span: int) -> Column:
-    """Exponential mean with ``span``, no adjustment, over an array of
-    ``struct(minute_seq, v)`` sorted by time, seeded with its first element.
+def ema_fold(points: str, span: int) -> str:
+    """Exponential mean with ``span``, no adjustment, over a time-sorted array
+    of ``struct(s, v)``, seeded with its first element.
 
     Missing values follow the recursive definition: the weight of the running
     mean keeps decaying across a gap and is reset when a value arrives; before
@@ -41,22 +39,11 @@ def ema_fold(points: Column, span: int) -> Column:
     """
     com = (span - 1) / 2.0
     alpha = 1.0 / (1.0 + com)
-    decay = 1.0 - alpha
-    pts = F.array_sort(points)
-    a, d = F.lit(alpha), F.lit(decay)
-
-    def step(acc, p):
-        x = p["v"]
-        m, wt = acc["m"], acc["w"]
-        wt_dec = F.when(m.isNotNull(), wt * d).otherwise(wt)
-        new_m = (F.when(m.isNull(), x)
-                 .when(x.isNull(), m)
-                 .when(m != x, (wt_dec * m + a * x) / (wt_dec + a))
-                 .otherwise(m))
-        new_w = F.when(m.isNotNull() & x.isNotNull(), F.lit(1.0)).otherwise(wt_dec)
-        return F.struct(new_m.alias("m"), new_w.alias("w"))
-
-    first = F.element_at(pts, 1)["v"]
-    init = F.struct(first.cast("double").alias("m"), F.lit(1.0).alias("w"))
-    rest = F.slice(pts, 2, F.greatest(F.size(pts) - 1, F.lit(0)))
-    return F.aggregate(rest, init, step, lambda acc: acc["m"])
+    a, d = f"CAST('{alpha!r}' AS DOUBLE)", f"CAST('{1.0 - alpha!r}' AS DOUBLE)"
+    wd = f"(CASE WHEN acc.m IS NOT NULL THEN acc.w * {d} ELSE acc.w END)"
+    m = (f"CASE WHEN acc.m IS NULL THEN p.v WHEN p.v IS NULL THEN acc.m "
+         f"WHEN acc.m != p.v THEN ({wd} * acc.m + {a} * p.v) / ({wd} + {a}) ELSE acc.m END")
+    w = f"CASE WHEN acc.m IS NOT NULL AND p.v IS NOT NULL THEN 1.0D ELSE {wd} END"
+    return (f"aggregate(slice({points}, 2, greatest(size({points}) - 1, 0)), "
+            f"named_struct('m', CAST(try_element_at({points}, 1).v AS DOUBLE), 'w', 1.0D), "
+            f"(acc, p) -> named_struct('m', {m}, 'w', {w}), acc -> acc.m)")

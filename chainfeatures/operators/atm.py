@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from chainfeatures.functions import frames
 from chainfeatures.functions.stats import zscore_with_current
 from chainfeatures.operators.nodes import atm_pick
 from chainfeatures.plans.registry import Context, FeatureSection
@@ -27,19 +24,18 @@ class AtmSection(FeatureSection):
         return {"_atm": atm_pick(_VALUES)}
 
     def columns(self, ctx: Context):
-        w = ctx.node_window
+        fr = ctx.node
         out = {}
 
         def change(v, k):
-            return F.when(ctx.gate(k) & v.isNotNull(), v - frames.lag_at(v, w, k))
+            return f"CASE WHEN {ctx.gate(k)} AND {v} IS NOT NULL THEN {v} - {fr.lag(v, k)} END"
 
-        iv, sp, gm = (F.col("_atm")[a] for a in ("iv", "sp", "gm"))
         for k in (1, 5, 15):
-            out[f"ATM_CallIVChange_L{k}"] = change(iv, k)
+            out[f"ATM_CallIVChange_L{k}"] = change("_atm.iv", k)
         for n in (5, 15, 30):
-            out[f"ATM_CallIVZ_{n}"] = zscore_with_current(iv, w, n, ctx.gate(n))
+            out[f"ATM_CallIVZ_{n}"] = zscore_with_current("_atm.iv", fr, n, ctx.gate(n))
         for k in (1, 5, 15):
-            out[f"ATM_CallSpreadPctChange_L{k}"] = change(sp, k)
+            out[f"ATM_CallSpreadPctChange_L{k}"] = change("_atm.sp", k)
         for k in (1, 5, 15):
-            out[f"ATM_CallGammaChange_L{k}"] = change(gm, k)
+            out[f"ATM_CallGammaChange_L{k}"] = change("_atm.gm", k)
         return {name: out[name] for name in self.feature_names}

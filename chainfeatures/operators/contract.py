@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from chainfeatures.functions import frames
 from chainfeatures.functions.stats import log_return, zscore_history
 from chainfeatures.plans.registry import Context, FeatureSection
 
@@ -24,19 +21,19 @@ class ContractSection(FeatureSection):
     feature_names = _names("Call") + _names("Put")
 
     def columns(self, ctx: Context):
-        w = ctx.contract_window
+        fr = ctx.contract
         out = {}
         for leg in LEGS:
-            mid, iv, sp = F.col(f"{leg}Mid"), F.col(f"{leg}IVMid"), F.col(f"{leg}SpreadPct")
-            vol = F.col(f"{leg.lower()}Volume").cast("double")
+            mid, iv, sp = f"{leg}Mid", f"{leg}IVMid", f"{leg}SpreadPct"
+            vol = f"CAST({leg.lower()}Volume AS DOUBLE)"
             for k in (1, 2, 3):
-                out[f"{leg}MidReturn_L{k}"] = F.when(ctx.gate(k), log_return(mid, frames.lag_at(mid, w, k)))
+                out[f"{leg}MidReturn_L{k}"] = f"CASE WHEN {ctx.gate(k)} THEN {log_return(mid, fr.lag(mid, k))} END"
             for n in (3, 5):
-                out[f"{leg}MidZ_{n}"] = zscore_history(mid, w, n, ctx.gate(n))
-            out[f"{leg}IVChange_L1"] = F.when(ctx.gate(1), iv - frames.lag_at(iv, w, 1))
+                out[f"{leg}MidZ_{n}"] = zscore_history(mid, fr, n, ctx.gate(n))
+            out[f"{leg}IVChange_L1"] = f"CASE WHEN {ctx.gate(1)} THEN {iv} - {fr.lag(iv, 1)} END"
             for n in (3, 5):
-                out[f"{leg}IVZ_{n}"] = zscore_history(iv, w, n, ctx.gate(n))
+                out[f"{leg}IVZ_{n}"] = zscore_history(iv, fr, n, ctx.gate(n))
             for n in (3, 5):
-                out[f"{leg}VolumeZ_{n}"] = zscore_history(vol, w, n, ctx.gate(n))
-            out[f"{leg}SpreadPctChange_L1"] = F.when(ctx.gate(1), sp - frames.lag_at(sp, w, 1))
+                out[f"{leg}VolumeZ_{n}"] = zscore_history(vol, fr, n, ctx.gate(n))
+            out[f"{leg}SpreadPctChange_L1"] = f"CASE WHEN {ctx.gate(1)} THEN {sp} - {fr.lag(sp, 1)} END"
         return out

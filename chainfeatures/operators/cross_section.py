@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from chainfeatures.functions import frames
 from chainfeatures.plans.registry import Context, FeatureSection
 
 _PCT = (("IVPercentile", "IVPercentile_Expiry"),
@@ -24,23 +21,20 @@ class CrossSection(FeatureSection):
     )
 
     def node_aggs(self, ctx: Context):
-        return {"_call_volume_total": F.sum(F.col("callVolume").cast("double"))}
+        return {"_call_volume_total": "sum(CAST(callVolume AS DOUBLE))"}
 
     def row_inputs(self, ctx: Context):
         # Unrounded share of the expiry's call volume in this minute; null when
         # the expiry total is not positive or the row's own volume is missing.
-        tot = F.col("_call_volume_total")
-        return {"_share": F.when(tot > 0, F.col("callVolume").cast("double") / tot)}
+        return {"_share": "CASE WHEN _call_volume_total > 0 THEN CAST(callVolume AS DOUBLE) / _call_volume_total END"}
 
     def columns(self, ctx: Context):
-        w = ctx.contract_window
+        fr = ctx.contract
         out = {}
         for prefix, col in _PCT:
-            x = F.col(col)
             for k in (5, 15):
-                out[f"{prefix}_Change_L{k}"] = F.when(ctx.gate(k), x - frames.lag_at(x, w, k))
-        share = F.col("_share")
-        out["VolumeShare_Expiry"] = share
+                out[f"{prefix}_Change_L{k}"] = f"CASE WHEN {ctx.gate(k)} THEN {col} - {fr.lag(col, k)} END"
+        out["VolumeShare_Expiry"] = "_share"
         for n in (15, 30):
-            out[f"VolumeShare_ExpirySMA_{n}"] = F.when(ctx.gate(n), F.avg(share).over(frames.with_current(w, n)))
+            out[f"VolumeShare_ExpirySMA_{n}"] = f"CASE WHEN {ctx.gate(n)} THEN {fr.cur('avg', '_share', n)} END"
         return out

@@ -7,21 +7,16 @@ panel.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-DIST = F.col("distance_to_atm")
-STRIKE = F.col("strike")
-
-
-def atm_pick(values: dict[str, str]) -> Column:
+def atm_pick(values: dict[str, str]) -> str:
     """Values of the row with the smallest |distance_to_atm| (null distances
     ignored); ties go to the lowest strike, i.e. the first row of a
     strike-sorted file.  The picked value may itself be null."""
-    order = F.when(DIST.isNotNull(), F.struct(F.abs(DIST).alias("d"), STRIKE.alias("k")))
-    return F.min_by(F.struct(*[F.col(c).alias(a) for a, c in values.items()]), order)
+    fields = ", ".join(f"'{a}', `{c}`" for a, c in values.items())
+    return (f"min_by(named_struct({fields}), CASE WHEN distance_to_atm IS NOT NULL "
+            f"THEN named_struct('d', abs(distance_to_atm), 'k', strike) END)")
 
 
-def offset_pick(column: str, offset: int) -> Column:
+def offset_pick(column: str, offset: int) -> str:
     """Value at ``distance_to_atm == offset`` (lowest strike if repeated); null if absent."""
-    return F.min_by(F.col(column), F.when(DIST == F.lit(offset), STRIKE))
+    return f"min_by(`{column}`, CASE WHEN distance_to_atm = {offset} THEN strike END)"

@@ -6,10 +6,7 @@ no features at all; its spread z-score is null then too.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from chainfeatures.config import OFFSETS
-from chainfeatures.functions import frames
 from chainfeatures.functions.stats import zscore_with_current
 from chainfeatures.operators.nodes import offset_pick
 from chainfeatures.plans.registry import Context, FeatureSection
@@ -38,17 +35,20 @@ class OffsetSection(FeatureSection):
         return aggs
 
     def columns(self, ctx: Context):
-        w = ctx.node_window
-        atm_iv = F.col(f"_iv_{_tag(0)}")
+        fr = ctx.node
+        atm_iv = f"_iv_{_tag(0)}"
         out = {}
         for o in OFFSETS:
-            iv, sp = F.col(f"_iv_{_tag(o)}"), F.col(f"_sp_{_tag(o)}")
-            present = iv.isNotNull()
+            iv, sp = f"_iv_{_tag(o)}", f"_sp_{_tag(o)}"
+
+            def present(e):
+                return f"CASE WHEN {iv} IS NOT NULL THEN {e} END"
+
             for k in (1, 5):
-                out[f"IV_offsetChange_{o}_L{k}"] = F.when(present & ctx.gate(k), iv - frames.lag_at(iv, w, k))
+                out[f"IV_offsetChange_{o}_L{k}"] = present(f"CASE WHEN {ctx.gate(k)} THEN {iv} - {fr.lag(iv, k)} END")
             for n in (5, 15):
-                out[f"IV_offsetZ_{o}_{n}"] = F.when(present, zscore_with_current(iv, w, n, ctx.gate(n)))
-            out[f"IV_SkewToATM_{o}"] = F.when(present, iv - atm_iv)
+                out[f"IV_offsetZ_{o}_{n}"] = present(zscore_with_current(iv, fr, n, ctx.gate(n)))
+            out[f"IV_SkewToATM_{o}"] = present(f"{iv} - {atm_iv}")
             for n in (5, 15):
-                out[f"SpreadPct_offsetZ_{o}_{n}"] = F.when(present, zscore_with_current(sp, w, n, ctx.gate(n)))
+                out[f"SpreadPct_offsetZ_{o}_{n}"] = present(zscore_with_current(sp, fr, n, ctx.gate(n)))
         return out

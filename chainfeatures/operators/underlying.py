@@ -5,14 +5,12 @@ Computed on the minute spine (one row per minute), then joined to the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from chainfeatures.functions import frames
+from chainfeatures.functions.frames import SEQ
 from chainfeatures.functions.numsum import numpy_sum
 from chainfeatures.functions.stats import ema_fold, log_return
 from chainfeatures.plans.registry import Context, FeatureSection
 
-P = F.col("stockPrice")
+P = "stockPrice"
 
 
 class UnderlyingSection(FeatureSection):
@@ -30,42 +28,40 @@ class UnderlyingSection(FeatureSection):
     def row_inputs(self, ctx: Context):
         # One price step per minute: (previous, current).  A step with a
         # non-positive price is skipped; a used step with a missing price
-        # poisons the volatility.
-        w = ctx.minute_window
-        prev = frames.lag_at(P, w, 1)
-        skip = F.coalesce(prev <= 0, F.lit(False)) | F.coalesce(P <= 0, F.lit(False))
-        lr = F.log(P / prev)
-        return {
-            "_step_used": (~skip).cast("int"),
-            "_step_sq": F.when(~skip, lr * lr),
-            "_step_bad": (~skip & (P.isNull() | prev.isNull())).cast("int"),
+        # poisons the volatility.  Plus the time-sorted price windows.
+        fr = ctx.minute
+        prev = fr.lag(P, 1)
+        skip = f"(coalesce({prev} <= 0, false) OR coalesce({P} <= 0, false))"
+        out = {
+            "_step_used": f"CASE WHEN {skip} THEN 0 ELSE 1 END",
+            "_step_sq": f"CASE WHEN NOT {skip} THEN ln({P} / {prev}) * ln({P} / {prev}) END",
+            "_step_bad": f"CASE WHEN NOT {skip} AND ({P} IS NULL OR {prev} IS NULL) THEN 1 ELSE 0 END",
         }
+        for n in (5, 15, 30):
+            pt = f"named_struct('s', {SEQ}, 'v', {P})"
+            out[f"_pts{n}"] = f"array_sort({fr.cur('collect_list', pt, n)})"
+        return out
 
     def columns(self, ctx: Context):
-        w = ctx.minute_window
+        fr = ctx.minute
         out = {}
 
         def ret(k):
-            return F.when(ctx.gate(k), log_return(P, frames.lag_at(P, w, k)))
+            return f"CASE WHEN {ctx.gate(k)} THEN {log_return(P, fr.lag(P, k))} END"
 
         for k in (1, 5, 15):
             out[f"UnderlyingReturn_L{k}"] = ret(k)
         for k in (5, 15, 30):
             out[f"UnderlyingCumReturn_{k}"] = ret(k)
-        pts = {n: F.array_sort(F.collect_list(F.struct(F.col(frames.SEQ).alias("s"), P.alias("v"))).over(
-            frames.with_current(w, n))) for n in (5, 15, 30)}
         for n in (5, 15, 30):
             # mean of the n+1 prices, summed in NumPy's order (bit-identical
             # means); any missing price -> null
-            f = frames.with_current(w, n)
-            total = numpy_sum([F.element_at(pts[n], i + 1)["v"] for i in range(n + 1)],
-                              lambda a, b: a + b, F.lit(0.0))
-            out[f"UnderlyingSMA_{n}"] = F.when(ctx.gate(n) & (F.count(P).over(f) == n + 1), total / F.lit(n + 1))
+            total = numpy_sum([f"get(_pts{n}, {i}).v" for i in range(n + 1)], lambda a, b: f"({a} + {b})", "0.0D")
+            out[f"UnderlyingSMA_{n}"] = (f"CASE WHEN {ctx.gate(n)} AND {fr.cur('count', P, n)} = {n + 1} "
+                                         f"THEN {total} / {n + 1} END")
         for n in (5, 15, 30):
-            out[f"UnderlyingEMA_{n}"] = F.when(ctx.gate(n), ema_fold(pts[n], n))
+            out[f"UnderlyingEMA_{n}"] = f"CASE WHEN {ctx.gate(n)} THEN {ema_fold(f'_pts{n}', n)} END"
         for n in (5, 15, 30):
-            f = w.rangeBetween(-(n - 1), 0)  # the n steps ending now
-            out[f"UnderlyingVol_{n}"] = F.when(
-                ctx.gate(n) & (F.sum("_step_bad").over(f) == 0) & (F.sum("_step_used").over(f) > 0),
-                F.sqrt(F.sum("_step_sq").over(f)))
+            used, bad, sq = (fr.span("sum", c, n - 1) for c in ("_step_used", "_step_bad", "_step_sq"))
+            out[f"UnderlyingVol_{n}"] = f"CASE WHEN {ctx.gate(n)} AND {bad} = 0 AND {used} > 0 THEN sqrt({sq}) END"
         return out

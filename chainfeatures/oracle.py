@@ -108,7 +108,7 @@ def _tag(o: int) -> str:
 
 # -- per-family SQL ------------------------------------------------------------------
 
-def contract_sql(features=None) -> str:
+def contract_sql(features=None, raw: bool = False):
     legs = ("Call", "Put")
     zparts, sel = [], []
     for leg in legs:
@@ -148,7 +148,7 @@ LEFT JOIN p l1 ON l1.expirDate = c.expirDate AND l1.strike = c.strike AND l1.min
 LEFT JOIN p l2 ON l2.expirDate = c.expirDate AND l2.strike = c.strike AND l2.minute_seq = c.minute_seq - 2
 LEFT JOIN p l3 ON l3.expirDate = c.expirDate AND l3.strike = c.strike AND l3.minute_seq = c.minute_seq - 3
 JOIN zc z ON z.timestamp_int = c.timestamp_int AND z.expirDate = c.expirDate AND z.strike = c.strike"""
-    return with_chain(body, zcte)
+    return (zcte, body) if raw else with_chain(body, zcte)
 
 
 CONTRACT_FAMILIES = {
@@ -162,7 +162,7 @@ CONTRACT_FAMILIES = {
 }
 
 
-def cross_sql(features=None) -> str:
+def cross_sql(features=None, raw: bool = False):
     extra = """
 tot AS (SELECT minute_seq, expirDate, sum(callVolume) AS total FROM p GROUP BY minute_seq, expirDate),
 sh AS (SELECT p.*, CASE WHEN t.total > 0 THEN p.callVolume / t.total END AS share
@@ -190,7 +190,7 @@ FROM sh c
 LEFT JOIN sh l5 ON l5.expirDate = c.expirDate AND l5.strike = c.strike AND l5.minute_seq = c.minute_seq - 5
 LEFT JOIN sh l15 ON l15.expirDate = c.expirDate AND l15.strike = c.strike AND l15.minute_seq = c.minute_seq - 15
 JOIN sma m ON m.timestamp_int = c.timestamp_int AND m.expirDate = c.expirDate AND m.strike = c.strike"""
-    return with_chain(body, extra)
+    return (extra, body) if raw else with_chain(body, extra)
 
 
 CROSS_FAMILIES = {
@@ -206,7 +206,7 @@ def _zinc(cur: str, m: str, s: str, cnt: str, n: int, alias: str = "c") -> str:
             f"THEN ({cur} - {m}) / {s} END")
 
 
-def atm_sql(features=None, per_row: bool = True) -> str:
+def atm_sql(features=None, per_row: bool = True, raw: bool = False):
     zparts = []
     for n in (5, 15, 30):
         flt = f"FILTER (WHERE h.minute_seq >= c.minute_seq - {n})"
@@ -240,7 +240,7 @@ JOIN az z ON z.expirDate = c.expirDate AND z.minute_seq = c.minute_seq"""
         return with_chain(node, extra)
     body = f"""SELECT p.timestamp_int, p.expirDate, p.strike, {', '.join(f'{r4("f." + q(n))} AS {q(n)}' for n in names)}
 FROM p LEFT JOIN ({node}) f ON f.expirDate = p.expirDate AND f.minute_seq = p.minute_seq"""
-    return with_chain(body, extra)
+    return (extra, body) if raw else with_chain(body, extra)
 
 
 def offset_names(o: int) -> tuple[str, ...]:
@@ -248,7 +248,7 @@ def offset_names(o: int) -> tuple[str, ...]:
             f"IV_SkewToATM_{o}", f"SpreadPct_offsetZ_{o}_5", f"SpreadPct_offsetZ_{o}_15")
 
 
-def offset_sql(features=None) -> str:
+def offset_sql(features=None, raw: bool = False):
     zparts = []
     for o in OFFSETS:
         t = _tag(o)
@@ -287,7 +287,7 @@ LEFT JOIN offn l5 ON l5.expirDate = c.expirDate AND l5.minute_seq = c.minute_seq
 JOIN oz z ON z.expirDate = c.expirDate AND z.minute_seq = c.minute_seq"""
     body = f"""SELECT p.timestamp_int, p.expirDate, p.strike, {', '.join(f'{r4("f." + q(n))} AS {q(n)}' for n, _ in sel)}
 FROM p LEFT JOIN ({node}) f ON f.expirDate = p.expirDate AND f.minute_seq = p.minute_seq"""
-    return with_chain(body, extra)
+    return (extra, body) if raw else with_chain(body, extra)
 
 
 OFFSET_FAMILIES = {
@@ -306,7 +306,7 @@ ATM_FAMILIES = {
 }
 
 
-def underlying_sql(features=None, per_row: bool = False) -> str:
+def underlying_sql(features=None, per_row: bool = False, raw: bool = False):
     def lag_ret(k):
         return (f"CASE WHEN {gate('c', k)} AND c.stockPrice > 0 AND l{k}.stockPrice > 0 "
                 f"THEN ln(c.stockPrice / l{k}.stockPrice) END")
@@ -369,7 +369,7 @@ FROM p JOIN ({node}) f ON f.minute_seq = p.minute_seq"""
     else:
         body = f"""SELECT f.timestamp_int, {', '.join(f'{r4("f." + q(n))} AS {q(n)}' for n, _ in sel)}
 FROM ({node}) f"""
-    return with_chain(body, extra)
+    return (extra, body) if raw else with_chain(body, extra)
 
 
 UNDERLYING_FAMILIES = {
@@ -379,3 +379,34 @@ UNDERLYING_FAMILIES = {
     "underlying_ema": ("UnderlyingEMA_5", "UnderlyingEMA_15", "UnderlyingEMA_30"),
     "underlying_vol": ("UnderlyingVol_5", "UnderlyingVol_15", "UnderlyingVol_30"),
 }
+
+
+SECTION_SQL = (
+    # output order: sections by name
+    ("section_atm", atm_sql),
+    ("section_contract", contract_sql),
+    ("section_cross_sectional", cross_sql),
+    ("section_offset", offset_sql),
+    ("section_underlying", lambda features=None, raw=False: underlying_sql(features, per_row=True, raw=raw)),
+)
+
+
+def features_sql(sections=None, input_precision: int = 4) -> str:
+    """Input columns (rounded) plus the features of the given sections, per row."""
+    from chainfeatures.plans.registry import create_default_registry
+
+    reg = create_default_registry()
+    extras, joins, cols = [], [], []
+    for i, (name, fn) in enumerate(SECTION_SQL):
+        if sections is not None and name not in sections:
+            continue
+        extra, body = fn(None, raw=True)
+        extras.append(extra)
+        joins.append(f"JOIN f{i} ON f{i}.timestamp_int = p.timestamp_int AND f{i}.expirDate = p.expirDate "
+                     f"AND f{i}.strike = p.strike")
+        extras.append(f"\nf{i} AS ({body})")
+        cols += [f"f{i}.{q(n)}" for n in reg.sections[name].feature_names]
+    inputs = [r4(f"p.{c}", input_precision) + f" AS {c}" if c in DOUBLE_INPUTS else f"p.{c}"
+              for c in CHAIN_COLUMNS]
+    body = f"SELECT {', '.join(inputs + cols)}\nFROM p\n" + "\n".join(joins)
+    return with_chain(body, ",".join(extras))

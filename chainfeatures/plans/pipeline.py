@@ -17,19 +17,25 @@ Shape of the physical plan (see README "Plan"):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainfeatures.config import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, SECTION_PRECISION, FeatureParams
 from chainfeatures.functions.frames import SEQ
-from chainfeatures.functions.rounding import half_even
+from chainfeatures.functions.rounding import half_even_sql
 from chainfeatures.operators import timeline
 from chainfeatures.plans.registry import Context, FeatureRegistry, create_default_registry
 
 KEYS = ("expirDate", "block", SEQ)
 
 
+def expr(e) -> Column:
+    return F.expr(e) if isinstance(e, str) else e
+
+
 def normalise_panel(panel: DataFrame) -> DataFrame:
     """NaN -> null in floating columns (Spark aggregates propagate NaN, the
     reference treats it as missing); float -> double; absent optional inputs
@@ -38,7 +44,7 @@ def normalise_panel(panel: DataFrame) -> DataFrame:
     for f in panel.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(f.name)
+            c = F.expr(f"nanvl(CAST(`{f.name}` AS DOUBLE), CAST(NULL AS DOUBLE))").alias(f.name)
         cols.append(c)
     present = set(panel.columns)
     for name in OPTIONAL_COLUMNS:
@@ -47,19 +53,10 @@ def normalise_panel(panel: DataFrame) -> DataFrame:
     return panel.select(cols)
 
 
-def context(params: FeatureParams) -> Context:
-    return Context(
-        params=params,
-        minute_window=Window.partitionBy("block").orderBy(SEQ),
-        node_window=Window.partitionBy("expirDate", "block").orderBy(SEQ),
-        contract_window=Window.partitionBy("expirDate", "block", "strike").orderBy(SEQ),
-    )
-
-
 def build_spine(panel: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, int | None]:
     """Spine of a panel, materialised in the shared checkpoint folder so the
     panel scan behind it is not repeated and lineage stays short; returns the
-    row count used for the broadcast decision."""
+    row count used for the broadcast and block-size decisions."""
     spine = timeline.minute_spine(panel)
     if not checkpoint:
         return spine, None
@@ -69,8 +66,24 @@ def build_spine(panel: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, i
     return spine, spine.count()
 
 
-def _round_features(x: Column, params: FeatureParams) -> Column:
-    return half_even(half_even(x, SECTION_PRECISION), params.precision)
+def block_size(params: FeatureParams, spine_rows: int | None, parallelism: int, halo: int) -> int:
+    """Time-block length in minutes.
+
+    Explicit ``params.block_minutes`` wins.  Otherwise about two blocks per
+    core over the history, between 8 halos (halo copies <= 12.5 % of rows) and
+    4096 minutes (~10 trading days: bounded rows per (expiry, block) key).
+    """
+    if params.block_minutes:
+        return params.block_minutes
+    lo, hi = max(8 * halo, 64), 4096
+    if not spine_rows:
+        return hi
+    want = math.ceil(spine_rows / max(2 * parallelism, 1))
+    return int(min(hi, max(lo, 2 ** math.ceil(math.log2(max(want, 1))))))
+
+
+def _partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
@@ -89,31 +102,37 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
     params = params or FeatureParams()
+    spark = panel.sparkSession
     halo = max(reg.max_lookback(), 1)
-    if halo >= params.block_minutes:
-        raise ValueError("block_minutes must exceed the deepest look-back")
-    ctx = context(params)
+    ctx = Context(params=params)
     sections = reg.active_sections()
     in_cols = list(panel.columns)
     p = normalise_panel(panel)
 
     if spine is None:
         spine, spine_rows = build_spine(p)
+    block = block_size(params, spine_rows, spark.sparkContext.defaultParallelism, halo)
+    if halo >= block:
+        raise ValueError("block_minutes must exceed the deepest look-back")
+    nparts = _partitions(spark)
 
     # --- minute level (spine) ---------------------------------------------
     minute_secs = [s for _, s in sections if s.level == "minute"]
     minute_feats = None
     if minute_secs:
-        ms = timeline.with_blocks(spine.select(SEQ, "stockPrice"), params.block_minutes, halo)
+        ms = timeline.with_blocks(spine.select(SEQ, "stockPrice"), block, halo)
+        ms = ms.repartition(nparts, "block")
         for s in minute_secs:
-            ms = ms.select("*", *[c.alias(n) for n, c in s.row_inputs(ctx).items()])
-        ms = ms.select("*", *[c.alias(n) for s in minute_secs for n, c in s.columns(ctx).items()])
+            ms = ms.select("*", *[expr(c).alias(n) for n, c in s.row_inputs(ctx).items()])
+        ms = ms.select("*", *[expr(c).alias(n) for s in minute_secs for n, c in s.columns(ctx).items()])
         minute_feats = ms.filter(~F.col("is_halo")).select(
             SEQ, *[F.col(f"`{n}`") for s in minute_secs for n in s.feature_names])
 
     # --- rows, blocked and partitioned once ---------------------------------
+    # An explicit partition count: the window stage is CPU-heavy per row, so
+    # AQE must not fold it into a few tasks on the strength of a small shuffle.
     rows = timeline.attach_seq(p, spine, spine_rows)
-    rows = timeline.with_blocks(rows, params.block_minutes, halo).repartition("expirDate", "block")
+    rows = timeline.with_blocks(rows, block, halo).repartition(nparts, "expirDate", "block")
 
     # --- node level ---------------------------------------------------------
     node_aggs = {}
@@ -122,18 +141,18 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     node_secs = [s for _, s in sections if s.level == "node"]
     if node_aggs:
         base = timeline.attach_seq(p, spine, spine_rows)
-        nodes = base.groupBy("expirDate", SEQ).agg(*[c.alias(n) for n, c in node_aggs.items()])
-        nodes = timeline.with_blocks(nodes, params.block_minutes, halo).repartition("expirDate", "block")
+        nodes = base.groupBy("expirDate", SEQ).agg(*[expr(c).alias(n) for n, c in node_aggs.items()])
+        nodes = timeline.with_blocks(nodes, block, halo).repartition(nparts, "expirDate", "block")
         nodes = nodes.select(*KEYS, *node_aggs.keys(),
-                             *[c.alias(n) for s in node_secs for n, c in s.columns(ctx).items()])
+                             *[expr(c).alias(n) for s in node_secs for n, c in s.columns(ctx).items()])
         rows = rows.join(nodes, list(KEYS), "left")
 
     # --- contract level: one window pass -------------------------------------
     contract_secs = [s for _, s in sections if s.level == "contract"]
     inputs = {n: c for s in contract_secs for n, c in s.row_inputs(ctx).items()}
     if inputs:
-        rows = rows.select("*", *[c.alias(n) for n, c in inputs.items()])
-    contract_cols = [c.alias(n) for s in contract_secs for n, c in s.columns(ctx).items()]
+        rows = rows.select("*", *[expr(c).alias(n) for n, c in inputs.items()])
+    contract_cols = [expr(c).alias(n) for s in contract_secs for n, c in s.columns(ctx).items()]
     if contract_cols:
         rows = rows.select("*", *contract_cols)
     rows = rows.filter(~F.col("is_halo"))
@@ -145,14 +164,14 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
         rows = rows.join(F.broadcast(minute_feats) if small else minute_feats, SEQ, "left")
 
     features = reg.get_active_features()
-    out = [F.col(f"`{c}`") for c in in_cols]
+    fields = {f.name: f.dataType for f in p.schema.fields}
     if round_output:
-        fields = {f.name: f.dataType for f in p.schema.fields}
-        out = [half_even(F.col(f"`{c}`"), params.precision).alias(c)
+        out = [F.expr(half_even_sql(f"`{c}`", params.precision)).alias(c)
                if isinstance(fields[c], T.DoubleType) else F.col(f"`{c}`") for c in in_cols]
-        out += [_round_features(F.col(f"`{n}`").cast("double"), params).alias(n) for n in features]
+        out += [F.expr(half_even_sql(half_even_sql(f"CAST(`{n}` AS DOUBLE)", SECTION_PRECISION),
+                                     params.precision)).alias(n) for n in features]
     else:
-        out += [F.col(f"`{n}`").cast("double").alias(n) for n in features]
+        out = [F.col(f"`{c}`") for c in in_cols] + [F.col(f"`{n}`").cast("double").alias(n) for n in features]
     return rows.select(out)
 
 
@@ -161,13 +180,12 @@ def node_table(panel: DataFrame, registry: FeatureRegistry | None = None,
     """(timestamp_int, expirDate) rows with the node aggregates, unblocked
     (for inspection and the node-level queries)."""
     reg = registry or create_default_registry()
-    params = params or FeatureParams()
-    ctx = context(params)
+    ctx = Context(params=params or FeatureParams())
     p = normalise_panel(panel)
     aggs = {}
     for _, s in reg.active_sections():
         aggs.update(s.node_aggs(ctx))
-    return p.groupBy("timestamp_int", "expirDate").agg(*[c.alias(n) for n, c in aggs.items()])
+    return p.groupBy("timestamp_int", "expirDate").agg(*[expr(c).alias(n) for n, c in aggs.items()])
 
 
 def default_features() -> list[str]:

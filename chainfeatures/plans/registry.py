@@ -7,10 +7,10 @@ A section declares ``feature_names`` and the level it computes at:
                   broadcast to every row of that expiry and minute
 * ``contract`` -- one value per row, over the contract's history (``ctx.contract_window``)
 
-and returns Columns, never DataFrames, so all sections of one level share a
-single window pass.  Optional hooks: ``node_aggs`` (per (minute, expiry)
-aggregates it needs, e.g. the ATM row) and ``row_inputs`` (per-row columns the
-window must see, e.g. a volume share).
+and returns expressions (Spark SQL text or Columns), never DataFrames, so all
+sections of one level share a single window pass.  Optional hooks:
+``node_aggs`` (per (minute, expiry) aggregates it needs, e.g. the ATM row) and
+``row_inputs`` (per-row columns the window must see, e.g. a volume share).
 """
 
 from __future__ import annotations
@@ -19,20 +19,23 @@ import hashlib
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 
 from chainfeatures.config import FeatureParams
 from chainfeatures.functions import frames
+from chainfeatures.functions.frames import Frames
+
+Expr = "str | Column"
 
 
 @dataclass(frozen=True)
 class Context:
     params: FeatureParams
-    minute_window: WindowSpec
-    node_window: WindowSpec
-    contract_window: WindowSpec
+    minute: Frames = Frames("block")
+    node: Frames = Frames("expirDate", "block")
+    contract: Frames = Frames("expirDate", "block", "strike")
 
-    def gate(self, n: int) -> Column:
+    def gate(self, n: int) -> str:
         return frames.gate(n, self.params.window_size)
 
 
@@ -45,13 +48,13 @@ class FeatureSection:
     feature_names: tuple[str, ...] = ()
     lookback: int = 0  # deepest look-back in minute positions
 
-    def node_aggs(self, ctx: Context) -> dict[str, Column]:
+    def node_aggs(self, ctx: Context) -> dict[str, Expr]:
         return {}
 
-    def row_inputs(self, ctx: Context) -> dict[str, Column]:
+    def row_inputs(self, ctx: Context) -> dict[str, Expr]:
         return {}
 
-    def columns(self, ctx: Context) -> dict[str, Column]:
+    def columns(self, ctx: Context) -> dict[str, Expr]:
         raise NotImplementedError
 
 
