@@ -22,25 +22,57 @@ def file_name(path) -> Column:
     return F.element_at(F.split(_c(path), "/"), -1)
 
 
-def time_key(path) -> Column:
-    """struct(date 'YYYYMMDD', minute 'HHMM', timestamp_int, ts, valid) from a path."""
+def time_key_parts(path) -> dict:
+    """Stage 1 of the time key: the raw pieces of the name (cheap to reuse)."""
     name = file_name(path)
-    matched = name.rlike(FILE_NAME_PATTERN)
-    d = F.regexp_extract(name, FILE_NAME_PATTERN, 1)
-    m = F.regexp_extract(name, FILE_NAME_PATTERN, 2)
+    return {
+        "_tk_match": name.rlike(FILE_NAME_PATTERN),
+        "_tk_d": F.regexp_extract(name, FILE_NAME_PATTERN, 1),
+        "_tk_m": F.regexp_extract(name, FILE_NAME_PATTERN, 2),
+    }
+
+
+def time_key_from_parts() -> dict:
+    """Stage 2: date, minute, timestamp_int, ts, valid from the stage-1 columns.
+
+    The name must match ``strikes_<8 digits><4 digits>.parquet``, the date be a
+    real calendar date (year >= 1), the hour 0-23 and the minute 0-59.
+    """
+    d, m = F.col("_tk_d"), F.col("_tk_m")
     day = F.try_to_timestamp(d, F.lit("yyyyMMdd"))
-    hh = F.substring(m, 1, 2).cast("int")
-    mm = F.substring(m, 3, 2).cast("int")
-    valid = (matched & day.isNotNull() & (F.substring(d, 1, 4).cast("int") >= 1)
-             & hh.between(0, 23) & mm.between(0, 59))
-    valid = F.coalesce(valid, F.lit(False))
-    return F.struct(
-        F.when(valid, d).alias("date"),
-        F.when(valid, m).alias("minute"),
-        F.when(valid, F.concat(d, m).cast("long")).alias("timestamp_int"),
-        F.when(valid, F.try_to_timestamp(F.concat(d, m), F.lit("yyyyMMddHHmm"))).alias("ts"),
-        valid.alias("valid"),
-    )
+    hh = F.substring(m, 1, 2).try_cast("int")
+    mm = F.substring(m, 3, 2).try_cast("int")
+    valid = F.coalesce(F.col("_tk_match") & day.isNotNull() & (F.substring(d, 1, 4).try_cast("int") >= 1)
+                       & hh.between(0, 23) & mm.between(0, 59), F.lit(False))
+    return {"_tk_valid": valid}
+
+
+def time_key_outputs() -> dict:
+    v, d, m = F.col("_tk_valid"), F.col("_tk_d"), F.col("_tk_m")
+    return {
+        "date": F.when(v, d),
+        "minute": F.when(v, m),
+        "timestamp_int": F.when(v, F.concat(d, m).try_cast("long")),
+        "ts": F.when(v, F.try_to_timestamp(F.concat(d, m), F.lit("yyyyMMddHHmm"))),
+        "valid": v,
+    }
+
+
+def time_key(path) -> Column:
+    """struct(date, minute, timestamp_int, ts, valid) in one expression (for
+    small inputs; DataFrame code should prefer ``operators.keys.with_time_key``,
+    which stages the parse so no sub-expression is repeated)."""
+    parts = time_key_parts(path)
+    d, m = parts["_tk_d"], parts["_tk_m"]
+    day = F.try_to_timestamp(d, F.lit("yyyyMMdd"))
+    hh = F.substring(m, 1, 2).try_cast("int")
+    mm = F.substring(m, 3, 2).try_cast("int")
+    valid = F.coalesce(parts["_tk_match"] & day.isNotNull() & (F.substring(d, 1, 4).try_cast("int") >= 1)
+                       & hh.between(0, 23) & mm.between(0, 59), F.lit(False))
+    return F.struct(F.when(valid, d).alias("date"), F.when(valid, m).alias("minute"),
+                    F.when(valid, F.concat(d, m).try_cast("long")).alias("timestamp_int"),
+                    F.when(valid, F.try_to_timestamp(F.concat(d, m), F.lit("yyyyMMddHHmm"))).alias("ts"),
+                    valid.alias("valid"))
 
 
 def is_valid_name(path) -> Column:
@@ -49,14 +81,14 @@ def is_valid_name(path) -> Column:
 
 def timestamp_int_of(ts) -> Column:
     """yyyyMMddHHmm as a long, from a timestamp column."""
-    return F.date_format(_c(ts), "yyyyMMddHHmm").cast("long")
+    return F.date_format(_c(ts), "yyyyMMddHHmm").try_cast("long")
 
 
 def session_position(minute_str) -> Column:
     """Minutes since the 09:30 open (negative before it), hour and minute."""
     m = _c(minute_str)
-    hh = F.substring(m, 1, 2).cast("int")
-    mm = F.substring(m, 3, 2).cast("int")
+    hh = F.substring(m, 1, 2).try_cast("int")
+    mm = F.substring(m, 3, 2).try_cast("int")
     seq = hh * 60 + mm - F.lit(MARKET_OPEN_HOUR * 60 + MARKET_OPEN_MINUTE)
     return F.struct(seq.alias("sequence_number"), hh.alias("hour"), mm.alias("minute"))
 

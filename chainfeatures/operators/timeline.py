@@ -90,3 +90,19 @@ def last_n_window(spine: DataFrame, n: int) -> DataFrame:
     cur = cur.select("timestamp_int", "back", (F.col(SEQ) - F.col("back")).alias("_target"))
     prev = spine.select(F.col("timestamp_int").alias("window_timestamp_int"), F.col(SEQ).alias("_target"))
     return cur.join(prev, "_target").select("timestamp_int", "window_timestamp_int", "back")
+
+
+def positional_lag(rows: DataFrame, columns: dict, key: tuple, params) -> DataFrame:
+    """``{col}_lag{k}``: the key's value exactly k queue positions back (null
+    when the key is absent from that minute or the queue is shorter than k).
+    Rows need ``minute_seq``; windows are blocked like the feature plan."""
+    from chainfeatures.functions.frames import Frames, gate
+
+    halo = max(k for ks in columns.values() for k in ks)
+    block = max(params.block_minutes or 1024, 2 * halo)
+    fr = Frames(*key, "block")
+    b = with_blocks(rows, block, halo).repartition(*key[:1], "block")
+    exprs = [F.expr(f"CASE WHEN {gate(k, params.window_size)} THEN {fr.lag(f'`{c}`', k)} END").alias(f"{c}_lag{k}")
+             for c, ks in columns.items() for k in ks]
+    return (b.select(*[F.col(k) for k in ("timestamp_int",) + tuple(key)], "is_halo", *exprs)
+            .filter(~F.col("is_halo")).drop("is_halo"))

@@ -410,3 +410,197 @@ def features_sql(sections=None, input_precision: int = 4) -> str:
               for c in CHAIN_COLUMNS]
     body = f"SELECT {', '.join(inputs + cols)}\nFROM p\n" + "\n".join(joins)
     return with_chain(body, ",".join(extras))
+
+
+# -- object names from events ------------------------------------------------------------
+
+NAMES_CTE = r"""
+ev AS (
+  SELECT event_id, ts, strftime(ts, '%Y%m%d%H%M') AS stamp, strftime(ts, '%Y%m%d') AS day,
+         CAST((event_id // 7) % 4 AS INTEGER) AS kind
+  FROM events),
+nm AS (
+  SELECT event_id, day,
+         CASE WHEN event_id % 7 = 0 THEN
+           CASE kind WHEN 0 THEN 'xstrikes_' || stamp || '.parquet'
+                     WHEN 1 THEN 'strikes_' || substr(stamp, 1, 4) || '13' || substr(stamp, 7, 6) || '.parquet'
+                     WHEN 2 THEN 'strikes_' || substr(stamp, 1, 8) || '24' || substr(stamp, 11, 2) || '.parquet'
+                     ELSE 'strikes_' || stamp || '.parquet.tmp' END
+         ELSE 'strikes_' || stamp || '.parquet' END AS name
+  FROM ev),
+nk AS (SELECT event_id, name, 'one-minute/' || day || '/' || name AS key FROM nm),
+parsed AS (
+  SELECT nk.*, regexp_matches(name, '^strikes_(\d{8})(\d{4})\.parquet$') AS m,
+         regexp_extract(name, '^strikes_(\d{8})(\d{4})\.parquet$', 1) AS d,
+         regexp_extract(name, '^strikes_(\d{8})(\d{4})\.parquet$', 2) AS hm
+  FROM nk),
+tk AS (
+  SELECT event_id, name, key,
+         coalesce(m AND try_strptime(d, '%Y%m%d') IS NOT NULL AND TRY_CAST(substr(d, 1, 4) AS INTEGER) >= 1
+                  AND TRY_CAST(substr(hm, 1, 2) AS INTEGER) BETWEEN 0 AND 23
+                  AND TRY_CAST(substr(hm, 3, 2) AS INTEGER) BETWEEN 0 AND 59, false) AS valid,
+         d, hm
+  FROM parsed),
+named AS (
+  SELECT event_id, name, key, valid,
+         CASE WHEN valid THEN d END AS date, CASE WHEN valid THEN hm END AS minute,
+         CASE WHEN valid THEN CAST(d || hm AS BIGINT) END AS timestamp_int
+  FROM tk)"""
+
+
+def _suffix(k: str) -> str:
+    return f"(CASE WHEN strpos({k}, '/') > 0 THEN substr({k}, strpos({k}, '/') + 1) ELSE {k} END)"
+
+
+def _date_folder(s: str) -> str:
+    return f"(CASE WHEN len(string_split({s}, '/')) >= 2 THEN string_split({s}, '/')[1] ELSE 'unknown' END)"
+
+
+WORK_CTE = NAMES_CTE + f""",
+listed AS (SELECT * FROM named WHERE ends_with(key, '.parquet')),
+processed AS (SELECT * FROM named WHERE valid AND CAST(substr(minute, 3, 2) AS INTEGER) % 3 = 0),
+src AS (SELECT DISTINCT {_suffix('key')} AS key_suffix FROM listed),
+dst AS (SELECT DISTINCT {_suffix('key')} AS key_suffix FROM processed),
+todo AS (SELECT key_suffix, {_date_folder('key_suffix')} AS date FROM src
+         WHERE key_suffix NOT IN (SELECT key_suffix FROM dst))"""
+
+
+def names_sql(body: str, ctes: str = NAMES_CTE) -> str:
+    return f"WITH {ctes}\n{body}"
+
+
+TIME_KEY_SQL = names_sql("SELECT event_id, name, date, minute, timestamp_int, valid FROM named")
+TIME_KEY_VALID_SQL = names_sql("SELECT event_id, name, timestamp_int FROM named WHERE valid")
+SESSION_POSITION_SQL = names_sql("""SELECT event_id,
+  CAST(substr(minute, 1, 2) AS INTEGER) * 60 + CAST(substr(minute, 3, 2) AS INTEGER) - 570 AS sequence_number,
+  CAST(substr(minute, 1, 2) AS INTEGER) AS hour, CAST(substr(minute, 3, 2) AS INTEGER) AS minute_of_hour
+FROM named WHERE valid""")
+
+PATH_PARTS_SQL = names_sql(f"""SELECT event_id, uri,
+  CASE WHEN ok THEN substr(rest, 1, strpos(rest, '/') - 1) END AS bucket,
+  CASE WHEN ok THEN substr(rest, strpos(rest, '/') + 1) END AS key,
+  ok AS uri_valid,
+  {_suffix("coalesce(CASE WHEN ok THEN substr(rest, strpos(rest, '/') + 1) END, uri)")} AS key_suffix,
+  {_date_folder(_suffix("coalesce(CASE WHEN ok THEN substr(rest, strpos(rest, '/') + 1) END, uri)"))} AS date_folder
+FROM (SELECT event_id, uri, substr(uri, 6) AS rest,
+             coalesce(starts_with(uri, 's3://') AND strpos(substr(uri, 6), '/') > 0, false) AS ok
+      FROM (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN key
+                                  WHEN event_id % 11 = 1 THEN 's3://source-bucket'
+                                  ELSE 's3://source-bucket/' || key END AS uri FROM named))""")
+
+UNPROCESSED_SQL = names_sql("SELECT key_suffix, date FROM todo", WORK_CTE)
+
+WORKLIST_SQL = names_sql("""SELECT date, CAST(dense_rank() OVER (ORDER BY date) AS INTEGER) AS date_order,
+  uri, CAST(row_number() OVER (PARTITION BY date ORDER BY uri) AS INTEGER) AS position,
+  count(*) OVER (PARTITION BY date) AS files_in_date
+FROM (SELECT date, 's3://source-bucket/one-minute/' || key_suffix AS uri FROM todo)""", WORK_CTE)
+
+HISTORY_CONTEXT_SQL = names_sql("""SELECT timestamp_int, context_timestamp_int, CAST(back AS INTEGER) AS back FROM (
+  SELECT t.timestamp_int, a.timestamp_int AS context_timestamp_int,
+         row_number() OVER (PARTITION BY t.timestamp_int ORDER BY a.timestamp_int DESC) AS back
+  FROM (SELECT DISTINCT n.timestamp_int FROM todo JOIN named n
+          ON n.valid AND todo.key_suffix = substr(n.key, strpos(n.key, '/') + 1)) t
+  JOIN (SELECT DISTINCT timestamp_int FROM listed WHERE valid) a
+    ON a.timestamp_int < t.timestamp_int
+   AND CAST(strptime(CAST(a.timestamp_int // 10000 AS VARCHAR), '%Y%m%d') AS DATE)
+       >= CAST(strptime(CAST(t.timestamp_int // 10000 AS VARCHAR), '%Y%m%d') AS DATE) - INTERVAL 5 DAY)
+WHERE back <= 60""", WORK_CTE)
+
+CHRONOLOGY_SQL = """SELECT event_id, batch, timestamp_int,
+  coalesce(timestamp_int > max(timestamp_int) OVER (PARTITION BY batch ORDER BY event_id
+                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS accepted
+FROM (SELECT event_id, strftime(ts, '%Y%m%d') AS batch,
+             CAST(strftime(ts + to_minutes(CAST((event_id * 7919) % 5 - 2 AS BIGINT)), '%Y%m%d%H%M') AS BIGINT) AS timestamp_int
+      FROM events)"""
+
+RUN_SUMMARY_SQL = names_sql("""SELECT * FROM summary""", WORK_CTE + """,
+o AS (
+  SELECT todo.date, coalesce(n.valid, false) AS ok
+  FROM todo LEFT JOIN (SELECT DISTINCT substr(key, strpos(key, '/') + 1) AS key_suffix, valid FROM named) n
+    ON n.key_suffix = todo.key_suffix),
+pd AS (SELECT date, count(*) FILTER (WHERE ok) AS completed, count(*) FILTER (WHERE NOT ok) AS failed FROM o GROUP BY date),
+allrows AS (
+  SELECT date, completed, failed, 1 AS dates, CASE WHEN failed > 0 THEN 1 ELSE 0 END AS failed_dates FROM pd
+  UNION ALL
+  SELECT NULL, sum(completed), sum(failed), count(*), count(*) FILTER (WHERE failed > 0) FROM pd),
+summary AS (
+SELECT date, CAST(completed AS BIGINT) AS completed, CAST(failed AS BIGINT) AS failed,
+       CAST(dates AS BIGINT) AS dates, CAST(failed_dates AS BIGINT) AS failed_dates,
+       CASE WHEN failed = 0 THEN 'success' ELSE 'partial' END AS status,
+       (dates - failed_dates) * 100.0 / dates AS success_rate
+FROM allrows)""")
+
+
+# -- chain-level queries ------------------------------------------------------------
+
+SNAPSHOT_SCAN_SQL = with_chain(f"SELECT {', '.join(CHAIN_COLUMNS)} FROM chain")
+
+SNAPSHOT_QUALITY_SQL = with_chain("""SELECT timestamp_int, CAST(sum(n) AS BIGINT) AS rows,
+  CAST(sum(CASE WHEN expirDate IS NULL OR strike IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_key_rows,
+  CAST(count(*) FILTER (WHERE n > 1 AND expirDate IS NOT NULL AND strike IS NOT NULL) AS BIGINT) AS duplicate_keys,
+  true AS valid, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS error_type
+FROM (SELECT timestamp_int, expirDate, strike, count(*) AS n FROM chain GROUP BY ALL) GROUP BY timestamp_int""")
+
+MINUTE_SPINE_SQL = with_chain("SELECT timestamp_int, CAST(minute_seq AS BIGINT) AS minute_seq, stockPrice FROM spine")
+QUEUE_SIZE_SQL = with_chain("""SELECT timestamp_int, CAST(minute_seq AS BIGINT) AS minute_seq,
+  CAST(least(minute_seq - 1, 300) AS BIGINT) AS available, CAST(least(minute_seq, 300) AS BIGINT) AS queue_size FROM spine""")
+LAST_N_SQL = with_chain("""SELECT c.timestamp_int, w.timestamp_int AS window_timestamp_int,
+  CAST(c.minute_seq - w.minute_seq AS INTEGER) AS back
+FROM spine c JOIN spine w ON w.minute_seq BETWEEN c.minute_seq - 5 AND c.minute_seq - 1""")
+POSITIONAL_LAG_SQL = with_chain("""SELECT c.timestamp_int, c.expirDate, c.strike,
+  CASE WHEN c.minute_seq - 1 >= 1 THEN l1.CallIVMid END AS CallIVMid_lag1,
+  CASE WHEN c.minute_seq - 1 >= 5 THEN l5.CallIVMid END AS CallIVMid_lag5,
+  CASE WHEN c.minute_seq - 1 >= 3 THEN l3.PutMid END AS PutMid_lag3
+FROM p c
+LEFT JOIN p l1 ON l1.expirDate = c.expirDate AND l1.strike = c.strike AND l1.minute_seq = c.minute_seq - 1
+LEFT JOIN p l5 ON l5.expirDate = c.expirDate AND l5.strike = c.strike AND l5.minute_seq = c.minute_seq - 5
+LEFT JOIN p l3 ON l3.expirDate = c.expirDate AND l3.strike = c.strike AND l3.minute_seq = c.minute_seq - 3""")
+
+ATM_NODE_SQL = with_chain("""SELECT n.timestamp_int, n.expirDate, a.iv AS atm_CallIVMid, a.sp AS atm_CallSpreadPct,
+  a.gm AS atm_CallGamma
+FROM (SELECT DISTINCT timestamp_int, minute_seq, expirDate FROM p) n
+LEFT JOIN atm a ON a.expirDate = n.expirDate AND a.minute_seq = n.minute_seq""", ATM_NODE_CTE)
+
+
+def _offset_node_sql() -> str:
+    cols = []
+    for o in OFFSETS:
+        t = _tag(o)
+        cols += [f"o.iv_{t} AS CallIVMid_{t}", f"o.sp_{t} AS CallSpreadPct_{t}"]
+    return with_chain(f"""SELECT s.timestamp_int, o.expirDate, {', '.join(cols)}
+FROM offn o JOIN spine s USING (minute_seq)""", _offset_node_cte())
+
+
+OFFSET_NODE_SQL = _offset_node_sql()
+
+
+def round_numerics_sql(d: int = 3) -> str:
+    cols = [r4(c, d) + f" AS {c}" if c in DOUBLE_INPUTS else c for c in CHAIN_COLUMNS]
+    return with_chain(f"SELECT {', '.join(cols)} FROM chain")
+
+
+def coverage_sql() -> str:
+    from chainfeatures.plans.registry import create_default_registry
+
+    pairs = create_default_registry().feature_sections()
+    parts = [f"SELECT '{f}' AS feature, '{s}' AS section, count(*) AS rows, count({q(f)}) AS non_null, "
+             f"min({q(f)}) AS min_value, max({q(f)}) AS max_value FROM enriched" for f, s in pairs]
+    body = features_sql()
+    return f"WITH enriched AS ({body})\n" + "\nUNION ALL\n".join(parts)
+
+
+def incremental_sql() -> str:
+    return (f"SELECT * FROM ({features_sql()}) f "
+            f"WHERE CAST(substr(f.date, 7, 2) AS INTEGER) % 3 <> 0")
+
+
+LIVE_METADATA_SQL = with_chain(f"""SELECT {len(CHAIN_COLUMNS) - 3 + 93} AS feature_count,
+  count(*) AS row_count, min(date) AS date, min(minute) AS minute, {r4('min(stockPrice)')} AS stock_price,
+  '0613f3add0197063' AS feature_version_hash,
+  CAST(least(1 + (SELECT count(*) FROM (
+        SELECT s.timestamp_int FROM spine s, (SELECT max(timestamp_int) AS t FROM spine) x
+        WHERE s.timestamp_int < x.t
+          AND CAST(strptime(CAST(s.timestamp_int // 10000 AS VARCHAR), '%Y%m%d') AS DATE)
+              >= CAST(strptime(CAST(x.t // 10000 AS VARCHAR), '%Y%m%d') AS DATE) - INTERVAL 5 DAY
+        ORDER BY s.timestamp_int DESC LIMIT 60)), 300) AS BIGINT) AS history_minutes_loaded
+FROM chain WHERE timestamp_int = (SELECT max(timestamp_int) FROM chain)""")

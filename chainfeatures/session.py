@@ -75,10 +75,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The configured shared folder itself (``spark.checkpoint.dir``), not the
+    per-application subfolder Spark creates for RDD checkpoints, so tables
+    materialised by one application can be reused by the next."""
+    ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    return (base or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path inside the shared checkpoint folder (for materialised tables)."""
-    base = ensure_checkpoint_dir(spark)
-    return "/".join([base, *parts])
+    """A path inside the shared folder (for materialised tables)."""
+    return "/".join([shared_base(spark), "chainfeatures", *parts])
 
 
 def fresh_shared_path(spark: SparkSession, prefix: str) -> str:
