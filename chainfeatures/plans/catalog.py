@@ -267,6 +267,23 @@ def incremental_features(spark, sf_dir):
     return jobs.run_incremental(c, new)
 
 
+def streaming_features(spark, sf_dir):
+    """Stream the chain's minute files through the live-ingestion query
+    (several micro-batches), then read what it wrote."""
+    from chainfeatures.streaming.ingest import start_stream
+
+    root = _minute_root(spark, sf_dir)
+    base = fresh_shared_path(spark, "stream")
+    q = start_stream(spark, root, f"{base}/sink", f"{base}/state", f"{base}/checkpoint",
+                     max_files_per_trigger=500)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    back = spark.read.parquet(f"{base}/sink")
+    feats = create_default_registry().get_active_features()
+    return back.select(*CHAIN_COLUMNS, *[F.col(f"`{c}`") for c in feats])
+
+
 QUERIES = {
     "all_features": all_features,
     "sections_subset": sections_subset,
@@ -298,4 +315,5 @@ QUERIES = {
     "live_response": live_response,
     "live_metadata": live_metadata,
     "incremental_features": incremental_features,
+    "streaming_features": streaming_features,
 }

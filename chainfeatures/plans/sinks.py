@@ -24,6 +24,16 @@ def write_enriched(df: DataFrame, dest: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("date", "minute").parquet(dest))
 
 
+def write_batch(df: DataFrame, dest: str, batch_id: int) -> None:
+    """Write one micro-batch's rows as partition ``batch_id=<id>`` of ``dest``,
+    replacing that partition only: a replayed batch rewrites the same folder
+    (idempotent) and the number of folders grows with batches, not minutes."""
+    from pyspark.sql import functions as F
+
+    (df.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(dest))
+
+
 def write_minute_files(panel: DataFrame, root: str, drop=("timestamp_int", "date", "minute", "path")) -> DataFrame:
     """Export one parquet file per minute in the reference layout
     ``<root>/one-minute/YYYYMMDD/strikes_YYYYMMDDHHMM.parquet`` (rows sorted by
