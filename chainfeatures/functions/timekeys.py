@@ -2,7 +2,9 @@
 
 All functions return Columns, so name parsing runs inside the scan's codegen
 stage; an invalid name gives null parts and ``valid = false`` instead of an
-exception, and callers route such rows to quarantine.
+exception, and callers route such rows to quarantine.  The time key is parsed
+in stages (``time_key_parts`` -> ``time_key_from_parts`` -> ``time_key_outputs``,
+composed by ``operators.keys.with_time_key``) so no regex runs twice per row.
 """
 
 from __future__ import annotations
@@ -58,27 +60,6 @@ def time_key_outputs() -> dict:
     }
 
 
-def time_key(path) -> Column:
-    """struct(date, minute, timestamp_int, ts, valid) in one expression (for
-    small inputs; DataFrame code should prefer ``operators.keys.with_time_key``,
-    which stages the parse so no sub-expression is repeated)."""
-    parts = time_key_parts(path)
-    d, m = parts["_tk_d"], parts["_tk_m"]
-    day = F.try_to_timestamp(d, F.lit("yyyyMMdd"))
-    hh = F.substring(m, 1, 2).try_cast("int")
-    mm = F.substring(m, 3, 2).try_cast("int")
-    valid = F.coalesce(parts["_tk_match"] & day.isNotNull() & (F.substring(d, 1, 4).try_cast("int") >= 1)
-                       & hh.between(0, 23) & mm.between(0, 59), F.lit(False))
-    return F.struct(F.when(valid, d).alias("date"), F.when(valid, m).alias("minute"),
-                    F.when(valid, F.concat(d, m).try_cast("long")).alias("timestamp_int"),
-                    F.when(valid, F.try_to_timestamp(F.concat(d, m), F.lit("yyyyMMddHHmm"))).alias("ts"),
-                    valid.alias("valid"))
-
-
-def is_valid_name(path) -> Column:
-    return time_key(path)["valid"]
-
-
 def timestamp_int_of(ts) -> Column:
     """yyyyMMddHHmm as a long, from a timestamp column."""
     return F.date_format(_c(ts), "yyyyMMddHHmm").try_cast("long")

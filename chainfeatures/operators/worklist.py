@@ -33,9 +33,10 @@ def worklist_by_date(todo: DataFrame, uri_prefix: str) -> DataFrame:
     """
     w = Window.partitionBy("date").orderBy("uri")
     items = todo.select("date", F.concat(F.lit(uri_prefix), F.col("key_suffix")).alias("uri"))
+    # a date holds at most one file per minute (1440), so these windows are bounded
     items = items.select("date", "uri", F.row_number().over(w).alias("position"),
                          F.count(F.lit(1)).over(Window.partitionBy("date")).alias("files_in_date"))
-    dates = todo.select("date").distinct()
+    dates = todo.select("date").distinct()  # one row per calendar date
     dates = dates.select("date", F.row_number().over(Window.orderBy("date")).alias("date_order"))
     return items.join(F.broadcast(dates), "date").select(
         "date", "date_order", "uri", "position", "files_in_date")
@@ -67,14 +68,27 @@ def history_context(targets: DataFrame, spine: DataFrame, max_minutes: int = HIS
     return out.select("timestamp_int", "context_timestamp_int", "back")
 
 
-def chronology_gate(arrivals: DataFrame, batch_col: str, order_col: str, ts_col: str = "timestamp_int") -> DataFrame:
+def chronology_gate(arrivals: DataFrame, batch_col: str, order_col: str, ts_col: str = "timestamp_int",
+                    chunk: int = 4096) -> DataFrame:
     """Accept a minute only if it is strictly later than every earlier arrival
     of its batch (the newest accepted one is the running maximum of all
-    earlier arrivals, since a rejected one never exceeds it)."""
-    w = Window.partitionBy(batch_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    newest = F.max(ts_col).over(w)
-    return arrivals.select("*", newest.alias("newest_before"),
-                           F.coalesce(F.col(ts_col) > newest, F.lit(True)).alias("accepted"))
+    earlier arrivals, since a rejected one never exceeds it).
+
+    Two-level prefix maximum, so one huge batch still spreads over many tasks:
+    arrivals are cut into chunks of ``chunk`` consecutive order values; the
+    maximum of every earlier chunk comes from a window over the small
+    per-chunk table, the rest from a running maximum inside the chunk.
+    """
+    a = arrivals.withColumn("_chunk", F.floor(F.col(order_col) / chunk))
+    per_chunk = a.groupBy(batch_col, "_chunk").agg(F.max(ts_col).alias("_chunk_max"))
+    earlier = Window.partitionBy(batch_col).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = per_chunk.select(batch_col, "_chunk", F.max("_chunk_max").over(earlier).alias("_before_chunk"))
+    inside = (Window.partitionBy(batch_col, "_chunk").orderBy(order_col)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    a = a.join(per_chunk, [batch_col, "_chunk"]).withColumn("_in_chunk", F.max(ts_col).over(inside))
+    newest = F.greatest("_before_chunk", "_in_chunk")  # greatest() skips nulls
+    return a.select(*arrivals.columns, newest.alias("newest_before"),
+                    F.coalesce(F.col(ts_col) > newest, F.lit(True)).alias("accepted"))
 
 
 def run_summary(outcomes: DataFrame) -> DataFrame:

@@ -147,11 +147,7 @@ def session_position(spark, sf_dir):
 
 
 def path_parts(spark, sf_dir):
-    n = _names(spark, sf_dir)
-    uri = (F.when(F.col("event_id") % 11 == 0, F.col("key"))
-           .when(F.col("event_id") % 11 == 1, F.lit(f"s3://{names.SOURCE_BUCKET}"))
-           .otherwise(F.col("uri")))
-    return keys.with_path_parts(n.select("event_id", uri.alias("uri")), "uri").select(
+    return keys.with_path_parts(names.uri_variants(_names(spark, sf_dir)), "uri").select(
         "event_id", "uri", "bucket", "key", "uri_valid", "key_suffix", "date_folder")
 
 

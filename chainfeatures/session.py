@@ -7,7 +7,6 @@ Library functions never build their own session; they take the caller's.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -92,12 +91,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 def fresh_shared_path(spark: SparkSession, prefix: str) -> str:
     return shared_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme, for the few helpers that use local IO in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

@@ -37,11 +37,10 @@ def event_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit(f"s3://{SOURCE_BUCKET}/"), key).alias("uri"))
 
 
-def event_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URIs with a few malformed ones: no scheme (``event_id % 11 = 0``), bucket
-    without key (``event_id % 11 = 1``)."""
-    n = event_names(spark, sf_dir)
+def uri_variants(named: DataFrame) -> DataFrame:
+    """(event_id, uri) with a few malformed URIs: no scheme (``event_id % 11 = 0``),
+    bucket without key (``event_id % 11 = 1``)."""
     uri = (F.when(F.col("event_id") % 11 == 0, F.col("key"))
            .when(F.col("event_id") % 11 == 1, F.lit(f"s3://{SOURCE_BUCKET}"))
            .otherwise(F.col("uri")))
-    return n.select("event_id", uri.alias("uri"))
+    return named.select("event_id", uri.alias("uri"))

@@ -104,3 +104,21 @@ def test_quality_quarantine(spark):
     assert sorted(r[0] for r in good.select("timestamp_int").distinct().collect()) == [1]
     missing = minute_quality(df.drop("stockPrice")).collect()
     assert all(not r["valid"] and "stockPrice" in r["error"] for r in missing)
+
+
+def test_chronology_gate_chunked_equals_plain(spark):
+    from chainfeatures.operators.worklist import chronology_gate
+
+    rows = [(b, i, (i * 7919) % 97 + (0 if b == "x" else 50)) for b in ("x", "y") for i in range(1, 400)]
+    df = spark.createDataFrame(rows, "batch string, arrival long, timestamp_int long")
+    big = {(r["batch"], r["arrival"]): r["accepted"] for r in chronology_gate(df, "batch", "arrival").collect()}
+    small = {(r["batch"], r["arrival"]): r["accepted"]
+             for r in chronology_gate(df, "batch", "arrival", chunk=16).collect()}
+    # brute force: strictly later than every earlier arrival of the batch
+    exp = {}
+    for b in ("x", "y"):
+        newest = None
+        for _, i, t in sorted(r for r in rows if r[0] == b):
+            exp[(b, i)] = newest is None or t > newest
+            newest = t if newest is None else max(newest, t)
+    assert big == small == exp
