@@ -49,3 +49,44 @@ def split_valid(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = q.filter(~F.col("valid"))
     good = panel.join(bad.select("timestamp_int"), "timestamp_int", "left_anti")
     return good, bad
+
+
+FOOTER_SCHEMA = "path string, rows long, missing string"
+
+
+def file_footer_check(listing: DataFrame, path_col: str = "path") -> DataFrame:
+    """Per file: rows and missing required columns, read from the parquet
+    footer only (no data pages).  Runs as Arrow batches over the listing, so
+    the footers are read in parallel by the executors, one task per slice of
+    the listing; an unreadable file reports ``missing = 'unreadable: ...'``."""
+    required = list(REQUIRED_COLUMNS)
+
+    def check(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for pdf in batches:
+            out = []
+            for p in pdf[path_col]:
+                try:
+                    fs, path = pafs.FileSystem.from_uri(p) if "://" in p or p.startswith("file:") \
+                        else (pafs.LocalFileSystem(), p)
+                    with fs.open_input_file(path) as f:
+                        md = pq.ParquetFile(f).metadata
+                        names = set(md.schema.names)
+                        out.append((p, md.num_rows, ",".join(c for c in required if c not in names)))
+                except Exception as e:  # noqa: BLE001 -- reported per file, others continue
+                    out.append((p, None, f"unreadable: {type(e).__name__}"))
+            yield pd.DataFrame(out, columns=["path", "rows", "missing"])
+
+    return listing.select(F.col(path_col).alias("path")).mapInPandas(check, FOOTER_SCHEMA)
+
+
+def file_failures(footers: DataFrame) -> DataFrame:
+    """Files that must not enter the queue: (path, error, error_type)."""
+    error = (F.when(F.col("missing").startswith("unreadable"), F.col("missing"))
+             .when(F.col("rows") == 0, F.lit("Empty parquet file"))
+             .when(F.col("missing") != "", F.concat(F.lit("Missing required columns: "), F.col("missing"))))
+    etype = F.when(F.col("missing").startswith("unreadable"), F.lit("OSError")).otherwise(F.lit("ValueError"))
+    return footers.select("path", error.alias("error"), etype.alias("error_type")).filter(F.col("error").isNotNull())

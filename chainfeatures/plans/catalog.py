@@ -216,6 +216,11 @@ def file_checksum(spark, sf_dir):
     return snapshots.file_checksums(spark, _minute_root(spark, sf_dir))
 
 
+def file_footer_check(spark, sf_dir):
+    """Footer-only check of every minute file: rows, missing required columns."""
+    return quality.file_footer_check(snapshots.list_files(spark, _minute_root(spark, sf_dir)))
+
+
 def snapshot_quality(spark, sf_dir):
     return quality.minute_quality(snapshots.scan_snapshots(spark, _minute_root(spark, sf_dir)))
 
@@ -306,6 +311,7 @@ QUERIES = {
     "file_listing": file_listing,
     "file_checksum": file_checksum,
     "snapshot_quality": snapshot_quality,
+    "file_footer_check": file_footer_check,
     "lineage_manifest": lineage_manifest,
     "enriched_roundtrip": enriched_roundtrip,
     "live_response": live_response,

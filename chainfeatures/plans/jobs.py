@@ -106,3 +106,54 @@ def lineage_manifest(checksums: DataFrame, minutes: DataFrame, registry: Feature
                     F.coalesce("md5", F.lit("")).alias("source_data_checksum"),
                     F.lit(reg.compute_version_hash()).alias("feature_version_hash"),
                     F.lit(now).alias("processing_timestamp")))
+
+
+def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | None = None,
+              params: FeatureParams | None = None, new_only: bool = True) -> dict:
+    """The batch event as one Spark job over a snapshot folder (reference layout):
+
+    list files -> time keys (bad names fail) -> footer check (empty file,
+    missing required column fail) -> scan the good files -> per-minute quality
+    (null/duplicate keys fail) -> features with the full valid history as
+    context -> write the minutes not yet in ``dest`` (all with
+    ``new_only=False``) partitioned by minute -> lineage manifest next to it.
+
+    Returns DataFrames: ``failures`` (uri, error, error_type), ``written``
+    (timestamp_int), ``manifest``, and ``summary`` (one row:
+    success_count, failure_count).
+    """
+    from chainfeatures.operators.keys import with_time_key
+    from chainfeatures.operators.quality import file_failures, file_footer_check, split_valid
+    from chainfeatures.plans.sinks import hadoop_exists, write_enriched
+    from chainfeatures.sources.snapshots import file_checksums, list_files, scan_snapshots
+
+    reg = registry or create_default_registry()
+    files = with_time_key(list_files(spark, source_root), "path")
+    bad_names = files.filter(~F.col("valid")).select(
+        F.col("path").alias("uri"), F.lit("Invalid filename format: expected strikes_YYYYMMDDHHMM.parquet")
+        .alias("error"), F.lit("ValueError").alias("error_type"))
+    bad_files = file_failures(file_footer_check(files.filter("valid"))).checkpoint(eager=True)
+    panel = scan_snapshots(spark, source_root).join(bad_files.select("path"), "path", "left_anti")
+    good, bad_minutes = split_valid(panel)
+    bad_minutes = bad_minutes.join(panel.select("timestamp_int", "path").distinct(), "timestamp_int").select(
+        F.col("path").alias("uri"), "error", "error_type")
+    failures = bad_names.unionByName(bad_files.select(F.col("path").alias("uri"), "error", "error_type")) \
+        .unionByName(bad_minutes).checkpoint(eager=True)
+
+    minutes = good.select("timestamp_int", "date", "minute", "path").distinct()
+    if new_only and hadoop_exists(spark, dest):
+        done = spark.read.parquet(dest).select(
+            F.concat(F.lpad(F.col("date").cast("string"), 8, "0"),
+                     F.lpad(F.col("minute").cast("string"), 4, "0")).cast("long").alias("timestamp_int")).distinct()
+        todo = minutes.select("timestamp_int").join(done, "timestamp_int", "left_anti")
+    else:
+        todo = minutes.select("timestamp_int")
+    todo = todo.checkpoint(eager=True)
+    out = run_incremental(good.drop("path"), todo, registry=reg, params=params)
+    write_enriched(out, dest)
+    manifest = lineage_manifest(file_checksums(spark, source_root),
+                                minutes.join(todo, "timestamp_int", "left_semi"), reg)
+    manifest.write.mode("append").parquet(dest.rstrip("/") + "_manifest")
+    summary = todo.agg(F.count(F.lit(1)).alias("success_count")).select(
+        "success_count", F.lit(failures.count()).alias("failure_count"))
+    return {"failures": failures, "written": todo, "manifest": manifest, "summary": summary}

@@ -17,10 +17,14 @@ MINUTE_FILE_SCHEMA = T.StructType([
 def write_enriched(df: DataFrame, dest: str) -> None:
     """Write enriched rows partitioned by minute (``date=``/``minute=``
     directories), overwriting only the minutes present in ``df`` (dynamic
-    partition overwrite), so re-running a minute or a replayed micro-batch is
-    idempotent.  ``rebalance`` lets AQE size the files (and split a hot
-    minute) before the write."""
-    (df.hint("rebalance", "date", "minute").write.mode("overwrite")
+    partition overwrite), so re-running a minute is idempotent.
+
+    Rows are hash-partitioned by minute first (an explicit count, so AQE does
+    not fold many minutes into one writer): every minute is written by exactly
+    one task, as one file, like the reference's one object per minute; a
+    minute is one snapshot, so no writer task is unbounded."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, "date", "minute").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("date", "minute").parquet(dest))
 
 

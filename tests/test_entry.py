@@ -12,7 +12,8 @@ from conftest import SF001
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 from crosscheck import compare, duck  # noqa: E402
 
-ROWS_ONLY = {"file_listing", "file_checksum", "lineage_manifest", "live_response", "streaming_features"}
+ROWS_ONLY = {"file_listing", "file_checksum", "file_footer_check", "lineage_manifest", "live_response",
+             "streaming_features"}
 
 
 def test_entry_smoke(spark):
