@@ -125,6 +125,7 @@ def offset_node(spark, sf_dir):
 # -- names, keys, work lists ------------------------------------------------------
 
 def _names(spark, sf_dir):
+    tune_session(spark)
     return fixtures.names_table(spark, sf_dir)
 
 
@@ -183,6 +184,7 @@ def history_context(spark, sf_dir):
 
 
 def chronology_gate(spark, sf_dir):
+    tune_session(spark)
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
     shifted = F.col("ts") + F.expr("make_dt_interval(0, 0, CAST((event_id * 7919) % 5 - 2 AS INT), 0)")
     arrivals = ev.select("event_id", F.date_format("ts", "yyyyMMdd").alias("batch"),

@@ -128,7 +128,7 @@ def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | No
     from chainfeatures.sources.snapshots import file_checksums, list_files, scan_snapshots
 
     reg = registry or create_default_registry()
-    files = with_time_key(list_files(spark, source_root), "path")
+    files = with_time_key(list_files(spark, source_root), "path").checkpoint(eager=True)
     bad_names = files.filter(~F.col("valid")).select(
         F.col("path").alias("uri"), F.lit("Invalid filename format: expected strikes_YYYYMMDDHHMM.parquet")
         .alias("error"), F.lit("ValueError").alias("error_type"))
@@ -149,7 +149,18 @@ def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | No
     else:
         todo = minutes.select("timestamp_int")
     todo = todo.checkpoint(eager=True)
-    out = run_incremental(good.drop("path"), todo, registry=reg, params=params)
+    # Read only the files of the new minutes and their look-back context:
+    # positions come from the spine of all valid minutes (names + one price
+    # column), the rows from a scan pruned to the needed files.
+    spine, spine_rows = build_spine(normalise_panel(good.select("timestamp_int", "stockPrice")))
+    need = context_minutes(spine, todo, reg.max_lookback())
+    n_need = need.count()
+    if n_need < spine_rows:
+        # file paths of the needed minutes: metadata, one per minute read
+        paths = [r["path"] for r in minutes.join(need, "timestamp_int", "left_semi").select("path").collect()]
+        good = good.filter(F.col("path").isin(paths))
+    out = run_incremental(good.drop("path"), todo, registry=reg, params=params, spine=spine,
+                          spine_rows=spine_rows)
     write_enriched(out, dest)
     manifest = lineage_manifest(file_checksums(spark, source_root),
                                 minutes.join(todo, "timestamp_int", "left_semi"), reg)

@@ -33,6 +33,11 @@ PLAN_CONF = {
 def tune_session(spark: SparkSession) -> SparkSession:
     for k, v in PLAN_CONF.items():
         spark.conf.set(k, v)
+    # Folder listing runs as a Spark job with one task per directory up to this
+    # many tasks; a few tasks per core lists thousands of date folders without
+    # thousands of tiny tasks.
+    par = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(min(10000, max(64, 4 * par))))
     return spark
 
 
@@ -52,6 +57,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    tune_session(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
