@@ -24,28 +24,47 @@ SEQ = "minute_seq"
 
 
 class Frames:
-    """Window text for one partitioning (e.g. ``expirDate, block``)."""
+    """Window text for one partitioning (e.g. ``expirDate, block``).
 
-    def __init__(self, *partition: str):
+    With a ``sink`` dict, every distinct windowed aggregate is registered once
+    under a generated column name and the name is returned instead of the
+    text: the pipeline computes the registered aggregates in one projection
+    and the features from their names in the next, so an aggregate used twice
+    by a formula (a std in a guard and a divisor) is evaluated once.
+    """
+
+    def __init__(self, *partition: str, sink: dict | None = None, tag: str = "w"):
         self.partition = ", ".join(f"`{p}`" for p in partition)
         self.spec = f"PARTITION BY {self.partition} ORDER BY {SEQ}"
+        self.sink = sink
+        self.tag = tag
+        self.keys = partition
+
+    def staged(self, sink: dict, tag: str) -> "Frames":
+        return Frames(*self.keys, sink=sink, tag=tag)
 
     def over(self, lo: str, hi: str) -> str:
         return f"OVER ({self.spec} RANGE BETWEEN {lo} AND {hi})"
 
+    def _win(self, text: str) -> str:
+        if self.sink is None:
+            return text
+        name = self.sink.setdefault(text, f"_{self.tag}{len(self.sink)}")
+        return f"`{name}`"
+
     def lag(self, x: str, k: int) -> str:
-        return f"max({x}) {self.over(f'{k} PRECEDING', f'{k} PRECEDING')}"
+        return self._win(f"max({x}) {self.over(f'{k} PRECEDING', f'{k} PRECEDING')}")
 
     def hist(self, agg: str, x: str, n: int) -> str:
-        return f"{agg}({x}) {self.over(f'{n} PRECEDING', '1 PRECEDING')}"
+        return self._win(f"{agg}({x}) {self.over(f'{n} PRECEDING', '1 PRECEDING')}")
 
     def cur(self, agg: str, x: str, n: int) -> str:
-        return f"{agg}({x}) {self.over(f'{n} PRECEDING', 'CURRENT ROW')}"
+        return self._win(f"{agg}({x}) {self.over(f'{n} PRECEDING', 'CURRENT ROW')}")
 
     def span(self, agg: str, x: str, lo: int, hi: int = 0) -> str:
         """Positions s-lo .. s-hi."""
         end = "CURRENT ROW" if hi == 0 else f"{hi} PRECEDING"
-        return f"{agg}({x}) {self.over(f'{lo} PRECEDING', end)}"
+        return self._win(f"{agg}({x}) {self.over(f'{lo} PRECEDING', end)}")
 
 
 def available(window_size: int) -> str:

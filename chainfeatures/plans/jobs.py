@@ -75,12 +75,11 @@ def run_live(panel: DataFrame, minute_ts: int, registry: FeatureRegistry | None
     loaded = ctx.count()  # at most history_minutes rows
     hash_ = reg.compute_version_hash()
     in_cols = [c for c in panel.columns if c not in ("timestamp_int", "date", "minute", "path")]
+    stamp = f"{int(minute_ts):012d}"
     meta = out.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.min("stockPrice").alias("stock_price"),
-        F.first("date", ignorenulls=True).alias("date"),
-        F.first("minute", ignorenulls=True).alias("minute"),
-    ).select(
+    ).select(F.lit(stamp[:8]).alias("date"), F.lit(stamp[8:]).alias("minute"), "*").select(
         F.lit(len(in_cols) + len(reg.get_active_features())).alias("feature_count"),
         "row_count", "date", "minute", "stock_price",
         F.lit(hash_).alias("feature_version_hash"),

@@ -36,6 +36,18 @@ def expr(e) -> Column:
     return F.expr(e) if isinstance(e, str) else e
 
 
+def staged_select(df: DataFrame, ctx: Context, build, tag: str) -> DataFrame:
+    """Add the columns returned by ``build(staged_ctx) -> {name: expr}`` in two
+    projections: first every distinct windowed aggregate they use (once),
+    then the expressions themselves; the helper columns are dropped."""
+    sink: dict = {}
+    cols = build(ctx.staged(sink, tag))
+    if sink:
+        df = df.select("*", *[F.expr(text).alias(name) for text, name in sink.items()])
+    df = df.select("*", *[expr(c).alias(n) for n, c in cols.items()])
+    return df.drop(*sink.values()) if sink else df
+
+
 def normalise_panel(panel: DataFrame) -> DataFrame:
     """NaN -> null in floating columns (Spark aggregates propagate NaN, the
     reference treats it as missing); float -> double; absent optional inputs
@@ -122,9 +134,9 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     if minute_secs:
         ms = timeline.with_blocks(spine.select(SEQ, "stockPrice"), block, halo)
         ms = ms.repartition(nparts, "block")
-        for s in minute_secs:
-            ms = ms.select("*", *[expr(c).alias(n) for n, c in s.row_inputs(ctx).items()])
-        ms = ms.select("*", *[expr(c).alias(n) for s in minute_secs for n, c in s.columns(ctx).items()])
+        for i, s in enumerate(minute_secs):
+            ms = staged_select(ms, ctx, s.row_inputs, f"mi{i}_")
+        ms = staged_select(ms, ctx, lambda c: {n: e for s in minute_secs for n, e in s.columns(c).items()}, "mf_")
         minute_feats = ms.filter(~F.col("is_halo")).select(
             SEQ, *[F.col(f"`{n}`") for s in minute_secs for n in s.feature_names])
 
@@ -143,18 +155,18 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
         base = timeline.attach_seq(p, spine, spine_rows)
         nodes = base.groupBy("expirDate", SEQ).agg(*[expr(c).alias(n) for n, c in node_aggs.items()])
         nodes = timeline.with_blocks(nodes, block, halo).repartition(nparts, "expirDate", "block")
-        nodes = nodes.select(*KEYS, *node_aggs.keys(),
-                             *[expr(c).alias(n) for s in node_secs for n, c in s.columns(ctx).items()])
+        nodes = staged_select(nodes, ctx, lambda c: {n: e for s in node_secs for n, e in s.columns(c).items()}, "nf_")
+        node_feats = [n for s in node_secs for n in s.columns(ctx)]
+        nodes = nodes.select(*KEYS, *node_aggs.keys(), *[F.col(f"`{n}`") for n in node_feats])
         rows = rows.join(nodes, list(KEYS), "left")
 
     # --- contract level: one window pass -------------------------------------
     contract_secs = [s for _, s in sections if s.level == "contract"]
-    inputs = {n: c for s in contract_secs for n, c in s.row_inputs(ctx).items()}
-    if inputs:
-        rows = rows.select("*", *[expr(c).alias(n) for n, c in inputs.items()])
-    contract_cols = [expr(c).alias(n) for s in contract_secs for n, c in s.columns(ctx).items()]
-    if contract_cols:
-        rows = rows.select("*", *contract_cols)
+    rows = staged_select(rows, ctx, lambda c: {n: e for s in contract_secs for n, e in s.row_inputs(c).items()},
+                         "ci_")
+    if contract_secs:
+        rows = staged_select(rows, ctx, lambda c: {n: e for s in contract_secs for n, e in s.columns(c).items()},
+                             "cf_")
     rows = rows.filter(~F.col("is_halo"))
     if keep is not None:
         rows = rows.filter(keep)

@@ -38,6 +38,11 @@ class Context:
     def gate(self, n: int) -> str:
         return frames.gate(n, self.params.window_size)
 
+    def staged(self, sink: dict, tag: str) -> "Context":
+        """A copy whose frames register their window aggregates in ``sink``."""
+        return Context(params=self.params, minute=self.minute.staged(sink, tag),
+                       node=self.node.staged(sink, tag), contract=self.contract.staged(sink, tag))
+
 
 class FeatureSection:
     """Base class for a feature section; subclasses set ``name``, ``level``,

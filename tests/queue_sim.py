@@ -16,6 +16,20 @@ import numpy as np
 import pandas as pd
 
 OFFSETS = (-2, -1, 0, 1, 2)
+ALL_FEATURES = (
+    [f"UnderlyingReturn_L{k}" for k in (1, 5, 15)] + [f"UnderlyingCumReturn_{k}" for k in (5, 15, 30)]
+    + [f"Underlying{s}_{n}" for s in ("SMA", "EMA", "Vol") for n in (5, 15, 30)]
+    + [f"ATM_{t}Change_L{k}" for t in ("CallIV", "CallSpreadPct", "CallGamma") for k in (1, 5, 15)]
+    + [f"ATM_CallIVZ_{n}" for n in (5, 15, 30)]
+    + [f"{p}_{o}_{s}" for o in OFFSETS for p, s in (("IV_offsetChange", "L1"), ("IV_offsetChange", "L5"),
+                                                   ("IV_offsetZ", "5"), ("IV_offsetZ", "15"),
+                                                   ("SpreadPct_offsetZ", "5"), ("SpreadPct_offsetZ", "15"))]
+    + [f"IV_SkewToATM_{o}" for o in OFFSETS]
+    + [f"{p}_Change_L{k}" for p in ("IVPercentile", "VolumePercentile", "OIPercentile") for k in (5, 15)]
+    + ["VolumeShare_Expiry", "VolumeShare_ExpirySMA_15", "VolumeShare_ExpirySMA_30"]
+    + [f"{leg}{s}" for leg in ("Call", "Put") for s in ("MidReturn_L1", "MidReturn_L2", "MidReturn_L3", "MidZ_3",
+                                                        "MidZ_5", "IVChange_L1", "IVZ_3", "IVZ_5", "VolumeZ_3",
+                                                        "VolumeZ_5", "SpreadPctChange_L1")])
 NAN = float("nan")
 
 
@@ -197,6 +211,8 @@ def simulate(minutes: list[pd.DataFrame], window_size: int = 300) -> pd.DataFram
                     m = cur[key + [c]].merge(st, on=key, how="left")
                     col(name)[:] = np.where(m["std"] > 1e-6, (m[c] - m["mean"]) / m["std"], NAN)
         frame = cur[["timestamp_int", "expirDate", "strike"]].copy()
+        for k in ALL_FEATURES:
+            col(k)
         for k, v in row_feats.items():
             frame[k] = np.round(np.round(np.asarray(v, dtype=float), 4), 4)
         results.append(frame)

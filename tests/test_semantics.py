@@ -77,3 +77,29 @@ def test_engine_matches_simulator(spark, block):
         if not (same_null.all() and close.all()):
             bad.append((f, int((~same_null).sum()), int((~close).sum())))
     assert not bad, bad
+
+
+@pytest.mark.parametrize("history", [60, 8])
+def test_live_minute_matches_simulator(spark, history):
+    """run_live: the newest minute against its preloaded history only (the
+    newest ``history`` earlier minutes within 5 days) = a fresh queue holding
+    exactly those minutes."""
+    from chainfeatures.plans.jobs import run_live
+
+    minutes = _panel()
+    expected = simulate(minutes[-(history + 1):] if history < len(minutes) else minutes)
+    last = minutes[-1]["timestamp_int"].iloc[0]
+    expected = expected[expected["timestamp_int"] == last]
+    df = spark.createDataFrame(pd.concat(minutes, ignore_index=True))
+    rows, meta = run_live(df, int(last), history_minutes=history)
+    got = rows.toPandas()
+    feats = create_default_registry().get_active_features()
+    key = ["timestamp_int", "expirDate", "strike"]
+    m = got[key + feats].merge(expected[key + feats], on=key, suffixes=("", "_sim"))
+    assert len(m) == len(expected) > 0
+    for f in feats:
+        a, b = m[f].astype(float).values, m[f + "_sim"].astype(float).values
+        assert ((np.isnan(a) & np.isnan(b)) | (np.abs(a - b) <= 1.000001e-4)).all(), f
+    md = meta.first()
+    assert md["history_minutes_loaded"] == min(history, len(minutes) - 1) + 1
+    assert md["feature_version_hash"] == "0613f3add0197063" and md["row_count"] == len(expected)
