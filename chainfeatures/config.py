@@ -39,20 +39,18 @@ class FeatureParams:
     """Run parameters.
 
     ``block_minutes`` is the engine's own knob: panel windows are partitioned by
-    (key, minute_seq block) with a halo of ``max_lookback`` earlier minutes, so
-    that no window partition grows with the length of the history and a hot key
-    spreads over many tasks.
+    (key, minute_seq block) with a halo of the deepest look-back of the enabled
+    sections, so that no window partition grows with the length of the history
+    and a hot key spreads over many tasks.  The live/incremental preload limits
+    (60 minutes, 5 days) are arguments of ``plans.jobs.run_live``.
     """
 
     precision: int = NUMERIC_PRECISION
     window_size: int = HISTORY_WINDOW_SIZE
     block_minutes: int | None = None  # None: sized from the spine (pipeline.block_size)
-    max_lookback: int = 30
-    history_minutes: int = HISTORY_PRELOAD_MINUTES
-    history_days: int | None = None  # None: unlimited day look-back (full recompute)
 
     def __post_init__(self):
-        if self.block_minutes is not None and self.block_minutes <= self.max_lookback:
-            raise ValueError("block_minutes must exceed max_lookback")
+        if self.block_minutes is not None and self.block_minutes < 2:
+            raise ValueError("block_minutes must be at least 2")
         if self.window_size <= 0 or self.precision < 0:
             raise ValueError("window_size must be positive and precision non-negative")

@@ -278,7 +278,7 @@ def streaming_features(spark, sf_dir):
     root = _minute_root(spark, sf_dir)
     base = fresh_shared_path(spark, "stream")
     q = start_stream(spark, root, f"{base}/sink", f"{base}/state", f"{base}/checkpoint",
-                     max_files_per_trigger=500)
+                     max_files_per_trigger=1000)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

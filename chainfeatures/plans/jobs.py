@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainfeatures.config import FeatureParams
+from chainfeatures.config import HISTORY_PRELOAD_DAYS, HISTORY_PRELOAD_MINUTES, FeatureParams
 from chainfeatures.functions.frames import SEQ
 from chainfeatures.operators import timeline
 from chainfeatures.operators.worklist import history_context
@@ -53,8 +53,8 @@ def run_incremental(panel: DataFrame, new_minutes: DataFrame, registry: FeatureR
 
 
 def run_live(panel: DataFrame, minute_ts: int, registry: FeatureRegistry | None = None,
-             params: FeatureParams | None = None, history_days: int = 5,
-             history_minutes: int = 60) -> tuple[DataFrame, DataFrame]:
+             params: FeatureParams | None = None, history_days: int = HISTORY_PRELOAD_DAYS,
+             history_minutes: int = HISTORY_PRELOAD_MINUTES) -> tuple[DataFrame, DataFrame]:
     """One minute against its preloaded history: the newest ``history_minutes``
     earlier valid minutes from its date and the ``history_days`` days before.
     Gates count that loaded history (as a freshly started queue would).
