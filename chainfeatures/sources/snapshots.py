@@ -34,12 +34,18 @@ def file_checksums(spark: SparkSession, root: str, glob: str = "*.parquet") -> D
             .select("path", "length", F.md5("content").alias("md5")))
 
 
-def scan_snapshots(spark: SparkSession, root: str, schema=None, keep_invalid: bool = False) -> DataFrame:
+def scan_snapshots(spark: SparkSession, root: str, schema=None, keep_invalid: bool = False,
+                   merge_schema: bool = False) -> DataFrame:
     """Rows of every ``strikes_*.parquet`` snapshot under ``root`` with the
     time key taken from the file name: timestamp_int, date, minute, path, then
-    the file's own columns (extra columns pass through).  Files whose name is
-    not a valid time key are dropped unless ``keep_invalid``."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    the files' own columns (extra columns pass through).  Files whose name is
+    not a valid time key are dropped unless ``keep_invalid``.
+
+    The schema comes from ``schema``, else from one footer; with
+    ``merge_schema`` every footer is read (in parallel) and columns that only
+    some files have are kept, null elsewhere."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
+        .option("mergeSchema", str(bool(merge_schema)).lower())
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(root)
