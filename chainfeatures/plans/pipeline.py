@@ -118,6 +118,7 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     halo = max(reg.max_lookback(), 1)
     ctx = Context(params=params)
     sections = reg.active_sections()
+    validate_sections(sections, ctx, panel.columns)
     in_cols = list(panel.columns)
     p = normalise_panel(panel)
 
@@ -187,6 +188,20 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     return rows.select(out)
 
 
+def validate_sections(sections, ctx: Context, input_columns) -> None:
+    """Each section must produce exactly the features it declares, and no
+    feature may shadow an input column or another section's feature."""
+    seen = set(input_columns)
+    for name, s in sections:
+        got = list(s.columns(ctx).keys())
+        if sorted(got) != sorted(s.feature_names):
+            raise ValueError(f"section '{name}' declares {sorted(s.feature_names)} but produces {sorted(got)}")
+        clash = seen & set(got)
+        if clash:
+            raise ValueError(f"section '{name}': feature names already used: {sorted(clash)}")
+        seen |= set(got)
+
+
 def node_table(panel: DataFrame, registry: FeatureRegistry | None = None,
                params: FeatureParams | None = None) -> DataFrame:
     """(timestamp_int, expirDate) rows with the node aggregates, unblocked

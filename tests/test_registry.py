@@ -51,3 +51,21 @@ def test_plugin_section(spark):
     out = compute_features(derived_chain(spark, "/root/testdata/sf0.001"), registry=reg)
     assert out.columns[-2:] == ["SpreadGap", "SpreadGapChange_L2"]
     assert out.filter(F.col("SpreadGapChange_L2").isNotNull()).count() > 0
+
+
+class Wrong(FeatureSection):
+    name = "section_wrong"
+    level = "contract"
+    lookback = 1
+    feature_names = ("A", "B")
+
+    def columns(self, ctx):
+        return {"A": "1.0D"}
+
+
+def test_plugin_must_add_declared_names(spark):
+    from chainfeatures.sources.chain import derived_chain
+
+    reg = create_default_registry().register_section("section_wrong", Wrong()).enable_section("section_wrong")
+    with pytest.raises(ValueError, match="declares"):
+        compute_features(derived_chain(spark, "/root/testdata/sf0.001"), registry=reg)
