@@ -113,6 +113,9 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     missing = [c for c in ("timestamp_int",) + REQUIRED_COLUMNS if c not in panel.columns]
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
+    reserved = {SEQ, "block", "is_halo"} & set(panel.columns)
+    if reserved or any(c.startswith("_") for c in panel.columns if c not in ("_metadata",)):
+        raise ValueError(f"Input columns clash with engine columns: {sorted(reserved) or 'leading underscore'}")
     params = params or FeatureParams()
     spark = panel.sparkSession
     halo = max(reg.max_lookback(), 1)
