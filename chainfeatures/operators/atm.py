@@ -21,7 +21,7 @@ class AtmSection(FeatureSection):
     )
 
     def node_aggs(self, ctx: Context):
-        return {"_atm": atm_pick(_VALUES)}
+        return {f"_atm_{a}": atm_pick(c) for a, c in _VALUES.items()}
 
     def columns(self, ctx: Context):
         fr = ctx.node
@@ -31,11 +31,11 @@ class AtmSection(FeatureSection):
             return f"CASE WHEN {ctx.gate(k)} AND {v} IS NOT NULL THEN {v} - {fr.lag(v, k)} END"
 
         for k in (1, 5, 15):
-            out[f"ATM_CallIVChange_L{k}"] = change("_atm.iv", k)
+            out[f"ATM_CallIVChange_L{k}"] = change("_atm_iv", k)
         for n in (5, 15, 30):
-            out[f"ATM_CallIVZ_{n}"] = zscore_with_current("_atm.iv", fr, n, ctx.gate(n))
+            out[f"ATM_CallIVZ_{n}"] = zscore_with_current("_atm_iv", fr, n, ctx.gate(n))
         for k in (1, 5, 15):
-            out[f"ATM_CallSpreadPctChange_L{k}"] = change("_atm.sp", k)
+            out[f"ATM_CallSpreadPctChange_L{k}"] = change("_atm_sp", k)
         for k in (1, 5, 15):
-            out[f"ATM_CallGammaChange_L{k}"] = change("_atm.gm", k)
+            out[f"ATM_CallGammaChange_L{k}"] = change("_atm_gm", k)
         return {name: out[name] for name in self.feature_names}

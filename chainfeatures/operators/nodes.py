@@ -1,20 +1,27 @@
 """Per (minute, expiry) node values: the ATM row and the fixed-offset rows.
 
-Aggregates only (``min_by``), so Spark combines them map-side before the
-shuffle: one row per (minute, expiry) and task crosses the network, not the
-panel.
+Aggregates only (``min_by`` with numeric orderings and numeric values), so
+Spark runs them as a code-generated hash aggregate and combines them map-side
+before the shuffle: one row per (minute, expiry) and task crosses the
+network, not the panel.
 """
 
 from __future__ import annotations
 
+# (|distance| to 1e-6, strike to 1e-8) packed into one exact DECIMAL(38,0):
+# |d|*1e6 < 1e12 and strike*1e8 < 1e18 for any real chain, so the packed
+# value orders rows exactly like the pair, and a decimal (unlike a struct) is
+# a mutable aggregation buffer: the aggregate stays hash-based.
+ATM_ORDER = ("CASE WHEN distance_to_atm IS NOT NULL AND strike IS NOT NULL THEN "
+             "CAST(round(abs(distance_to_atm) * 1000000) AS DECIMAL(38,0)) * CAST(1000000000000000000 AS DECIMAL(38,0))"
+             " + CAST(round(strike * 100000000) AS DECIMAL(38,0)) END")
 
-def atm_pick(values: dict[str, str]) -> str:
-    """Values of the row with the smallest |distance_to_atm| (null distances
-    ignored); ties go to the lowest strike, i.e. the first row of a
-    strike-sorted file.  The picked value may itself be null."""
-    fields = ", ".join(f"'{a}', `{c}`" for a, c in values.items())
-    return (f"min_by(named_struct({fields}), CASE WHEN distance_to_atm IS NOT NULL "
-            f"THEN named_struct('d', abs(distance_to_atm), 'k', strike) END)")
+
+def atm_pick(column: str) -> str:
+    """Value of ``column`` in the row with the smallest |distance_to_atm|
+    (null distances ignored); ties go to the lowest strike, i.e. the first row
+    of a strike-sorted file.  The picked value may itself be null."""
+    return f"min_by(`{column}`, {ATM_ORDER})"
 
 
 def offset_pick(column: str, offset: int) -> str:

@@ -109,8 +109,8 @@ def positional_lag(spark, sf_dir):
 
 def atm_node(spark, sf_dir):
     n = node_table(chain(spark, sf_dir), registry_with({"section_atm"}))
-    return n.select("timestamp_int", "expirDate", F.col("_atm.iv").alias("atm_CallIVMid"),
-                    F.col("_atm.sp").alias("atm_CallSpreadPct"), F.col("_atm.gm").alias("atm_CallGamma"))
+    return n.select("timestamp_int", "expirDate", F.col("_atm_iv").alias("atm_CallIVMid"),
+                    F.col("_atm_sp").alias("atm_CallSpreadPct"), F.col("_atm_gm").alias("atm_CallGamma"))
 
 
 def offset_node(spark, sf_dir):
