@@ -12,7 +12,7 @@ from chainfeatures.operators.nodes import offset_pick
 from chainfeatures.plans.registry import Context, FeatureSection
 
 
-def _tag(o: int) -> str:
+def offset_tag(o: int) -> str:
     return f"m{-o}" if o < 0 else f"p{o}"
 
 
@@ -30,16 +30,16 @@ class OffsetSection(FeatureSection):
     def node_aggs(self, ctx: Context):
         aggs = {}
         for o in OFFSETS:
-            aggs[f"_iv_{_tag(o)}"] = offset_pick("CallIVMid", o)
-            aggs[f"_sp_{_tag(o)}"] = offset_pick("CallSpreadPct", o)
+            aggs[f"_iv_{offset_tag(o)}"] = offset_pick("CallIVMid", o)
+            aggs[f"_sp_{offset_tag(o)}"] = offset_pick("CallSpreadPct", o)
         return aggs
 
     def columns(self, ctx: Context):
         fr = ctx.node
-        atm_iv = f"_iv_{_tag(0)}"
+        atm_iv = f"_iv_{offset_tag(0)}"
         out = {}
         for o in OFFSETS:
-            iv, sp = f"_iv_{_tag(o)}", f"_sp_{_tag(o)}"
+            iv, sp = f"_iv_{offset_tag(o)}", f"_sp_{offset_tag(o)}"
 
             def present(e):
                 return f"CASE WHEN {iv} IS NOT NULL THEN {e} END"

@@ -14,7 +14,7 @@ from chainfeatures.config import OFFSETS, FeatureParams
 from chainfeatures.functions import timekeys as K
 from chainfeatures.functions.frames import SEQ
 from chainfeatures.operators import keys, quality, timeline, worklist
-from chainfeatures.operators.offset import _tag
+from chainfeatures.operators.offset import offset_tag
 from chainfeatures.plans import jobs
 from chainfeatures.plans.coverage import feature_coverage
 from chainfeatures.plans.pipeline import build_spine, compute_features, node_table, normalise_panel
@@ -117,8 +117,8 @@ def offset_node(spark, sf_dir):
     n = node_table(chain(spark, sf_dir), registry_with({"section_offset"}))
     cols = []
     for o in OFFSETS:
-        cols += [F.col(f"_iv_{_tag(o)}").alias(f"CallIVMid_{_tag(o)}"),
-                 F.col(f"_sp_{_tag(o)}").alias(f"CallSpreadPct_{_tag(o)}")]
+        cols += [F.col(f"_iv_{offset_tag(o)}").alias(f"CallIVMid_{offset_tag(o)}"),
+                 F.col(f"_sp_{offset_tag(o)}").alias(f"CallSpreadPct_{offset_tag(o)}")]
     return n.select("timestamp_int", "expirDate", *cols)
 
 
