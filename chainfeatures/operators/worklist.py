@@ -38,7 +38,7 @@ def worklist_by_date(todo: DataFrame, uri_prefix: str) -> DataFrame:
                          F.count(F.lit(1)).over(Window.partitionBy("date")).alias("files_in_date"))
     dates = todo.select("date").distinct()  # one row per calendar date
     dates = dates.select("date", F.row_number().over(Window.orderBy("date")).alias("date_order"))
-    return items.join(F.broadcast(dates), "date").select(
+    return items.join(dates, "date").select(
         "date", "date_order", "uri", "position", "files_in_date")
 
 

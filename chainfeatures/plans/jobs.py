@@ -45,8 +45,8 @@ def run_incremental(panel: DataFrame, new_minutes: DataFrame, registry: FeatureR
         spine, spine_rows = build_spine(normalise_panel(panel))
     need = context_minutes(spine, new_minutes, reg.max_lookback())
     need = need.checkpoint(eager=True)  # small: one row per needed minute
-    rows = panel.join(F.broadcast(need) if (spine_rows or 0) <= timeline.SPINE_BROADCAST_MAX_ROWS else need,
-                      "timestamp_int", "inner")
+    small = spine_rows is not None and spine_rows <= timeline.SPINE_BROADCAST_MAX_ROWS  # need ⊆ spine
+    rows = panel.join(F.broadcast(need) if small else need, "timestamp_int", "inner")
     out = compute_features(rows.drop("is_new"), registry=reg, params=params, spine=spine,
                            spine_rows=spine_rows)
     return out.join(need.filter("is_new").select("timestamp_int"), "timestamp_int", "left_semi")
@@ -69,7 +69,7 @@ def run_live(panel: DataFrame, minute_ts: int, registry: FeatureRegistry | None
     ctx = history_context(target, spine, max_minutes=history_minutes, window_size=params.window_size,
                           days=history_days)
     minutes = ctx.select(F.col("context_timestamp_int").alias("timestamp_int")).union(target)
-    rows = panel.join(F.broadcast(minutes), "timestamp_int", "left_semi")
+    rows = panel.join(F.broadcast(minutes), "timestamp_int", "left_semi")  # <= history_minutes + 1 rows
     out = compute_features(rows, registry=reg, params=params)
     out = out.filter(F.col("timestamp_int") == F.lit(minute_ts))
     loaded = ctx.count()  # at most history_minutes rows
