@@ -2,12 +2,15 @@
 
 Shape of the physical plan (see README "Plan"):
 
-* minute spine: distinct minutes, two-level numbering -> checkpointed (tiny)
+* node values per (expirDate, minute) are aggregated map-side from the scan
+  and checkpointed (about 1/strikes of the panel); the minute spine (distinct
+  minutes, two-level numbering, the minute's price) is derived from that small
+  table and checkpointed too -- so the panel itself is scanned twice in all
 * panel rows get ``minute_seq`` by a broadcast join with the spine (size checked)
 * rows are cut into time blocks with a halo of the deepest look-back and
   hash-partitioned ONCE by (expirDate, block)
-* node values per (expirDate, minute) are aggregated map-side, blocked the same
-  way, and their rolling features computed over (expirDate, block)
+* the node table is blocked the same way and its rolling features computed
+  over (expirDate, block)
 * the node join on (expirDate, block, minute_seq) and the contract window over
   (expirDate, block, strike) both reuse the panel's partitioning: no further
   shuffle of the panel
@@ -125,8 +128,22 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     in_cols = list(panel.columns)
     p = normalise_panel(panel)
 
+    node_aggs = {}
+    for _, s in sections:
+        node_aggs.update(s.node_aggs(ctx))
+    node_raw = None
+    if node_aggs:
+        # per (expiry, minute) node values, aggregated map-side straight from
+        # the scan (no positions needed yet); the minute price rides along so
+        # that, on a full run, the spine comes from this small table instead
+        # of another pass over the panel
+        node_raw = p.groupBy("expirDate", "timestamp_int").agg(
+            *[expr(c).alias(n) for n, c in node_aggs.items()], F.min("stockPrice").alias("_px"))
+        if spine is None:
+            node_raw = node_raw.checkpoint(eager=True)
     if spine is None:
-        spine, spine_rows = build_spine(p)
+        src = p if node_raw is None else node_raw.select("timestamp_int", F.col("_px").alias("stockPrice"))
+        spine, spine_rows = build_spine(src)
     block = block_size(params, spine_rows, spark.sparkContext.defaultParallelism, halo)
     if halo >= block:
         raise ValueError("block_minutes must exceed the deepest look-back")
@@ -151,13 +168,9 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     rows = timeline.with_blocks(rows, block, halo).repartition(nparts, "expirDate", "block")
 
     # --- node level ---------------------------------------------------------
-    node_aggs = {}
-    for _, s in sections:
-        node_aggs.update(s.node_aggs(ctx))
     node_secs = [s for _, s in sections if s.level == "node"]
-    if node_aggs:
-        base = timeline.attach_seq(p, spine, spine_rows)
-        nodes = base.groupBy("expirDate", SEQ).agg(*[expr(c).alias(n) for n, c in node_aggs.items()])
+    if node_raw is not None:
+        nodes = timeline.attach_seq(node_raw.drop("_px"), spine, spine_rows).drop("timestamp_int")
         nodes = timeline.with_blocks(nodes, block, halo).repartition(nparts, "expirDate", "block")
         nodes = staged_select(nodes, ctx, lambda c: {n: e for s in node_secs for n, e in s.columns(c).items()}, "nf_")
         node_feats = [n for s in node_secs for n in s.columns(ctx)]
