@@ -20,6 +20,7 @@ from chainfeatures.operators import timeline
 from chainfeatures.operators.worklist import history_context
 from chainfeatures.plans.pipeline import build_spine, compute_features, normalise_panel
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
+from chainfeatures.session import materialize
 
 
 def context_minutes(spine: DataFrame, new_minutes: DataFrame, lookback: int) -> DataFrame:
@@ -44,7 +45,7 @@ def run_incremental(panel: DataFrame, new_minutes: DataFrame, registry: FeatureR
     if spine is None:
         spine, spine_rows = build_spine(normalise_panel(panel))
     need = context_minutes(spine, new_minutes, reg.max_lookback())
-    need = need.checkpoint(eager=True)  # small: one row per needed minute
+    need = materialize(need)  # small: one row per needed minute
     small = spine_rows is not None and spine_rows <= timeline.SPINE_BROADCAST_MAX_ROWS  # need ⊆ spine
     rows = panel.join(F.broadcast(need) if small else need, "timestamp_int", "inner")
     out = compute_features(rows.drop("is_new"), registry=reg, params=params, spine=spine,
@@ -127,17 +128,17 @@ def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | No
     from chainfeatures.sources.snapshots import file_checksums, list_files, scan_snapshots
 
     reg = registry or create_default_registry()
-    files = with_time_key(list_files(spark, source_root), "path").checkpoint(eager=True)
+    files = materialize(with_time_key(list_files(spark, source_root), "path"))
     bad_names = files.filter(~F.col("valid")).select(
         F.col("path").alias("uri"), F.lit("Invalid filename format: expected strikes_YYYYMMDDHHMM.parquet")
         .alias("error"), F.lit("ValueError").alias("error_type"))
-    bad_files = file_failures(file_footer_check(files.filter("valid"))).checkpoint(eager=True)
+    bad_files = materialize(file_failures(file_footer_check(files.filter("valid"))))
     panel = scan_snapshots(spark, source_root).join(bad_files.select("path"), "path", "left_anti")
     good, bad_minutes = split_valid(panel)
     bad_minutes = bad_minutes.join(panel.select("timestamp_int", "path").distinct(), "timestamp_int").select(
         F.col("path").alias("uri"), "error", "error_type")
-    failures = bad_names.unionByName(bad_files.select(F.col("path").alias("uri"), "error", "error_type")) \
-        .unionByName(bad_minutes).checkpoint(eager=True)
+    failures = materialize(bad_names.unionByName(bad_files.select(F.col("path").alias("uri"), "error", "error_type"))
+                           .unionByName(bad_minutes))
 
     minutes = good.select("timestamp_int", "date", "minute", "path").distinct()
     if new_only and hadoop_exists(spark, dest):
@@ -147,7 +148,7 @@ def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | No
         todo = minutes.select("timestamp_int").join(done, "timestamp_int", "left_anti")
     else:
         todo = minutes.select("timestamp_int")
-    todo = todo.checkpoint(eager=True)
+    todo = materialize(todo)
     # Read only the files of the new minutes and their look-back context:
     # positions come from the spine of all valid minutes (names + one price
     # column), the rows from a scan pruned to the needed files.

@@ -31,6 +31,7 @@ from chainfeatures.functions.frames import SEQ
 from chainfeatures.functions.rounding import half_even_sql
 from chainfeatures.operators import timeline
 from chainfeatures.plans.registry import Context, FeatureRegistry, create_default_registry
+from chainfeatures.session import materialize
 
 KEYS = ("expirDate", "block", SEQ)
 
@@ -75,9 +76,7 @@ def build_spine(panel: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, i
     spine = timeline.minute_spine(panel)
     if not checkpoint:
         return spine, None
-    from chainfeatures.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(panel.sparkSession)
-    spine = spine.checkpoint(eager=True)
+    spine = materialize(spine)
     return spine, spine.count()
 
 
@@ -140,7 +139,7 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
         node_raw = p.groupBy("expirDate", "timestamp_int").agg(
             *[expr(c).alias(n) for n, c in node_aggs.items()], F.min("stockPrice").alias("_px"))
         if spine is None:
-            node_raw = node_raw.checkpoint(eager=True)
+            node_raw = materialize(node_raw)
     if spine is None:
         src = p if node_raw is None else node_raw.select("timestamp_int", F.col("_px").alias("stockPrice"))
         spine, spine_rows = build_spine(src)

@@ -97,3 +97,21 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 def fresh_shared_path(spark: SparkSession, prefix: str) -> str:
     return shared_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Reliable checkpoint (into ``spark.checkpoint.dir``) computed once.
+
+    ``checkpoint(eager=True)`` alone runs the plan twice -- once to count, once
+    more to write the checkpoint files; persisting first lets the write read
+    the cached blocks.  The cache is dropped afterwards: later reads come from
+    the checkpoint files, which survive executor loss."""
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+    return out

@@ -31,6 +31,7 @@ from chainfeatures.operators.keys import with_time_key
 from chainfeatures.plans.pipeline import compute_features
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
 from chainfeatures.plans.sinks import hadoop_exists, write_batch
+from chainfeatures.session import materialize
 
 POSITIONS_SCHEMA = T.StructType([
     T.StructField("timestamp_int", T.LongType()),
@@ -77,7 +78,7 @@ def _process(batch: DataFrame, epoch: int, sink: str, state: str,
     # maxFilesPerTrigger minutes, so this small window is bounded)
     fresh = fresh.select("timestamp_int", "path",
                          (F.lit(newest_s) + F.row_number().over(Window.orderBy("timestamp_int"))).alias(SEQ))
-    fresh = fresh.checkpoint(eager=True)
+    fresh = materialize(fresh)
     if fresh.isEmpty():
         return
     ctx = known.filter(F.col(SEQ) > F.lit(newest_s - lookback))
