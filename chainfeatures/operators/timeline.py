@@ -37,7 +37,8 @@ def minute_spine(panel: DataFrame) -> DataFrame:
     ranked = per_minute.select(
         "timestamp_int", "stockPrice", "_day",
         F.row_number().over(Window.partitionBy("_day").orderBy("timestamp_int")).alias("_rn"))
-    return (ranked.join(per_day, "_day")
+    # per_day has one row per calendar day (≤ 366 a year): a bound by construction
+    return (ranked.join(F.broadcast(per_day), "_day")
             .select("timestamp_int", (F.col("_offset") + F.col("_rn")).cast("long").alias(SEQ),
                     "stockPrice"))
 

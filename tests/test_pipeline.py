@@ -63,14 +63,15 @@ def test_plan_shuffles_panel_once(chain):
     plan = out._jdf.queryExecution().executedPlan().toString()
     ex = [line.strip() for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     by_block = [e for e in ex if "hashpartitioning(expirDate" in e and "block" in e]
-    # panel rows once and the (small, pre-aggregated, checkpointed) node table
-    # once, both by (expirDate, block); the node join and the contract window
-    # reuse that partitioning -- no further exchange keyed on the panel
-    assert len(by_block) == 2, ex
-    assert not [e for e in ex if "hashpartitioning(expirDate" in e and e not in by_block], ex
+    by_minute = [e for e in ex if "hashpartitioning(expirDate" in e and "minute_seq" in e]
+    # panel rows once and the (small) node table once, both by (expirDate, block);
+    # the node aggregate once by (expirDate, minute_seq) after a map-side
+    # partial aggregation; the node join and the contract window reuse the
+    # (expirDate, block) partitioning -- no further exchange of the panel
+    assert len(by_block) == 2 and len(by_minute) == 1, ex
+    assert "partial_min_by" in plan and "SortAggregate" not in plan
     assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
     assert plan.count("Window [") >= 3
-    assert "SortAggregate" not in plan
 
 
 def test_scan_prunes_columns(spark, tmp_path):
