@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding
+from . import decontam, mixing, neardup, sharding
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op4_neardup": neardup.op4_neardup,
+    "op7_decontamination": decontam.op7_decontamination,
     "op5_sharding": sharding.op5_sharding,
 }
 
