@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontam, mixing, neardup, sharding
+from . import decontam, mixing, neardup, sharding, suffix_dedup
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op4_neardup": neardup.op4_neardup,
     "op7_decontamination": decontam.op7_decontamination,
     "op5_sharding": sharding.op5_sharding,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
 }
 
 ORACLES = {
