@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontam, mixing, neardup, sharding, suffix_dedup
+from . import decontam, mixing, neardup, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op4_neardup": neardup.op4_neardup,
     "op7_decontamination": decontam.op7_decontamination,
     "op5_sharding": sharding.op5_sharding,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {
