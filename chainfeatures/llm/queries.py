@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontam, mixing, neardup, quality, sharding, suffix_dedup, toxicity
+from . import decontam, mixing, neardup, pii, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_pii": pii.op3_pii,
     "op4_neardup": neardup.op4_neardup,
     "op7_decontamination": decontam.op7_decontamination,
     "op5_sharding": sharding.op5_sharding,
