@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, mixing, neardup, pii, quality, sharding, suffix_dedup, toxicity
+from . import decontam, html_text, mixing, neardup, pii, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_neardup": neardup.op4_neardup,
     "op7_decontamination": decontam.op7_decontamination,
     "op5_sharding": sharding.op5_sharding,
+    "op8_html_text": html_text.op8_html_text,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_quality": quality.op10_quality,
 }
