@@ -74,34 +74,34 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: ``doc_id, source, size, source_size, target, copies, taken``
     and the ``keep`` columns of ``docs`` as a struct ``row``."""
     spark = docs.sparkSession
-    d = docs.select(
+    full = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.coalesce(F.md5(F.col(text_col).cast("string")), F.lit("")).alias("__tie"),
         *([F.struct(*[F.col(c) for c in keep]).alias("row")] if keep else []))
     # size class: number of digits and the first two of them, so classes are at most 10 % wide
     digits = F.col("size").cast("string")
-    d = d.withColumn("__class", F.length(digits) * 100 + F.rpad(F.substring(digits, 1, 2), 2, "0").cast("int"))
-    # ids and sizes only: the texts are read once, and each later step starts from here
-    d = shared_table(d, "mix-sizes")
-    n = d.count()
-    salts = max(LEAST_SALTS, -(-n // ROWS_PER_SALT))
-    # crc-like salt from the id; rows that share an id and a size differ by the text
-    d = d.withColumn("__salt", F.pmod(_md5_number(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__tie")), F.lit(min(salts, _HEX))))
-
-    blocks = d.groupBy("source", "__class", "__salt").agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("__words"))
+    full = (full.withColumn("__src", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")))  # a key without nulls
+            .withColumn("__class", F.length(digits) * 100 + F.rpad(F.substring(digits, 1, 2), 2, "0").cast("int")))
+    # ids and sizes are written once; the texts are not counted again for the sums
+    slim = shared_table(full.select("doc_id", "source", "__src", "size", "__class", "__tie"), "mix-sizes")
+    salts = max(LEAST_SALTS, -(-slim.count() // ROWS_PER_SALT))
+    # rows that share an id and a size differ by the text
+    salt = F.pmod(_md5_number(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__tie")), F.lit(min(salts, _HEX)))
+    slim = slim.withColumn("__salt", salt)
+    d = full.withColumn("__salt", salt) if keep else slim
+
+    blocks = slim.groupBy("source", "__src", "__class", "__salt").agg(F.count(F.lit(1)).alias("__n"), F.sum("size").alias("__words"))
     targets = source_targets(blocks.groupBy("source").agg(F.sum("__words").alias("source_size")), weights, max_repeat)
-    before = Window.partitionBy("source").orderBy("__class", "__salt").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.pmod(_md5_number(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")))), F.lit(1 << 16)) / F.lit(float(1 << 16))
+    before = Window.partitionBy("__src").orderBy("__class", "__salt").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.pmod(_md5_number(F.concat_ws("|", F.lit(str(seed)), "__src")), F.lit(1 << 16)) / F.lit(float(1 << 16))
     blocks = (blocks.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
               .join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-              .select(F.col("source").alias("__bs"), F.col("__class").alias("__bc"), F.col("__salt").alias("__bb"),
-                      "__before", "source_size", "target",
+              .select("__src", "__class", "__salt", "__before", "source_size", "target",
                       F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__c"),
                       offset.alias("__u")))
-    inside = Window.partitionBy("source", "__class", "__salt").orderBy("size", F.col("doc_id").asc_nulls_last(), "__tie")
-    ranked = d.withColumn("__r", F.row_number().over(inside))
-    j = ranked.join(blocks, F.col("source").eqNullSafe(F.col("__bs")) & (F.col("__class") == F.col("__bc")) & (F.col("__salt") == F.col("__bb")))
+    inside = Window.partitionBy("__src", "__class", "__salt").orderBy("size", F.col("doc_id").asc_nulls_last(), "__tie")
+    j = d.withColumn("__r", F.row_number().over(inside)).join(blocks, ["__src", "__class", "__salt"])
     r = F.col("__before") + F.col("__r")
     copies = F.floor(F.col("__c") * r + F.col("__u")) - F.floor(F.col("__c") * (r - 1) + F.col("__u"))
     return j.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("copies") * F.col("size")).select(

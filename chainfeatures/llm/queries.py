@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontam, html_text, mixing, neardup, pii, quality, sharding, suffix_dedup, toxicity
+from . import ann, decontam, html_text, mixing, neardup, pii, quality, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_pii": pii.op3_pii,
     "op4_neardup": neardup.op4_neardup,
+    "op6_ann": ann.op6_ann,
     "op7_decontamination": decontam.op7_decontamination,
     "op5_sharding": sharding.op5_sharding,
     "op8_html_text": html_text.op8_html_text,
