@@ -1,219 +1,195 @@
-"""A small, slow, obviously-correct queue simulator (plain pandas/NumPy) used
-as a second oracle on hand-made panels.
-
-It walks the minutes in time order, keeps the list of earlier minutes (the
-queue), and evaluates every feature from that list exactly as the semantics
-are stated (SURVEY S1-S8): positional look-back, global warm-up, per-expiry
-nodes re-selected each minute, z-scores with/without the current value,
-NumPy means, pandas EMA, half-even rounding.  Not used by the engine.
+"""Second oracle: every feature straight from SURVEY S1-S8, one value at a time.
+
+The panel is turned into look-up tables keyed by minute position, ``{key: {position:
+value}}``, and each feature is a formula over positions ``s - k``.  No frames are
+merged or grouped per minute; sums are plain Python (``math.fsum``).  Slow, and used on
+hand-made panels only.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
 
 OFFSETS = (-2, -1, 0, 1, 2)
-ALL_FEATURES = (
-    [f"UnderlyingReturn_L{k}" for k in (1, 5, 15)] + [f"UnderlyingCumReturn_{k}" for k in (5, 15, 30)]
-    + [f"Underlying{s}_{n}" for s in ("SMA", "EMA", "Vol") for n in (5, 15, 30)]
-    + [f"ATM_{t}Change_L{k}" for t in ("CallIV", "CallSpreadPct", "CallGamma") for k in (1, 5, 15)]
-    + [f"ATM_CallIVZ_{n}" for n in (5, 15, 30)]
-    + [f"{p}_{o}_{s}" for o in OFFSETS for p, s in (("IV_offsetChange", "L1"), ("IV_offsetChange", "L5"),
-                                                   ("IV_offsetZ", "5"), ("IV_offsetZ", "15"),
-                                                   ("SpreadPct_offsetZ", "5"), ("SpreadPct_offsetZ", "15"))]
-    + [f"IV_SkewToATM_{o}" for o in OFFSETS]
-    + [f"{p}_Change_L{k}" for p in ("IVPercentile", "VolumePercentile", "OIPercentile") for k in (5, 15)]
-    + ["VolumeShare_Expiry", "VolumeShare_ExpirySMA_15", "VolumeShare_ExpirySMA_30"]
-    + [f"{leg}{s}" for leg in ("Call", "Put") for s in ("MidReturn_L1", "MidReturn_L2", "MidReturn_L3", "MidZ_3",
-                                                        "MidZ_5", "IVChange_L1", "IVZ_3", "IVZ_5", "VolumeZ_3",
-                                                        "VolumeZ_5", "SpreadPctChange_L1")])
-NAN = float("nan")
-
-
-def _isnan(x) -> bool:
-    return x is None or (isinstance(x, float) and math.isnan(x))
-
-
-def _price(df):
-    return df["stockPrice"].iloc[0]
-
-
-def _atm_row(df, e):
-    g = df[df["expirDate"] == e]
-    d = g["distance_to_atm"].abs()
-    if g.empty or d.notna().sum() == 0:
+INPUTS = ("CallMid", "CallIVMid", "CallSpreadPct", "callVolume", "PutMid", "PutIVMid", "PutSpreadPct", "putVolume", "CallGamma",
+          "IVPercentile_Expiry", "VolumePercentile_Expiry", "OIPercentile_Expiry", "distance_to_atm", "stockPrice")
+
+
+def _value(x):
+    """A float, or None for anything missing."""
+    return None if x is None or x != x else float(x)
+
+
+def _minus(a, b):
+    return None if a is None or b is None else a - b
+
+
+def _log_ratio(a, b):
+    return math.log(a / b) if a is not None and b is not None and a > 0 and b > 0 else None
+
+
+def _mean(v):
+    return math.fsum(v) / len(v)
+
+
+def _spread(v):
+    """Sample standard deviation; None for fewer than two values."""
+    if len(v) < 2:
         return None
-    g = g[d == d.min()].sort_values("strike", kind="mergesort")
-    return g.iloc[0]
+    m = _mean(v)
+    return math.sqrt(math.fsum((x - m) ** 2 for x in v) / (len(v) - 1))
+
+
+class Panel:
+    """Look-up tables of a panel: contract values, expiry nodes, prices, shares."""
+
+    def __init__(self, minutes):
+        self.contract = {c: defaultdict(dict) for c in INPUTS}
+        self.rows = []
+        self.price = {}
+        self.atm = defaultdict(dict)
+        self.node = defaultdict(dict)
+        self.share = defaultdict(dict)
+        for s, frame in enumerate(minutes, 1):
+            mine = [{c: r[c] if c in ("timestamp_int", "expirDate", "strike") else _value(r[c]) for c in ("timestamp_int", "expirDate", "strike", *INPUTS)}
+                    for r in frame.to_dict("records")]
+            self.price[s] = mine[0]["stockPrice"]
+            volume = defaultdict(list)
+            for r in mine:
+                key = (r["expirDate"], r["strike"])
+                self.rows.append((s, r["timestamp_int"], key))
+                for c in INPUTS:
+                    self.contract[c][key][s] = r[c]
+                volume[key[0]].append(r["callVolume"] or 0.0)
+            for r in sorted(mine, key=lambda r: r["strike"]):  # lowest strike wins ties
+                e, d = r["expirDate"], r["distance_to_atm"]
+                total = math.fsum(volume[e])
+                if total > 0:
+                    self.share[e, r["strike"]][s] = None if r["callVolume"] is None else r["callVolume"] / total
+                if d is None:
+                    continue
+                best = self.atm[e].get(s)
+                if best is None or abs(d) < abs(best["distance_to_atm"]):
+                    self.atm[e][s] = r
+                if d in OFFSETS:
+                    self.node[e, int(d)].setdefault(s, r)
 
 
-def _atm_val(df, e, col):
-    r = _atm_row(df, e)
-    if r is None or _isnan(r[col]):
+def _series(table, column):
+    return {s: r[column] for s, r in table.items()}
+
+
+def _z_with_current(series, s, n, queue):
+    """Current value against the last n minutes and itself (S4)."""
+    if queue < n or series.get(s) is None:
         return None
-    return float(r[col])
+    seen = [series[t] for t in range(s - n, s + 1) if series.get(t) is not None]
+    sd = _spread(seen)
+    return None if sd is None or sd < 1e-6 else (series[s] - _mean(seen)) / sd
 
 
-def _off_val(df, e, o, col):
-    g = df[(df["expirDate"] == e) & (df["distance_to_atm"] == o)].sort_values("strike", kind="mergesort")
-    if g.empty or _isnan(g.iloc[0][col]):
+def _z_of_history(series, s, n, queue):
+    """Current value against the last n minutes without itself (S4)."""
+    if queue < n or series.get(s) is None:
         return None
-    return float(g.iloc[0][col])
+    seen = [series[t] for t in range(s - n, s) if series.get(t) is not None]
+    sd = _spread(seen)
+    return None if sd is None or not sd > 1e-6 else (series[s] - _mean(seen)) / sd
+
+
+def _change(series, s, k, queue):
+    return _minus(series.get(s), series.get(s - k)) if queue >= k else None
+
+
+def _underlying(p, s, queue):
+    out = {}
+    ratio = {k: _log_ratio(p.price[s], p.price[s - k]) if queue >= k else None for k in (1, 5, 15, 30)}
+    for k in (1, 5, 15):
+        out[f"UnderlyingReturn_L{k}"] = ratio[k]
+    for k in (5, 15, 30):
+        out[f"UnderlyingCumReturn_{k}"] = ratio[k]
+    for n in (5, 15, 30):
+        path = [p.price[t] for t in range(s - n, s + 1)] if queue >= n else None
+        whole = path is not None and None not in path
+        out[f"UnderlyingSMA_{n}"] = _mean(path) if whole else None
+        if whole:
+            level, weight = path[0], 2 / (n + 1)
+            for x in path[1:]:
+                level += weight * (x - level)
+        out[f"UnderlyingEMA_{n}"] = level if whole else None
+        steps = [r for r in map(_log_ratio, path[1:], path)if r is not None] if path else []
+        out[f"UnderlyingVol_{n}"] = math.sqrt(math.fsum(r * r for r in steps)) if steps else None
+    return out
 
 
-def _z_incl(cur, hist_vals):
-    if _isnan(cur):
-        return NAN
-    vals = [v for v in hist_vals if v is not None] + [cur]
-    if len(vals) < 2:
-        return NAN
-    m, s = np.mean(vals), np.std(vals, ddof=1)
-    return NAN if s < 1e-6 else (cur - m) / s
+def _expiry(p, e, s, queue):
+    out = {}
+    for column, name in (("CallIVMid", "CallIV"), ("CallSpreadPct", "CallSpreadPct"), ("CallGamma", "CallGamma")):
+        v = _series(p.atm[e], column)
+        for k in (1, 5, 15):
+            out[f"ATM_{name}Change_L{k}"] = _change(v, s, k, queue)
+    iv = _series(p.atm[e], "CallIVMid")
+    for n in (5, 15, 30):
+        out[f"ATM_CallIVZ_{n}"] = _z_with_current(iv, s, n, queue)
+    at_money = _series(p.node[e, 0], "CallIVMid").get(s)
+    for o in OFFSETS:
+        iv, spread = _series(p.node[e, o], "CallIVMid"), _series(p.node[e, o], "CallSpreadPct")
+        known = iv.get(s) is not None  # without a volatility the offset has no features at all
+        for k in (1, 5):
+            out[f"IV_offsetChange_{o}_L{k}"] = _change(iv, s, k, queue)
+        for n in (5, 15):
+            out[f"IV_offsetZ_{o}_{n}"] = _z_with_current(iv, s, n, queue)
+            out[f"SpreadPct_offsetZ_{o}_{n}"] = _z_with_current(spread, s, n, queue) if known else None
+        out[f"IV_SkewToATM_{o}"] = _minus(iv.get(s), at_money)
+    return out
 
 
-def _shares(df):
-    out = pd.Series(NAN, index=df.index)
-    for e, g in df.groupby("expirDate"):
-        tot = g["callVolume"].sum()
-        if tot > 0:
-            out.loc[g.index] = g["callVolume"] / tot
+def _contract(p, key, s, queue):
+    out = {}
+    share = p.share[key]
+    out["VolumeShare_Expiry"] = share.get(s)
+    for n in (15, 30):
+        seen = [share[t] for t in range(s - n, s + 1) if share.get(t) is not None] if queue >= n else []
+        out[f"VolumeShare_ExpirySMA_{n}"] = _mean(seen) if seen else None
+    for name in ("IV", "Volume", "OI"):
+        for k in (5, 15):
+            out[f"{name}Percentile_Change_L{k}"] = _change(p.contract[f"{name}Percentile_Expiry"][key], s, k, queue)
+    for leg in ("Call", "Put"):
+        mid, iv, volume = (p.contract[c][key] for c in (f"{leg}Mid", f"{leg}IVMid", f"{leg.lower()}Volume"))
+        for k in (1, 2, 3):
+            out[f"{leg}MidReturn_L{k}"] = _log_ratio(mid.get(s), mid.get(s - k)) if queue >= k else None
+        out[f"{leg}IVChange_L1"] = _change(iv, s, 1, queue)
+        out[f"{leg}SpreadPctChange_L1"] = _change(p.contract[f"{leg}SpreadPct"][key], s, 1, queue)
+        for n in (3, 5):
+            for name, series in (("Mid", mid), ("IV", iv), ("Volume", volume)):
+                out[f"{leg}{name}Z_{n}"] = _z_of_history(series, s, n, queue)
     return out
 
 
+def _feature_names():
+    p = Panel([pd.DataFrame([{c: 1.0 for c in ("timestamp_int", "expirDate", "strike", *INPUTS)}])])
+    return [*_underlying(p, 1, 0), *_expiry(p, 1.0, 1, 0), *_contract(p, (1.0, 1.0), 1, 0)]
+
+
+ALL_FEATURES = _feature_names()
+
+
 def simulate(minutes: list[pd.DataFrame], window_size: int = 300) -> pd.DataFrame:
     """minutes: per-minute frames in time order (each with timestamp_int)."""
-    results = []
-    for i, cur in enumerate(minutes):
-        q = minutes[max(0, i - window_size):i]
-        n_q = len(q)
-
-        def hist(k):
-            return q[-k] if n_q >= k else None
-
-        def window(n):
-            return q[-n:] if n_q >= n else None
-
-        cur = cur.reset_index(drop=True)
-        f = {}
-        # underlying
-        p = _price(cur)
-
-        def ret(k):
-            h = hist(k)
-            if h is None:
-                return NAN
-            hp = _price(h)
-            if not (hp > 0 and p > 0):
-                return NAN
-            return math.log(p / hp)
-
-        for k in (1, 5, 15):
-            f[f"UnderlyingReturn_L{k}"] = ret(k)
-        for k in (5, 15, 30):
-            f[f"UnderlyingCumReturn_{k}"] = ret(k)
-        for n in (5, 15, 30):
-            w = window(n)
-            prices = None if w is None else [_price(h) for h in w] + [p]
-            f[f"UnderlyingSMA_{n}"] = NAN if w is None else float(np.mean(prices))
-            f[f"UnderlyingEMA_{n}"] = NAN if w is None else float(
-                pd.Series(prices).ewm(span=n, adjust=False).mean().iloc[-1])
-            if w is None:
-                f[f"UnderlyingVol_{n}"] = NAN
-            else:
-                sq = []
-                for a, b in zip(prices[:-1], prices[1:]):
-                    if a <= 0 or b <= 0:
-                        continue
-                    sq.append(math.log(b / a) ** 2)
-                f[f"UnderlyingVol_{n}"] = NAN if not sq else float(np.sqrt(np.sum(sq)))
-        row_feats = {k: np.full(len(cur), v) for k, v in f.items()}
-
-        def col(name):
-            row_feats.setdefault(name, np.full(len(cur), NAN))
-            return row_feats[name]
-
-        # nodes per expiry
-        for e, g in cur.groupby("expirDate"):
-            idx = g.index.values
-            atm = _atm_row(cur, e)
-            if atm is not None:
-                for c, tag in (("CallIVMid", "CallIV"), ("CallSpreadPct", "CallSpreadPct"), ("CallGamma", "CallGamma")):
-                    v = atm[c]
-                    for k in (1, 5, 15):
-                        h = hist(k)
-                        hv = None if h is None else _atm_val(h, e, c)
-                        col(f"ATM_{tag}Change_L{k}")[idx] = NAN if (_isnan(v) or hv is None) else v - hv
-                for n in (5, 15, 30):
-                    w = window(n)
-                    col(f"ATM_CallIVZ_{n}")[idx] = NAN if w is None else _z_incl(
-                        atm["CallIVMid"], [_atm_val(h, e, "CallIVMid") for h in w])
-            atm_iv = _off_val(cur, e, 0, "CallIVMid")
-            for o in OFFSETS:
-                iv = _off_val(cur, e, o, "CallIVMid")
-                sp = _off_val(cur, e, o, "CallSpreadPct")
-                if iv is None:
-                    continue
-                for k in (1, 5):
-                    h = hist(k)
-                    hv = None if h is None else _off_val(h, e, o, "CallIVMid")
-                    col(f"IV_offsetChange_{o}_L{k}")[idx] = NAN if hv is None else iv - hv
-                for n in (5, 15):
-                    w = window(n)
-                    col(f"IV_offsetZ_{o}_{n}")[idx] = NAN if w is None else _z_incl(
-                        iv, [_off_val(h, e, o, "CallIVMid") for h in w])
-                    col(f"SpreadPct_offsetZ_{o}_{n}")[idx] = NAN if (w is None or sp is None) else _z_incl(
-                        sp, [_off_val(h, e, o, "CallSpreadPct") for h in w])
-                col(f"IV_SkewToATM_{o}")[idx] = NAN if atm_iv is None else iv - atm_iv
-        # cross-sectional
-        share = _shares(cur)
-        col("VolumeShare_Expiry")[:] = share.values
-        key = ["expirDate", "strike"]
-        for k in (5, 15):
-            h = hist(k)
-            for pre, c in (("IVPercentile", "IVPercentile_Expiry"), ("VolumePercentile", "VolumePercentile_Expiry"),
-                           ("OIPercentile", "OIPercentile_Expiry")):
-                if h is None:
-                    continue
-                m = cur[key + [c]].merge(h[key + [c]], on=key, how="left", suffixes=("", "_h"))
-                col(f"{pre}_Change_L{k}")[:] = (m[c] - m[c + "_h"]).values
-        for n in (15, 30):
-            w = window(n)
-            if w is None:
-                continue
-            parts = [h[key].assign(s=_shares(h).values) for h in w] + [cur[key].assign(s=share.values)]
-            mean = pd.concat(parts).groupby(key)["s"].mean()
-            col(f"VolumeShare_ExpirySMA_{n}")[:] = [mean.get((a, b), NAN) for a, b in zip(cur.expirDate, cur.strike)]
-        # contract
-        for leg in ("Call", "Put"):
-            mid, iv, sp, vol = f"{leg}Mid", f"{leg}IVMid", f"{leg}SpreadPct", f"{leg.lower()}Volume"
-            for k in (1, 2, 3):
-                h = hist(k)
-                if h is None:
-                    continue
-                m = cur[key + [mid]].merge(h[key + [mid]], on=key, how="left", suffixes=("", "_h"))
-                ok = (m[mid] > 0) & (m[mid + "_h"] > 0)
-                col(f"{leg}MidReturn_L{k}")[:] = np.where(ok, np.log(m[mid] / m[mid + "_h"]), NAN)
-            h = hist(1)
-            if h is not None:
-                for c, name in ((iv, f"{leg}IVChange_L1"), (sp, f"{leg}SpreadPctChange_L1")):
-                    m = cur[key + [c]].merge(h[key + [c]], on=key, how="left", suffixes=("", "_h"))
-                    col(name)[:] = (m[c] - m[c + "_h"]).values
-            for n in (3, 5):
-                w = window(n)
-                if w is None:
-                    continue
-                hw = pd.concat([h[key + [mid, iv, vol]] for h in w])
-                for c, name in ((mid, f"{leg}MidZ_{n}"), (iv, f"{leg}IVZ_{n}"), (vol, f"{leg}VolumeZ_{n}")):
-                    st = hw.groupby(key)[c].agg(["mean", "std"]).reset_index()
-                    m = cur[key + [c]].merge(st, on=key, how="left")
-                    col(name)[:] = np.where(m["std"] > 1e-6, (m[c] - m["mean"]) / m["std"], NAN)
-        frame = cur[["timestamp_int", "expirDate", "strike"]].copy()
-        for k in ALL_FEATURES:
-            col(k)
-        for k, v in row_feats.items():
-            frame[k] = np.round(np.round(np.asarray(v, dtype=float), 4), 4)
-        results.append(frame)
-    return pd.concat(results, ignore_index=True)
+    p = Panel(minutes)
+    per_minute, per_expiry, out = {}, {}, []
+    for s, stamp, key in p.rows:
+        queue = min(s - 1, window_size)
+        if s not in per_minute:
+            per_minute[s] = _underlying(p, s, queue)
+        if (s, key[0]) not in per_expiry:
+            per_expiry[s, key[0]] = _expiry(p, key[0], s, queue)
+        out.append({"timestamp_int": stamp, "expirDate": key[0], "strike": key[1], **per_minute[s], **per_expiry[s, key[0]], **_contract(p, key, s, queue)})
+    frame = pd.DataFrame(out)
+    for c in ALL_FEATURES:
+        frame[c] = np.round(np.round(frame[c].astype(float), 4), 4)
+    return frame
