@@ -31,11 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+#: Rows for each file of a table whose size is known to be small, and files at least.
+ROWS_PER_FILE, LEAST_FILES = 250_000, 8
+
+
+def shared_table(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Lineage ends at the written files: an executor lost later costs a re-read,
-    not a recomputation."""
+    not a recomputation.  Where about ``rows`` rows are known to come, the table gets a
+    number of files that fits them instead of one for each shuffle partition."""
+    if rows is not None:
+        df = df.coalesce(max(LEAST_FILES, rows // ROWS_PER_FILE))
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/chainfeatures-llm/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)

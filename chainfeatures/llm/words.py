@@ -1,6 +1,6 @@
 """Words of many texts as NumPy arrays of 64-bit hashes.
 
-Texts are joined into blocks of about 1 MB, so that a task holds a few arrays of that
+Texts are joined into blocks of about half a MB, so that a task holds a few arrays of that
 size whatever the number of texts; a longer text is a block of its own and is
 hashed piece by piece.  The hash of a word is a polynomial over random 64-bit
 values of its (lower-cased) bytes, taken from running sums, then mixed.
@@ -13,7 +13,7 @@ from hashlib import blake2b
 
 import numpy as np
 
-BLOCK = 1 << 20
+BLOCK = (1 << 19) - 1
 _rng = np.random.default_rng(20240229)
 _VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
