@@ -8,8 +8,8 @@ network, not the panel.
 
 from __future__ import annotations
 
-# (|distance| to 1e-6, strike to 1e-8) packed into one exact DECIMAL(38,0):
-# |d|*1e6 < 1e12 and strike*1e8 < 1e18 for any real chain, so the packed
+# For whole-number distances: (|distance|, strike to 1e-8) packed into one exact
+# DECIMAL(38,0): |d|*1e6 < 1e12 and strike*1e8 < 1e18 for any real chain, so the packed
 # value orders rows exactly like the pair, and a decimal (unlike a struct) is
 # a mutable aggregation buffer: the aggregate stays hash-based.
 ATM_ORDER = ("CASE WHEN distance_to_atm IS NOT NULL AND strike IS NOT NULL THEN "
@@ -27,3 +27,12 @@ def atm_pick(column: str) -> str:
 def offset_pick(column: str, offset: int) -> str:
     """Value at ``distance_to_atm == offset`` (lowest strike if repeated); null if absent."""
     return f"min_by(`{column}`, CASE WHEN distance_to_atm = {offset} THEN strike END)"
+
+
+def exact_order(aggregate, integral: bool):
+    """The pick as it stands for whole-number distances; for fractional ones the pair itself is
+    the order, so that no difference, however small, is rounded to a tie."""
+    if integral or not isinstance(aggregate, str):
+        return aggregate
+    pair = "CASE WHEN distance_to_atm IS NOT NULL AND strike IS NOT NULL THEN struct(abs(distance_to_atm) AS d, strike AS s) END"
+    return aggregate.replace(ATM_ORDER, pair)

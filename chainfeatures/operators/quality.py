@@ -1,9 +1,10 @@
 """Snapshot validation: which minutes may enter the queue.
 
-A minute is rejected (quarantined) when it is empty, lacks a required column,
-has a null key, or repeats a (expirDate, strike) key; rejected minutes never
-get a position on the spine.  Checks are aggregations per minute, so a bad
-minute costs nothing extra and other minutes carry on.
+A minute is rejected (quarantined) when its file is unreadable, empty or lacks a required
+column (``sources.snapshots.footer_failures``), when it has a null key, repeats a
+(expirDate, strike) key, has several prices, or when fewer rows could be read than its
+file holds; rejected minutes never get a position on the spine.  Checks are aggregations
+per minute, so a bad minute costs nothing extra and other minutes carry on.
 """
 
 from __future__ import annotations
@@ -13,80 +14,48 @@ from pyspark.sql import functions as F
 
 from chainfeatures.config import REQUIRED_COLUMNS
 
+QUALITY_COLUMNS = ("timestamp_int", "rows", "null_key_rows", "duplicate_keys", "valid", "error", "error_type")
 
-def minute_quality(panel: DataFrame) -> DataFrame:
-    """One row per minute: rows, null_key_rows, duplicate_keys, missing
-    required columns, valid, error, error_type."""
+
+def minute_facts(panel: DataFrame, footers: DataFrame | None = None) -> DataFrame:
+    """One row per minute: the ``minute_quality`` columns, ``stockPrice`` (the minute's price) and, if the
+    panel has it, ``path``.  With ``footers`` (path, rows) also minutes of which rows are missing or
+    nothing could be read."""
     missing = [c for c in REQUIRED_COLUMNS if c not in panel.columns]
     if missing:
-        base = panel.groupBy("timestamp_int").agg(F.count(F.lit(1)).alias("rows"))
-        return base.select(
-            "timestamp_int", "rows", F.lit(None).cast("long").alias("null_key_rows"),
-            F.lit(None).cast("long").alias("duplicate_keys"), F.lit(False).alias("valid"),
-            F.lit(f"Missing required columns: {missing}").alias("error"), F.lit("ValueError").alias("error_type"))
-    per_key = (panel.groupBy("timestamp_int", "expirDate", "strike")
-               .agg(F.count(F.lit(1)).alias("_n")))
-    per_minute = per_key.groupBy("timestamp_int").agg(
-        F.sum("_n").alias("rows"),
-        F.sum(F.when(F.col("expirDate").isNull() | F.col("strike").isNull(), F.col("_n")).otherwise(0))
-        .alias("null_key_rows"),
-        F.count_if((F.col("_n") > 1) & F.col("expirDate").isNotNull() & F.col("strike").isNotNull())
-        .alias("duplicate_keys"))
-    error = (F.when(F.col("rows") == 0, F.lit("Empty snapshot"))
-             .when(F.col("null_key_rows") > 0, F.lit("Null expirDate or strike"))
-             .when(F.col("duplicate_keys") > 0, F.lit("Duplicate (expirDate, strike)")))
-    return per_minute.select(
-        "timestamp_int", F.col("rows").cast("long").alias("rows"),
-        F.col("null_key_rows").cast("long").alias("null_key_rows"),
-        F.col("duplicate_keys").cast("long").alias("duplicate_keys"),
-        error.isNull().alias("valid"), error.alias("error"),
-        F.when(error.isNotNull(), F.lit("ValueError")).alias("error_type"))
-
-
-def split_valid(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of valid minutes, per-minute quarantine records)."""
-    q = minute_quality(panel)
-    bad = q.filter(~F.col("valid"))
-    good = panel.join(bad.select("timestamp_int"), "timestamp_int", "left_anti")
-    return good, bad
-
+        raise ValueError(f"Missing required columns: {missing}")
+    path = F.min("path") if "path" in panel.columns else F.lit(None).cast("string")
+    per_key = panel.groupBy("timestamp_int", "expirDate", "strike").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("stockPrice").alias("_lo"), F.max("stockPrice").alias("_hi"), path.alias("_path"))
+    null_key = F.col("expirDate").isNull() | F.col("strike").isNull()
+    facts = per_key.groupBy("timestamp_int").agg(
+        F.sum("_n").alias("rows"), F.sum(F.when(null_key, F.col("_n")).otherwise(0)).alias("null_key_rows"),
+        F.count_if((F.col("_n") > 1) & ~null_key).alias("duplicate_keys"),
+        F.min("_lo").alias("stockPrice"), F.max("_hi").alias("_hi"), F.min("_path").alias("path"))
+    short = F.lit(None).cast("string")
+    if footers is not None:
+        from chainfeatures.operators.keys import with_time_key
+
+        held = with_time_key(footers.select("path", "rows"), "path").filter("valid").groupBy("timestamp_int").agg(
+            F.sum("rows").alias("_held"), F.min("path").alias("_file"))
+        facts = facts.join(held, "timestamp_int", "right").withColumn("path", F.coalesce("path", "_file"))
+        short = F.when(F.coalesce("rows", F.lit(0)) != F.col("_held"), F.concat(
+            F.lit("Read "), F.coalesce("rows", F.lit(0)).cast("string"), F.lit(" of "), F.col("_held").cast("string"), F.lit(" rows")))
+    error = F.coalesce(short, F.when(F.col("null_key_rows") > 0, F.lit("Null expirDate or strike"))
+                       .when(F.col("duplicate_keys") > 0, F.lit("Duplicate (expirDate, strike)"))
+                       .when(F.col("_hi") > F.col("stockPrice"), F.lit("Several stockPrice values")))
+    return facts.select(
+        "timestamp_int", *[F.col(c).cast("long").alias(c) for c in ("rows", "null_key_rows", "duplicate_keys")],
+        error.isNull().alias("valid"), error.alias("error"), F.when(error.isNotNull(), F.lit("ValueError")).alias("error_type"),
+        "stockPrice", "path")
 
-FOOTER_SCHEMA = "path string, rows long, missing string"
 
-
-def file_footer_check(listing: DataFrame, path_col: str = "path") -> DataFrame:
-    """Per file: rows and missing required columns, read from the parquet
-    footer only (no data pages).  Runs as Arrow batches over the listing, so
-    the footers are read in parallel by the executors, one task per slice of
-    the listing; an unreadable file reports ``missing = 'unreadable: ...'``."""
-    required = list(REQUIRED_COLUMNS)
-
-    def check(batches):
-        import pandas as pd
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        for pdf in batches:
-            out = []
-            for p in pdf[path_col]:
-                try:
-                    fs, path = pafs.FileSystem.from_uri(p) if "://" in p or p.startswith("file:") \
-                        else (pafs.LocalFileSystem(), p)
-                    with fs.open_input_file(path) as f:
-                        md = pq.ParquetFile(f).metadata
-                        names = set(md.schema.names)
-                        out.append((p, md.num_rows, ",".join(c for c in required if c not in names)))
-                except Exception as e:  # noqa: BLE001 -- reported per file, others continue
-                    out.append((p, None, f"unreadable: {type(e).__name__}"))
-            yield pd.DataFrame(out, columns=["path", "rows", "missing"])
-
-    return listing.select(F.col(path_col).alias("path")).mapInPandas(check, FOOTER_SCHEMA)
+def minute_quality(panel: DataFrame) -> DataFrame:
+    """One row per minute: rows, null_key_rows, duplicate_keys, valid, error, error_type."""
+    return minute_facts(panel).select(*QUALITY_COLUMNS)
 
 
-def file_failures(footers: DataFrame) -> DataFrame:
-    """Files that must not enter the queue: (path, error, error_type)."""
-    error = (F.when(F.col("missing").startswith("unreadable"), F.col("missing"))
-             .when(F.col("rows") == 0, F.lit("Empty parquet file"))
-             .when(F.col("missing") != "", F.concat(F.lit("Missing required columns: "), F.col("missing"))))
-    etype = F.when(F.col("missing").startswith("unreadable"), F.lit("OSError")).otherwise(F.lit("ValueError"))
-    return footers.select("path", error.alias("error"), etype.alias("error_type")).filter(F.col("error").isNotNull())
+def split_valid(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of valid minutes, per-minute quarantine records)."""
+    bad = minute_quality(panel).filter(~F.col("valid"))
+    return panel.join(bad.select("timestamp_int"), "timestamp_int", "left_anti"), bad

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainfeatures.functions.frames import SEQ
+from chainfeatures.session import materialize
 
 # A spine up to this many minutes (about 40 years of trading minutes) is
 # broadcast; beyond it the panel joins the spine with a shuffle.
@@ -27,7 +28,8 @@ def minute_spine(panel: DataFrame) -> DataFrame:
     The minute's price is its (constant) ``stockPrice``; ``min`` picks it
     without depending on row order.
     """
-    per_minute = panel.groupBy("timestamp_int").agg(F.min("stockPrice").alias("stockPrice"))
+    # one row per minute, stored: both branches below start from it, the panel is read once
+    per_minute = materialize(panel.groupBy("timestamp_int").agg(F.min("stockPrice").alias("stockPrice")))
     per_minute = per_minute.withColumn("_day", F.floor(F.col("timestamp_int") / 10000))
     per_day = per_minute.groupBy("_day").agg(F.count(F.lit(1)).alias("_n"))
     per_day = per_day.select(

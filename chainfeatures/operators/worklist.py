@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from chainfeatures.config import HISTORY_PRELOAD_DAYS, HISTORY_PRELOAD_MINUTES, HISTORY_WINDOW_SIZE
 from chainfeatures.functions import timekeys as K
 from chainfeatures.functions.frames import SEQ
+from chainfeatures.operators import timeline
+from chainfeatures.session import materialize
 
 
 def unprocessed(source_keys: DataFrame, dest_keys: DataFrame, key_col: str = "key") -> DataFrame:
@@ -31,11 +33,20 @@ def worklist_by_date(todo: DataFrame, uri_prefix: str) -> DataFrame:
     ``date_order`` numbers dates over a per-date table (one row per calendar
     date); positions are ranked inside each date.
     """
-    w = Window.partitionBy("date").orderBy("uri")
     items = todo.select("date", F.concat(F.lit(uri_prefix), F.col("key_suffix")).alias("uri"))
-    # a date holds at most one file per minute (1440), so these windows are bounded
-    items = items.select("date", "uri", F.row_number().over(w).alias("position"),
-                         F.count(F.lit(1)).over(Window.partitionBy("date")).alias("files_in_date"))
+    # ranks in two levels: inside sorted slices of the listing, plus the slices before, so that a "date" of
+    # any size (keys without a folder all count as 'unknown') is spread over tasks; stored, because range
+    # borders are sampled and both levels must see the same slices
+    slices = items.repartitionByRange("date", "uri").withColumn("_slice", F.spark_partition_id())
+    slices = materialize(slices)
+    counts = slices.groupBy("date", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("date")
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("date", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(whole).alias("files_in_date"))
+    w = Window.partitionBy("date", "_slice").orderBy("uri")
+    items = slices.withColumn("_r", F.row_number().over(w)).join(counts, ["date", "_slice"]).select(
+        "date", "uri", (F.col("_before") + F.col("_r")).cast("int").alias("position"), "files_in_date")
     dates = todo.select("date").distinct()  # one row per calendar date
     dates = dates.select("date", F.row_number().over(Window.orderBy("date")).alias("date_order"))
     return items.join(dates, "date").select(
@@ -48,19 +59,19 @@ def history_context(targets: DataFrame, spine: DataFrame, max_minutes: int = HIS
     earlier minutes of the spine, restricted to the target's date and the
     ``days`` calendar days before it: (timestamp_int, context_timestamp_int, back).
 
-    The spine numbers the available minutes densely, so "the newest n earlier"
-    is positions s-1 .. s-n: an equi-join on a generated offset, at most n rows
-    per target, no range join.  The date window only removes the oldest
-    positions, so cutting after the pick is exact.
+    The spine (stored, one row per available minute) is cut into blocks with a halo of
+    that many positions; a row frame over each block lists the minutes before every minute,
+    and only the targets' lists are expanded.  Nothing but the spine is shuffled.  The date
+    window only removes the oldest positions, so cutting after the pick is exact.
     """
     n = min(max_minutes, window_size)
-    sp = spine.select("timestamp_int", SEQ)
-    t = targets.select("timestamp_int").join(sp, "timestamp_int")
-    t = t.select("timestamp_int", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("back"),
-                 F.col(SEQ).alias("_s"))
-    t = t.select("timestamp_int", "back", (F.col("_s") - F.col("back")).alias("_ctx_seq"))
-    ctx = sp.select(F.col("timestamp_int").alias("context_timestamp_int"), F.col(SEQ).alias("_ctx_seq"))
-    out = t.join(ctx, "_ctx_seq")
+    wanted = targets.select("timestamp_int").distinct().withColumn("_wanted", F.lit(True))
+    sp = spine.select("timestamp_int", SEQ).join(wanted, "timestamp_int", "left")
+    frame = Window.partitionBy("block").orderBy(SEQ).rowsBetween(-n, -1)
+    listed = timeline.with_blocks(sp, max(1024, 4 * n), n).withColumn("_ctx", F.collect_list("timestamp_int").over(frame))
+    listed = listed.filter("_wanted AND NOT is_halo")
+    out = listed.select("timestamp_int", F.posexplode(F.reverse("_ctx")).alias("_p", "context_timestamp_int")).select(
+        "timestamp_int", "context_timestamp_int", (F.col("_p") + 1).alias("back"))
     if days is not None:
         day = F.to_date(F.floor(F.col("timestamp_int") / 10000).cast("string"), "yyyyMMdd")
         cday = F.to_date(F.floor(F.col("context_timestamp_int") / 10000).cast("string"), "yyyyMMdd")

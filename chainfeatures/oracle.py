@@ -8,7 +8,7 @@ string is plain SQL over the registered test tables.
 
 from __future__ import annotations
 
-from chainfeatures.config import OFFSETS
+from chainfeatures.config import DEFAULT_FEATURE_HASH, OFFSETS
 from chainfeatures.functions.numsum import numpy_sum
 
 # -- shared CTEs ---------------------------------------------------------------
@@ -535,11 +535,46 @@ FROM allrows)""")
 
 SNAPSHOT_SCAN_SQL = with_chain(f"SELECT {', '.join(CHAIN_COLUMNS)} FROM chain")
 
-SNAPSHOT_QUALITY_SQL = with_chain("""SELECT timestamp_int, CAST(sum(n) AS BIGINT) AS rows,
-  CAST(sum(CASE WHEN expirDate IS NULL OR strike IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_key_rows,
-  CAST(count(*) FILTER (WHERE n > 1 AND expirDate IS NOT NULL AND strike IS NOT NULL) AS BIGINT) AS duplicate_keys,
-  true AS valid, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS error_type
-FROM (SELECT timestamp_int, expirDate, strike, count(*) AS n FROM chain GROUP BY ALL) GROUP BY timestamp_int""")
+SNAPSHOT_QUALITY_SQL = with_chain("""SELECT timestamp_int, rows, null_key_rows, duplicate_keys, error IS NULL AS valid, error,
+  CASE WHEN error IS NOT NULL THEN 'ValueError' END AS error_type
+FROM (SELECT *, CASE WHEN null_key_rows > 0 THEN 'Null expirDate or strike'
+                     WHEN duplicate_keys > 0 THEN 'Duplicate (expirDate, strike)'
+                     WHEN hi > lo THEN 'Several stockPrice values' END AS error
+  FROM (SELECT timestamp_int, CAST(sum(n) AS BIGINT) AS rows,
+          CAST(sum(CASE WHEN expirDate IS NULL OR strike IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_key_rows,
+          CAST(count(*) FILTER (WHERE n > 1 AND expirDate IS NOT NULL AND strike IS NOT NULL) AS BIGINT) AS duplicate_keys,
+          min(lo) AS lo, max(hi) AS hi
+        FROM (SELECT timestamp_int, expirDate, strike, count(*) AS n, min(stockPrice) AS lo, max(stockPrice) AS hi FROM spoilt GROUP BY 1, 2, 3)
+        GROUP BY timestamp_int))""", """
+odd AS (
+  SELECT * REPLACE (CASE WHEN substr(date, 7, 2) = '12' AND strike = 1 THEN NULL ELSE expirDate END AS expirDate,
+                    CASE WHEN substr(date, 7, 2) = '14' THEN stockPrice + strike ELSE stockPrice END AS stockPrice) FROM chain),
+spoilt AS (SELECT * FROM odd UNION ALL SELECT * FROM odd WHERE substr(date, 7, 2) = '11')""")
+
+_MINUTES = "(SELECT timestamp_int, min(date) AS date, min(minute) AS minute, count(*) AS n FROM chain GROUP BY timestamp_int)"
+FILE_LISTING_SQL = with_chain(f"SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, true AS has_bytes, true AS has_time FROM {_MINUTES}")
+FILE_CHECKSUM_SQL = with_chain(f"SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, true AS is_md5 FROM {_MINUTES}")
+FILE_FOOTER_SQL = with_chain(f"""SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, n AS rows,
+  CAST({len(CHAIN_COLUMNS) - 3} AS INTEGER) AS n_fields, CAST(NULL AS VARCHAR) AS failure FROM {_MINUTES}""")
+LINEAGE_SQL = with_chain(f"""SELECT timestamp_int, date, minute, '{DEFAULT_FEATURE_HASH}' AS feature_version_hash,
+  true AS has_checksum, true AS utc FROM {_MINUTES}""")
+_DAY = "CAST(substr(date, 7, 2) AS INTEGER)"
+SNAPSHOT_SCAN_MIXED_SQL = with_chain(f"""SELECT timestamp_int, expirDate, strike, stockPrice, CallMid,
+  CASE WHEN {_DAY} % 3 <> 0 THEN PutMid END AS PutMid, callVolume, CASE WHEN {_DAY} % 5 = 0 THEN 'x' || expirDate END AS extra
+FROM chain WHERE {_DAY} % 11 <> 0""")
+PLUGIN_SQL = with_chain(f"""SELECT c.timestamp_int, c.expirDate, c.strike, {r4('c.CallMid - c.PutMid')} AS PutGap,
+  CASE WHEN c.minute_seq > 2 THEN {r4('(c.CallMid - c.PutMid) - (l.CallMid - l.PutMid)')} END AS PutGapChange_L2
+FROM p c LEFT JOIN p l ON l.expirDate = c.expirDate AND l.strike = c.strike AND l.minute_seq = c.minute_seq - 2""")
+
+
+def live_sql() -> str:
+    """Features of the newest minute, computed over its own five days only."""
+    text = features_sql()
+    head = "FROM cells c JOIN day_price d USING (l_shipdate))"
+    assert head in text
+    text = text.replace(head, head[:-1] + " WHERE c.l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 5 DAY)")
+    return f"SELECT * FROM ({text}) WHERE timestamp_int = (SELECT CAST(strftime(max(l_shipdate), '%Y%m%d%H%M') AS BIGINT) FROM lineitem)"
+
 
 MINUTE_SPINE_SQL = with_chain("SELECT timestamp_int, CAST(minute_seq AS BIGINT) AS minute_seq, stockPrice FROM spine")
 QUEUE_SIZE_SQL = with_chain("""SELECT timestamp_int, CAST(minute_seq AS BIGINT) AS minute_seq,

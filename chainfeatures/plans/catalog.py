@@ -7,6 +7,8 @@ folder); key/listing/work-list queries read object names derived from
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +19,10 @@ from chainfeatures.operators import keys, quality, timeline, worklist
 from chainfeatures.operators.offset import offset_tag
 from chainfeatures.plans import jobs
 from chainfeatures.plans.coverage import feature_coverage
-from chainfeatures.plans.pipeline import build_spine, compute_features, node_table, normalise_panel
-from chainfeatures.plans.registry import create_default_registry
-from chainfeatures.plans.sinks import write_enriched
-from chainfeatures.session import fresh_shared_path, tune_session
+from chainfeatures.plans.pipeline import build_spine, compute_features, minute_features, node_table, normalise_panel
+from chainfeatures.plans.registry import FeatureSection, create_default_registry
+from chainfeatures.plans.sinks import hadoop_exists, hadoop_touch, write_enriched, write_minute_files
+from chainfeatures.session import fresh_shared_path, materialize, tune_session
 from chainfeatures.sources import fixtures, names, snapshots
 from chainfeatures.sources.chain import CHAIN_COLUMNS, read_table
 
@@ -52,9 +54,9 @@ def all_features(spark, sf_dir):
 
 def family(section: str, cols, per_minute: bool = False):
     def run(spark, sf_dir):
+        if per_minute:  # from the spine alone: no row of the panel moves
+            return minute_features(chain(spark, sf_dir), registry=registry_with({section})).select("timestamp_int", *cols)
         df = features(spark, sf_dir, {section})
-        if per_minute:
-            return df.select("timestamp_int", *cols).dropDuplicates(["timestamp_int"])
         return df.select(*ROW_KEYS, *[F.col(f"`{c}`") for c in cols])
     return run
 
@@ -180,7 +182,7 @@ def _available_spine(spark, sf_dir):
 def history_context(spark, sf_dir):
     todo = unprocessed(spark, sf_dir)
     targets = keys.valid_names(todo, "key_suffix").select("timestamp_int").distinct()
-    return worklist.history_context(targets, _available_spine(spark, sf_dir))
+    return worklist.history_context(targets, materialize(_available_spine(spark, sf_dir)))
 
 
 def chronology_gate(spark, sf_dir):
@@ -210,27 +212,77 @@ def snapshot_scan(spark, sf_dir):
     return df.select(*CHAIN_COLUMNS)
 
 
+def _stamp(path_col: str = "path"):
+    """Date folder and minute of a file, from its path (the folder's own place depends on the session)."""
+    return [F.regexp_extract(path_col, r"one-minute/(\d{8})/", 1).alias("date_folder"),
+            F.regexp_extract(path_col, r"strikes_(\d{12})\.parquet$", 1).alias("stamp")]
+
+
 def file_listing(spark, sf_dir):
-    return snapshots.list_files(spark, _minute_root(spark, sf_dir))
+    files = snapshots.list_files(spark, _minute_root(spark, sf_dir))
+    return files.select(*_stamp(), (F.col("length") > 0).alias("has_bytes"), F.col("modificationTime").isNotNull().alias("has_time"))
 
 
 def file_checksum(spark, sf_dir):
-    return snapshots.file_checksums(spark, _minute_root(spark, sf_dir))
+    """One checksum per file: 32 hexadecimal digits."""
+    sums = snapshots.file_checksums(spark, _minute_root(spark, sf_dir))
+    return sums.select(*_stamp(), F.col("md5").rlike("^[0-9a-f]{32}$").alias("is_md5"))
 
 
 def file_footer_check(spark, sf_dir):
-    """Footer-only check of every minute file: rows, missing required columns."""
-    return quality.file_footer_check(snapshots.list_files(spark, _minute_root(spark, sf_dir)))
+    """Footer-only check of every minute file: rows, fields, failures."""
+    f = snapshots.file_footers(spark, _minute_root(spark, sf_dir))
+    bad = snapshots.footer_failures(f).select("path", F.col("error").alias("failure"))
+    n = F.size(F.from_json("fields", "array<array<string>>"))
+    return f.join(bad, "path", "left").select(*_stamp(), "rows", n.alias("n_fields"), "failure")
 
 
 def snapshot_quality(spark, sf_dir):
-    return quality.minute_quality(snapshots.scan_snapshots(spark, _minute_root(spark, sf_dir)))
+    """Quality of the scanned minutes, some of them spoilt: on the 11th of a month every row is there twice,
+    on the 12th the first line number has no expiry, on the 14th prices differ."""
+    p = snapshots.scan_snapshots(spark, _minute_root(spark, sf_dir))
+    day = F.substring("date", 7, 2)
+    p = p.withColumn("expirDate", F.when((day == "12") & (F.col("strike") == 1), F.lit(None)).otherwise(F.col("expirDate")))
+    p = p.withColumn("stockPrice", F.when(day == "14", F.col("stockPrice") + F.col("strike")).otherwise(F.col("stockPrice")))
+    return quality.minute_quality(p.unionByName(p.filter(day == "11")))
+
+
+def snapshot_scan_mixed(spark, sf_dir):
+    """A folder whose files differ: every third file lacks ``PutMid``, every fifth has an extra column,
+    every seventh whole-number volumes, every eleventh lacks ``stockPrice`` (a failure)."""
+    root = _mixed_root(spark, sf_dir)
+    rows = snapshots.scan_snapshots(spark, root)
+    return rows.select("timestamp_int", "expirDate", "strike", "stockPrice", "CallMid", "PutMid", "callVolume", "extra")
+
+
+def _mixed_root(spark, sf_dir):
+    from chainfeatures.session import shared_path
+
+    root = shared_path(spark, "tables", f"mixed-{fixtures._tag(spark, sf_dir)}")
+    if not hadoop_exists(spark, f"{root}/_READY"):
+        day = F.floor(F.col("timestamp_int") / 10000) % 100
+        for lacks_put, extra, whole, lacks_price in itertools.product((False, True), repeat=4):
+            part = chain(spark, sf_dir).filter(((day % 3 == 0) == lacks_put) & ((day % 5 == 0) == extra) & ((day % 7 == 0) == whole) & ((day % 11 == 0) == lacks_price))
+            if lacks_put:
+                part = part.drop("PutMid")
+            if extra:
+                part = part.withColumn("extra", F.concat(F.lit("x"), F.col("expirDate")))
+            if whole:
+                part = part.withColumn("callVolume", F.col("callVolume").cast("long"))
+            if lacks_price:
+                part = part.drop("stockPrice")
+            write_minute_files(part, root).write.format("noop").mode("overwrite").save()
+        hadoop_touch(spark, f"{root}/_READY")
+    return root
 
 
 def lineage_manifest(spark, sf_dir):
     root = _minute_root(spark, sf_dir)
     minutes = snapshots.scan_snapshots(spark, root).select("timestamp_int", "date", "minute", "path").distinct()
-    return jobs.lineage_manifest(snapshots.file_checksums(spark, root), minutes)
+    m = jobs.lineage_manifest(snapshots.file_checksums(spark, root), minutes)
+    return m.select("timestamp_int", "date", "minute", "feature_version_hash",
+                    F.col("source_data_checksum").rlike("^[0-9a-f]{32}$").alias("has_checksum"),
+                    F.col("processing_timestamp").endswith("Z").alias("utc"))
 
 
 def enriched_roundtrip(spark, sf_dir):
@@ -253,13 +305,16 @@ def _newest_minute(panel: DataFrame) -> int:
 def live_response(spark, sf_dir):
     c = chain(spark, sf_dir)
     rows, _ = jobs.run_live(c, _newest_minute(c))
-    return jobs.live_records(rows)
+    feats = create_default_registry().get_active_features()
+    kinds = ", ".join(f"`{x}` {t}" for x, t in rows.dtypes)
+    back = jobs.live_records(rows).select(F.from_json("record", kinds).alias("r")).select("r.*")  # what a client parses
+    return back.select(*CHAIN_COLUMNS, *[F.col(f"`{x}`") for x in feats])
 
 
 def live_metadata(spark, sf_dir):
     c = chain(spark, sf_dir)
     _, meta = jobs.run_live(c, _newest_minute(c))
-    return meta
+    return meta.drop("processing_time_ms")
 
 
 def incremental_features(spark, sf_dir):
@@ -270,6 +325,23 @@ def incremental_features(spark, sf_dir):
     return jobs.run_incremental(c, new)
 
 
+class PutGap(FeatureSection):
+    """A plug-in section: the gap of the mids, and its change over two minutes."""
+
+    name, level, lookback = "section_put_gap", "contract", 2
+    feature_names = ("PutGap", "PutGapChange_L2")
+
+    def columns(self, ctx):
+        gap = "CallMid - PutMid"
+        return {"PutGap": gap, "PutGapChange_L2": f"CASE WHEN {ctx.gate(2)} THEN ({gap}) - {ctx.contract.lag(gap, 2)} END"}
+
+
+def plugin_section(spark, sf_dir):
+    """A registry with one registered section of the user's own, and nothing else enabled."""
+    reg = registry_with(set()).register_section("section_put_gap", PutGap()).enable_section("section_put_gap")
+    return compute_features(chain(spark, sf_dir), registry=reg).select(*ROW_KEYS, *PutGap.feature_names)
+
+
 def streaming_features(spark, sf_dir):
     """Stream the chain's minute files through the live-ingestion query
     (several micro-batches), then read what it wrote."""
@@ -312,6 +384,8 @@ QUERIES = {
     "snapshot_scan": snapshot_scan,
     "file_listing": file_listing,
     "file_checksum": file_checksum,
+    "snapshot_scan_mixed": snapshot_scan_mixed,
+    "plugin_section": plugin_section,
     "snapshot_quality": snapshot_quality,
     "file_footer_check": file_footer_check,
     "lineage_manifest": lineage_manifest,

@@ -9,6 +9,7 @@ feature -- equal a full recompute.
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from chainfeatures.config import HISTORY_PRELOAD_DAYS, HISTORY_PRELOAD_MINUTES, FeatureParams
 from chainfeatures.functions.frames import SEQ
 from chainfeatures.operators import timeline
-from chainfeatures.operators.worklist import history_context
+from chainfeatures.operators.quality import split_valid
 from chainfeatures.plans.pipeline import build_spine, compute_features, normalise_panel
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
 from chainfeatures.session import materialize
@@ -34,23 +35,31 @@ def context_minutes(spine: DataFrame, new_minutes: DataFrame, lookback: int) ->
             .select("timestamp_int", F.coalesce("is_new", F.lit(False)).alias("is_new")))
 
 
+def needed_dates(minutes: DataFrame) -> list[str]:
+    """The calendar days of ``minutes``: one value per day, to prune scans by."""
+    day = F.lpad(F.floor(F.col("timestamp_int") / 10000).cast("string"), 8, "0")
+    return sorted(r["d"] for r in minutes.select(day.alias("d")).distinct().collect())
+
+
 def run_incremental(panel: DataFrame, new_minutes: DataFrame, registry: FeatureRegistry | None = None,
                     params: FeatureParams | None = None, spine: DataFrame | None = None,
-                    spine_rows: int | None = None) -> DataFrame:
+                    spine_rows: int | None = None, need: DataFrame | None = None) -> DataFrame:
     """Features of the rows of ``new_minutes`` only, identical to a full
-    recompute.  ``panel`` is the whole source (a lazy scan: only the needed
-    minutes are read, the rest is pruned by the semi-join, or by partition
-    filters on date/minute for a partitioned store)."""
+    recompute.  ``panel`` is the whole source (a lazy scan).  Where it has a ``date`` column, only
+    the days of the needed minutes are read: a filter on the date prunes partitions, or row
+    groups of a sorted table.  Pass a stored ``spine`` (one row per valid minute) to spare the pass
+    over the minutes as well.  Context rows are dropped before the final projection."""
     reg = registry or create_default_registry()
     if spine is None:
-        spine, spine_rows = build_spine(normalise_panel(panel))
-    need = context_minutes(spine, new_minutes, reg.max_lookback())
-    need = materialize(need)  # small: one row per needed minute
+        spine, spine_rows = build_spine(normalise_panel(panel.select("timestamp_int", "stockPrice")))
+    if need is None:
+        need = materialize(context_minutes(spine, new_minutes, reg.max_lookback()))  # one row per needed minute
+    if "date" in panel.columns:
+        panel = panel.filter(F.col("date").isin(needed_dates(need)))
     small = spine_rows is not None and spine_rows <= timeline.SPINE_BROADCAST_MAX_ROWS  # need ⊆ spine
     rows = panel.join(F.broadcast(need) if small else need, "timestamp_int", "inner")
-    out = compute_features(rows.drop("is_new"), registry=reg, params=params, spine=spine,
-                           spine_rows=spine_rows)
-    return out.join(need.filter("is_new").select("timestamp_int"), "timestamp_int", "left_semi")
+    out = compute_features(rows, registry=reg, params=params, spine=spine, spine_rows=spine_rows, keep=F.col("is_new"))
+    return out.drop("is_new")
 
 
 def run_live(panel: DataFrame, minute_ts: int, registry: FeatureRegistry | None = None,
@@ -64,16 +73,22 @@ def run_live(panel: DataFrame, minute_ts: int, registry: FeatureRegistry | None
     """
     reg = registry or create_default_registry()
     params = params or FeatureParams()
-    p = normalise_panel(panel)
-    spine, rows_n = build_spine(p)
-    target = spine.filter(F.col("timestamp_int") == F.lit(minute_ts)).select("timestamp_int")
-    ctx = history_context(target, spine, max_minutes=history_minutes, window_size=params.window_size,
-                          days=history_days)
-    minutes = ctx.select(F.col("context_timestamp_int").alias("timestamp_int")).union(target)
-    rows = panel.join(F.broadcast(minutes), "timestamp_int", "left_semi")  # <= history_minutes + 1 rows
+    start = time.time()
+    # only the days that can hold the history are looked at, and of them only the minutes' names first:
+    # the newest listed ones are taken, then invalid ones dropped without replacement
+    now = F.to_date(F.lit(f"{int(minute_ts):012d}"[:8]), "yyyyMMdd")
+    first = int(panel.sparkSession.range(1).select(F.date_format(F.date_sub(now, history_days), "yyyyMMdd")).first()[0])
+    recent = panel.filter((F.col("timestamp_int") >= F.lit(first * 10000)) & (F.col("timestamp_int") <= F.lit(minute_ts)))
+    if "date" in panel.columns:
+        recent = recent.filter((F.col("date") >= F.lit(str(first))) & (F.col("date") <= F.lit(f"{int(minute_ts):012d}"[:8])))
+    names = recent.select("timestamp_int").distinct().orderBy(F.desc("timestamp_int")).limit(min(history_minutes, params.window_size) + 1)
+    rows = materialize(recent.join(F.broadcast(names), "timestamp_int", "left_semi"))  # <= history_minutes + 1 snapshots
+    rows, bad = split_valid(rows)
+    if bad.filter(F.col("timestamp_int") == F.lit(minute_ts)).count():
+        raise ValueError(bad.filter(F.col("timestamp_int") == F.lit(minute_ts)).first()["error"])
     out = compute_features(rows, registry=reg, params=params)
     out = out.filter(F.col("timestamp_int") == F.lit(minute_ts))
-    loaded = ctx.count()  # at most history_minutes rows
+    loaded = rows.filter(F.col("timestamp_int") < F.lit(minute_ts)).select("timestamp_int").distinct().count()
     hash_ = reg.compute_version_hash()
     in_cols = [c for c in panel.columns if c not in ("timestamp_int", "date", "minute", "path")]
     stamp = f"{int(minute_ts):012d}"
@@ -85,7 +100,17 @@ def run_live(panel: DataFrame, minute_ts: int, registry: FeatureRegistry | None
         "row_count", "date", "minute", "stock_price",
         F.lit(hash_).alias("feature_version_hash"),
         F.lit(min(loaded + 1, params.window_size)).cast("long").alias("history_minutes_loaded"))
-    return out, meta
+    # time up to here: history read and validated; the rows themselves are computed by the caller's action
+    return out, meta.withColumn("processing_time_ms", F.lit(int(1000 * (time.time() - start))).cast("long"))
+
+
+def live_envelope(rows: DataFrame, meta: DataFrame) -> DataFrame:
+    """The live answer as one record ``{data, metadata}``: an array of row records (one snapshot) and the metadata."""
+    cols = [F.col(f"`{c}`") for c in rows.columns if c != "path"]
+    data = rows.agg(F.collect_list(F.struct(*cols)).alias("data"))  # one snapshot
+    one = F.lit(1).alias("_one")  # one row on either side
+    return data.select("data", one).join(meta.select(F.struct("*").alias("metadata"), one), "_one").select(
+        F.to_json(F.struct("data", "metadata"), {"ignoreNullFields": "false"}).alias("response"))
 
 
 def live_records(enriched: DataFrame) -> DataFrame:
@@ -108,63 +133,76 @@ def lineage_manifest(checksums: DataFrame, minutes: DataFrame, registry: Feature
                     F.lit(now).alias("processing_timestamp")))
 
 
+def write_manifest(manifest: DataFrame, dest: str) -> None:
+    """Keep one manifest row per minute: the days touched are rewritten with the new rows in place."""
+    from chainfeatures.plans.sinks import hadoop_exists
+
+    spark = manifest.sparkSession
+    manifest = materialize(manifest)
+    if hadoop_exists(spark, dest):
+        days = spark.read.parquet(dest).withColumn("date", F.lpad(F.col("date").cast("string"), 8, "0"))
+        days = days.filter(F.col("date").isin([r["date"] for r in manifest.select("date").distinct().collect()]))
+        manifest = materialize(manifest.unionByName(days.join(manifest.select("timestamp_int"), "timestamp_int", "left_anti")))
+    (manifest.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(dest))
+
+
 def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | None = None,
               params: FeatureParams | None = None, new_only: bool = True) -> dict:
     """The batch event as one Spark job over a snapshot folder (reference layout):
 
-    list files -> time keys (bad names fail) -> footer check (empty file,
-    missing required column fail) -> scan the good files -> per-minute quality
-    (null/duplicate keys fail) -> features with the full valid history as
-    context -> write the minutes not yet in ``dest`` (all with
-    ``new_only=False``) partitioned by minute -> lineage manifest next to it.
+    list files -> time keys (bad names fail) -> footers (unreadable and empty files,
+    missing required columns fail) -> one row per minute (null/duplicate keys, several prices,
+    unreadable pages fail), stored once -> features of the minutes not yet in ``dest`` (all with
+    ``new_only=False``) with the full valid history as context; only the days that hold needed
+    minutes are scanned -> lineage manifest (keyed by minute), then the rows, by minute.
 
     Returns DataFrames: ``failures`` (uri, error, error_type), ``written``
-    (timestamp_int), ``manifest``, and ``summary`` (one row:
-    success_count, failure_count).
+    (timestamp_int), ``manifest``, ``outcomes`` (per date and total: completed, failed, status) and
+    ``summary`` (one row: success_count, failure_count).
     """
     from chainfeatures.operators.keys import with_time_key
-    from chainfeatures.operators.quality import file_failures, file_footer_check, split_valid
+    from chainfeatures.operators.quality import minute_facts
+    from chainfeatures.operators.worklist import run_summary
     from chainfeatures.plans.sinks import hadoop_exists, write_enriched
-    from chainfeatures.sources.snapshots import file_checksums, list_files, scan_snapshots
+    from chainfeatures.sources.snapshots import file_checksums, file_footers, footer_failures, scan_snapshots
 
     reg = registry or create_default_registry()
-    files = materialize(with_time_key(list_files(spark, source_root), "path"))
-    bad_names = files.filter(~F.col("valid")).select(
+    footers = materialize(file_footers(spark, source_root))
+    named = materialize(with_time_key(footers.select("path"), "path").select("path", "valid"))
+    bad_names = named.filter(~F.col("valid")).select(
         F.col("path").alias("uri"), F.lit("Invalid filename format: expected strikes_YYYYMMDDHHMM.parquet")
         .alias("error"), F.lit("ValueError").alias("error_type"))
-    bad_files = materialize(file_failures(file_footer_check(files.filter("valid"))))
-    panel = scan_snapshots(spark, source_root).join(bad_files.select("path"), "path", "left_anti")
-    good, bad_minutes = split_valid(panel)
-    bad_minutes = bad_minutes.join(panel.select("timestamp_int", "path").distinct(), "timestamp_int").select(
-        F.col("path").alias("uri"), "error", "error_type")
+    bad_files = materialize(footer_failures(footers.join(named.filter("valid").select("path"), "path", "left_semi")))
+    sound = materialize(footers.join(named.filter("valid").select("path"), "path", "left_semi")
+                        .join(bad_files.select("path"), "path", "left_anti"))
+    minutes = materialize(minute_facts(scan_snapshots(spark, source_root, footers=footers, tolerant=True), sound))
     failures = materialize(bad_names.unionByName(bad_files.select(F.col("path").alias("uri"), "error", "error_type"))
-                           .unionByName(bad_minutes))
-
-    minutes = good.select("timestamp_int", "date", "minute", "path").distinct()
+                           .unionByName(minutes.filter(~F.col("valid")).select(F.col("path").alias("uri"), "error", "error_type")))
+    good = minutes.filter("valid").select("timestamp_int", "stockPrice", "path")
+    todo = good.select("timestamp_int", "path")
     if new_only and hadoop_exists(spark, dest):
         done = spark.read.parquet(dest).select(
             F.concat(F.lpad(F.col("date").cast("string"), 8, "0"),
                      F.lpad(F.col("minute").cast("string"), 4, "0")).cast("long").alias("timestamp_int")).distinct()
-        todo = minutes.select("timestamp_int").join(done, "timestamp_int", "left_anti")
-    else:
-        todo = minutes.select("timestamp_int")
+        todo = todo.join(done, "timestamp_int", "left_anti")
     todo = materialize(todo)
-    # Read only the files of the new minutes and their look-back context:
-    # positions come from the spine of all valid minutes (names + one price
-    # column), the rows from a scan pruned to the needed files.
-    spine, spine_rows = build_spine(normalise_panel(good.select("timestamp_int", "stockPrice")))
-    need = context_minutes(spine, todo, reg.max_lookback())
-    n_need = need.count()
-    if n_need < spine_rows:
-        # file paths of the needed minutes: metadata, one per minute read
-        paths = [r["path"] for r in minutes.join(need, "timestamp_int", "left_semi").select("path").collect()]
-        good = good.filter(F.col("path").isin(paths))
-    out = run_incremental(good.drop("path"), todo, registry=reg, params=params, spine=spine,
-                          spine_rows=spine_rows)
-    write_enriched(out, dest)
-    manifest = lineage_manifest(file_checksums(spark, source_root),
-                                minutes.join(todo, "timestamp_int", "left_semi"), reg)
-    manifest.write.mode("append").parquet(dest.rstrip("/") + "_manifest")
+    spine = materialize(timeline.minute_spine(good))
+    manifest = None
+    if not todo.isEmpty():
+        need = materialize(context_minutes(spine, todo, reg.max_lookback()))
+        rows = scan_snapshots(spark, source_root, footers=footers, dates=needed_dates(need), tolerant=True).drop("path")
+        out = run_incremental(rows, todo, registry=reg, params=params, spine=spine, spine_rows=spine.count(), need=need)
+        stamp = F.lpad(F.col("timestamp_int").cast("string"), 12, "0")
+        keyed = todo.select("timestamp_int", F.substring(stamp, 1, 8).alias("date"), F.substring(stamp, 9, 4).alias("minute"), "path")
+        # lineage first: a crash in between leaves a record to write again, never rows without one
+        write_manifest(lineage_manifest(file_checksums(spark, source_root, dates=needed_dates(todo)), keyed, reg), dest.rstrip("/") + "_manifest")
+        write_enriched(out, dest)
+    if hadoop_exists(spark, dest.rstrip("/") + "_manifest"):
+        manifest = spark.read.parquet(dest.rstrip("/") + "_manifest")
+    outcome = todo.select(F.col("path").alias("uri"), F.lit(True).alias("ok")).unionByName(failures.select("uri", F.lit(False).alias("ok")))
+    folder = F.regexp_extract("uri", r"([^/]+)/[^/]+$", 1)  # the date folder that holds the file
+    outcomes = run_summary(outcome.select(folder.alias("date"), "ok"))
     summary = todo.agg(F.count(F.lit(1)).alias("success_count")).select(
         "success_count", F.lit(failures.count()).alias("failure_count"))
-    return {"failures": failures, "written": todo, "manifest": manifest, "summary": summary}
+    return {"failures": failures, "written": todo.select("timestamp_int"), "manifest": manifest, "outcomes": outcomes, "summary": summary}

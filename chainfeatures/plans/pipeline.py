@@ -27,6 +27,7 @@ from chainfeatures.config import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, SECTION_PRE
 from chainfeatures.functions.frames import SEQ
 from chainfeatures.functions.rounding import half_even_sql
 from chainfeatures.operators import timeline
+from chainfeatures.operators.nodes import exact_order
 from chainfeatures.plans.registry import Context, FeatureRegistry, create_default_registry
 
 KEYS = ("expirDate", "block", SEQ)
@@ -123,6 +124,7 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     validate_sections(sections, ctx, panel.columns)
     in_cols = list(panel.columns)
     p = normalise_panel(panel)
+    fields = {f.name: f.dataType for f in p.schema.fields}
 
     if spine is None:
         spine, spine_rows = build_spine(p)
@@ -132,16 +134,7 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     nparts = _partitions(spark)
 
     # --- minute level (spine) ---------------------------------------------
-    minute_secs = [s for _, s in sections if s.level == "minute"]
-    minute_feats = None
-    if minute_secs:
-        ms = timeline.with_blocks(spine.select(SEQ, "stockPrice"), block, halo)
-        ms = ms.repartition(nparts, "block")
-        for i, s in enumerate(minute_secs):
-            ms = staged_select(ms, ctx, s.row_inputs, f"mi{i}_")
-        ms = staged_select(ms, ctx, lambda c: {n: e for s in minute_secs for n, e in s.columns(c).items()}, "mf_")
-        minute_feats = ms.filter(~F.col("is_halo")).select(
-            SEQ, *[F.col(f"`{n}`") for s in minute_secs for n in s.feature_names])
+    minute_feats = _minute_level(spine, sections, ctx, block, halo, nparts)
 
     # --- rows, blocked and partitioned once ---------------------------------
     # An explicit partition count: the window stage is CPU-heavy per row, so
@@ -150,21 +143,25 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     rows = timeline.with_blocks(rows, block, halo).repartition(nparts, "expirDate", "block")
 
     # --- node level ---------------------------------------------------------
+    # The contract window is handed only the node values that its inputs use; the node
+    # features join after it, when halo rows and context rows are gone.  The joins keep the
+    # partitioning and, being hash joins, need no further sort of the panel.
+    contract_secs = [s for _, s in sections if s.level == "contract"]
+    node_secs = [s for _, s in sections if s.level == "node"]
+    inputs = {n for s in contract_secs for n in s.node_aggs(ctx)}
     node_aggs = {}
     for _, s in sections:
         node_aggs.update(s.node_aggs(ctx))
-    node_secs = [s for _, s in sections if s.level == "node"]
+    integral = isinstance(fields["distance_to_atm"], T.IntegralType)
+    nodes = None
     if node_aggs:
         base = timeline.attach_seq(p, spine, spine_rows)
-        nodes = base.groupBy("expirDate", SEQ).agg(*[expr(c).alias(n) for n, c in node_aggs.items()])
+        nodes = base.groupBy("expirDate", SEQ).agg(*[expr(exact_order(c, integral)).alias(n) for n, c in node_aggs.items()])
         nodes = timeline.with_blocks(nodes, block, halo).repartition(nparts, "expirDate", "block")
-        nodes = staged_select(nodes, ctx, lambda c: {n: e for s in node_secs for n, e in s.columns(c).items()}, "nf_")
-        node_feats = [n for s in node_secs for n in s.columns(ctx)]
-        nodes = nodes.select(*KEYS, *node_aggs.keys(), *[F.col(f"`{n}`") for n in node_feats])
-        rows = rows.join(nodes, list(KEYS), "left")
+    if inputs:
+        rows = rows.join(nodes.select(*KEYS, *sorted(inputs)).hint("shuffle_hash"), list(KEYS), "left")
 
     # --- contract level: one window pass -------------------------------------
-    contract_secs = [s for _, s in sections if s.level == "contract"]
     rows = staged_select(rows, ctx, lambda c: {n: e for s in contract_secs for n, e in s.row_inputs(c).items()},
                          "ci_")
     if contract_secs:
@@ -173,13 +170,17 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     rows = rows.filter(~F.col("is_halo"))
     if keep is not None:
         rows = rows.filter(keep)
+    if node_secs:
+        nodes = staged_select(nodes, ctx, lambda c: {n: e for s in node_secs for n, e in s.columns(c).items()}, "nf_")
+        node_feats = [n for s in node_secs for n in s.columns(ctx)]
+        nodes = nodes.filter(~F.col("is_halo")).select(*KEYS, *[F.col(f"`{n}`") for n in node_feats])
+        rows = rows.join(nodes.hint("shuffle_hash"), list(KEYS), "left")
 
     if minute_feats is not None:
         small = spine_rows is not None and spine_rows <= timeline.SPINE_BROADCAST_MAX_ROWS
         rows = rows.join(F.broadcast(minute_feats) if small else minute_feats, SEQ, "left")
 
     features = reg.get_active_features()
-    fields = {f.name: f.dataType for f in p.schema.fields}
     if round_output:
         out = [F.expr(half_even_sql(f"`{c}`", params.precision)).alias(c)
                if isinstance(fields[c], T.DoubleType) else F.col(f"`{c}`") for c in in_cols]
@@ -190,6 +191,33 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     return rows.select(out)
 
 
+def _minute_level(spine: DataFrame, sections, ctx: Context, block: int, halo: int, nparts: int) -> DataFrame | None:
+    """Features of the enabled minute-level sections, one row per spine position."""
+    secs = [s for _, s in sections if s.level == "minute"]
+    if not secs:
+        return None
+    ms = timeline.with_blocks(spine.select(SEQ, "stockPrice"), block, halo).repartition(nparts, "block")
+    for i, s in enumerate(secs):
+        ms = staged_select(ms, ctx, s.row_inputs, f"mi{i}_")
+    ms = staged_select(ms, ctx, lambda c: {n: e for s in secs for n, e in s.columns(c).items()}, "mf_")
+    return ms.filter(~F.col("is_halo")).select(SEQ, *[F.col(f"`{n}`") for s in secs for n in s.feature_names])
+
+
+def minute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
+                    params: FeatureParams | None = None) -> DataFrame:
+    """timestamp_int and the minute-level features, one row per minute: the panel is only read for
+    its spine."""
+    reg, params = registry or create_default_registry(), params or FeatureParams()
+    ctx, halo = Context(params=params), max(reg.max_lookback(), 1)
+    spine, n = build_spine(normalise_panel(panel.select("timestamp_int", "stockPrice")))
+    spark = panel.sparkSession
+    block = block_size(params, n, spark.sparkContext.defaultParallelism, halo)
+    feats = _minute_level(spine, reg.active_sections(), ctx, block, halo, _partitions(spark))
+    names = [c for c in feats.columns if c != SEQ]
+    rounded = [F.expr(half_even_sql(half_even_sql(f"CAST(`{c}` AS DOUBLE)", SECTION_PRECISION), params.precision)).alias(c) for c in names]
+    return spine.select("timestamp_int", SEQ).join(feats, SEQ).select("timestamp_int", *rounded)
+
+
 def validate_sections(sections, ctx: Context, input_columns) -> None:
     """Each section must produce exactly the features it declares, and no
     feature may shadow an input column or another section's feature."""
@@ -214,8 +242,5 @@ def node_table(panel: DataFrame, registry: FeatureRegistry | None = None,
     aggs = {}
     for _, s in reg.active_sections():
         aggs.update(s.node_aggs(ctx))
-    return p.groupBy("timestamp_int", "expirDate").agg(*[expr(c).alias(n) for n, c in aggs.items()])
-
-
-def default_features() -> list[str]:
-    return create_default_registry().get_active_features()
+    integral = isinstance(p.schema["distance_to_atm"].dataType, T.IntegralType)
+    return p.groupBy("timestamp_int", "expirDate").agg(*[expr(exact_order(c, integral)).alias(n) for n, c in aggs.items()])

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
-from typing import Callable
 
 from pyspark.sql import Column
 
@@ -79,7 +78,7 @@ class FeatureRegistry:
 
     def enable_section(self, name: str) -> "FeatureRegistry":
         if name not in self.sections:
-            raise ValueError(f"Section '{name}' is not registered")
+            raise ValueError(f"unknown section '{name}': register it first")
         self.enabled.add(name)
         return self
 
@@ -132,5 +131,3 @@ def create_default_registry() -> FeatureRegistry:
         reg.enable_section(name)
     return reg
 
-
-SectionFactory = Callable[[], FeatureSection]

@@ -66,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) do we create a folder of our own.
+    where it is unset and the session is local (tests) do we create a folder of our own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="chainfeatures-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

@@ -9,7 +9,6 @@ file makes a half-written copy invisible.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,16 +17,27 @@ from chainfeatures.session import shared_path
 from chainfeatures.sources.chain import derived_chain
 
 
-def _tag(sf_dir: str) -> str:
-    src = os.path.join(sf_dir, "lineitem.parquet")
-    st = os.stat(src) if os.path.exists(src) else None
-    raw = f"{os.path.abspath(sf_dir)}|{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}"
+#: Raise when what is derived from the tables changes, so that no older copy is read.
+FIXTURE_VERSION = 2
+
+
+def _state(spark: SparkSession, path: str) -> str:
+    """Length and modification time of a table, asked of whatever store holds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return "none"
+    return f"{fs.getContentSummary(p).getLength()}|{fs.getFileStatus(p).getModificationTime()}"
+
+
+def _tag(spark: SparkSession, sf_dir: str, table: str = "lineitem") -> str:
+    raw = f"{FIXTURE_VERSION}|{sf_dir.rstrip('/')}|{_state(spark, f'{sf_dir}/{table}.parquet')}"
     return hashlib.sha256(raw.encode()).hexdigest()[:12]
 
 
 def chain_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived chain as a parquet table (sorted by minute, expiry, strike)."""
-    path = shared_path(spark, "tables", f"chain-{_tag(sf_dir)}")
+    path = shared_path(spark, "tables", f"chain-{_tag(spark, sf_dir)}")
     if not hadoop_exists(spark, f"{path}/_READY"):
         (derived_chain(spark, sf_dir).repartitionByRange("timestamp_int")
          .sortWithinPartitions("timestamp_int", "expirDate", "strike")
@@ -38,7 +48,7 @@ def chain_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chain_minute_files(spark: SparkSession, sf_dir: str) -> str:
     """Root folder of the chain as one ``strikes_*.parquet`` file per minute."""
-    root = shared_path(spark, "tables", f"minutes-{_tag(sf_dir)}")
+    root = shared_path(spark, "tables", f"minutes-{_tag(spark, sf_dir)}")
     if not hadoop_exists(spark, f"{root}/_READY"):
         write_minute_files(chain_table(spark, sf_dir), root).write.format("noop").mode("overwrite").save()
         hadoop_touch(spark, f"{root}/_READY")
@@ -50,14 +60,9 @@ def names_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsing works on stored strings, as it would on a real listing."""
     from chainfeatures.sources.names import event_names
 
-    path = shared_path(spark, "tables", f"names-{_tag(sf_dir)}-{_events_tag(sf_dir)}")
+    path = shared_path(spark, "tables", f"names-{_tag(spark, sf_dir, 'events')}")
     if not hadoop_exists(spark, f"{path}/_READY"):
         event_names(spark, sf_dir).write.mode("overwrite").parquet(path)
         hadoop_touch(spark, f"{path}/_READY")
     return spark.read.parquet(path)
 
-
-def _events_tag(sf_dir: str) -> str:
-    src = os.path.join(sf_dir, "events.parquet")
-    st = os.stat(src) if os.path.exists(src) else None
-    return hashlib.sha256(f"{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}".encode()).hexdigest()[:8]

@@ -1,66 +1,167 @@
-"""Snapshot files: listing, scanning, checksums.
+"""Snapshot files: listing, footers, scanning, checksums.
 
 Two layouts are read:
 
 * the reference layout ``<root>/one-minute/YYYYMMDD/strikes_YYYYMMDDHHMM.parquet``
   (time key in the file name, ``_metadata.file_path``), and
 * the Spark-native layout written by ``plans.sinks.write_enriched``
-  (``<root>/date=YYYYMMDD/minute=HHMM/part-*.parquet``).
+  (``<root>/date=YYYYMMDD/...``).
 
-Both are one distributed scan: Spark packs many small minute files into each
-task, prunes columns, and pushes filters on date/minute/timestamp_int down.
+Every file has a schema of its own: footers are read in parallel through Spark's
+own file readers, files are grouped by schema, and each group is one
+columnar scan cast to the known types.  No file's schema decides for another, and
+an unreadable or incomplete file is a reported failure, never an ended job.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainfeatures.config import OPTIONAL_COLUMNS, REQUIRED_COLUMNS
+from chainfeatures.session import materialize
+
+FOOTER_SCHEMA = "path string, length long, rows long, fields string, error string"
+#: Types that known columns are read as; other columns keep the type of their files.
+KNOWN_TYPES = {"expirDate": "string", **{c: "double" for c in ("stockPrice", "strike", *OPTIONAL_COLUMNS)}}
+
+
+def _binary(spark: SparkSession, root: str | list[str], glob: str = "*.parquet") -> DataFrame:
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", glob).load(root))
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """(path, length, modificationTime) of every file under ``root`` matching
     ``glob``; the file content is never read (column pruned)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob).load(root)
-            .select("path", "length", "modificationTime"))
+    return _binary(spark, root, glob).select("path", "length", "modificationTime")
 
 
-def file_checksums(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+def file_checksums(spark: SparkSession, root: str, glob: str = "*.parquet", dates=None) -> DataFrame:
     """(path, length, md5) of each file: the MD5 of its bytes, which is the
-    object-store ETag of a single-part upload."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob).load(root)
-            .select("path", "length", F.md5("content").alias("md5")))
-
-
-def scan_snapshots(spark: SparkSession, root: str, schema=None, keep_invalid: bool = False,
-                   merge_schema: bool = False) -> DataFrame:
-    """Rows of every ``strikes_*.parquet`` snapshot under ``root`` with the
-    time key taken from the file name: timestamp_int, date, minute, path, then
-    the files' own columns (extra columns pass through).  Files whose name is
-    not a valid time key are dropped unless ``keep_invalid``.
-
-    The schema comes from ``schema``, else from one footer; with
-    ``merge_schema`` every footer is read (in parallel) and columns that only
-    some files have are kept, null elsewhere."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
-        .option("mergeSchema", str(bool(merge_schema)).lower())
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(root)
-    data_cols = [c for c in df.columns]
+    object-store ETag of a single-part upload.  ``dates`` prunes the files read."""
+    files = _binary(spark, root, glob)
+    if dates is not None:
+        files = files.filter(in_dates(dates))
+    return files.select("path", "length", F.md5("content").alias("md5"))
+
+
+def in_dates(dates):
+    """Predicate on the file path alone, so that files of other days are not opened."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"strikes_(\d{8})\d{4}\.parquet$", 1).isin(sorted(dates))
+
+
+def _plain_path():
+    """The scanned file's path as the listing spells it (``_metadata`` escapes spaces and the like)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _parse_footers(batches):
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    for pdf in batches:
+        out = []
+        for path, length, tail in zip(pdf["path"], pdf["length"], pdf["tail"]):
+            try:
+                f = pq.ParquetFile(pa.BufferReader(tail))
+                fields = [[x.name, from_arrow_type(x.type).simpleString()] for x in f.schema_arrow]
+                out.append((path, length, f.metadata.num_rows, json.dumps(fields), None))
+            except Exception as e:  # noqa: BLE001 -- the bytes are here, so this is the file's fault, not the store's
+                out.append((path, length, None, None, f"unreadable: {type(e).__name__}"))
+        yield pd.DataFrame(out, columns=["path", "length", "rows", "fields", "error"]).astype({"rows": "Int64"})
+
+
+def file_footers(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """(path, length, rows, fields, error) of every file, from its footer.
+
+    The bytes come from Spark's binary reader, so any store that Spark reads will do and a failing
+    read fails (and retries) the task; only the footer's bytes are handed to Python.
+    ``error`` tells of bytes that are no footer."""
+    size = F.expr("CAST(conv(concat(hex(substring(content, -5, 1)), hex(substring(content, -6, 1)), "
+                  "hex(substring(content, -7, 1)), hex(substring(content, -8, 1))), 16, 10) AS BIGINT)")
+    files = _binary(spark, root).withColumn("_n", F.when(F.col("length") >= 12, size))
+    whole = F.coalesce(F.col("_n") + 8 <= F.col("length"), F.lit(False))
+    tail = F.when(whole, F.expr("substring(content, CAST(-(_n + 8) AS INT), CAST(_n + 8 AS INT))")).otherwise(F.col("content").substr(1, 8))
+    return files.select("path", "length", tail.alias("tail")).mapInPandas(_parse_footers, FOOTER_SCHEMA)
+
+
+def footer_failures(footers: DataFrame) -> DataFrame:
+    """Files that must not enter the queue: (path, error, error_type)."""
+    names = F.transform(F.from_json("fields", "array<array<string>>"), lambda x: x[0])
+    missing = F.array_except(F.array(*[F.lit(c) for c in REQUIRED_COLUMNS]), names)
+    f = footers.withColumn("_missing", F.when(F.col("fields").isNotNull(), F.array_join(missing, ",")))
+    error = (F.when(F.col("error").isNotNull(), F.col("error"))
+             .when(F.col("rows") == 0, F.lit("Empty parquet file"))
+             .when(F.col("_missing") != "", F.concat(F.lit("Missing required columns: "), F.col("_missing"))))
+    kind = F.when(F.col("error").isNotNull(), F.lit("OSError")).otherwise(F.lit("ValueError"))
+    return f.select("path", error.alias("error"), kind.alias("error_type")).filter(F.col("error").isNotNull())
+
+
+def _out_types(schemas: list[list[list[str]]]) -> dict[str, str]:
+    """One type for each column of all files: the known one, the common one, or a wider one."""
+    seen: dict[str, set] = {}
+    for fields in schemas:
+        for name, kind in fields:
+            seen.setdefault(name, set()).add(kind)
+    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    out = {}
+    for name, kinds in seen.items():
+        one = kinds.pop() if len(kinds) == 1 else None
+        out[name] = KNOWN_TYPES.get(name) or one or ("double" if kinds <= numbers else "string")
+    return out
+
+
+def scan_snapshots(spark: SparkSession, root: str | list[str], footers: DataFrame | None = None, keep_invalid: bool = False,
+                   dates=None, tolerant: bool = False) -> DataFrame:
+    """Rows of every readable ``strikes_*.parquet`` snapshot under ``root`` with the time key taken
+    from the file name: timestamp_int, date, minute, path, then the files' columns.
+
+    Columns that only some files have are null elsewhere; extra columns pass through; known
+    columns are read as doubles (``expirDate`` as a string) whatever the file holds.  Files
+    that ``footer_failures`` reports are left out, as are names that are no time key (unless
+    ``keep_invalid``).  ``dates`` limits the files opened to those days.  ``tolerant`` goes on past
+    broken data pages; compare the rows read with the footers' then (``operators.quality.minute_facts``).
+
+    Where all files agree, the folder is one scan; else each schema is a scan of its
+    files.  The list of a group's files is what Spark's own file index holds on the driver."""
+    footers = materialize(file_footers(spark, root)) if footers is None else footers
+    bad = footer_failures(footers)
+    good = footers.join(bad.select("path"), "path", "left_anti")
+    groups = [r["fields"] for r in good.select("fields").distinct().collect()]  # distinct schemas
     from chainfeatures.operators.keys import with_time_key
 
-    df = with_time_key(df.select("*", F.col("_metadata.file_path").alias("path")), "path")
+    if not groups:
+        schemas, sources = [[[c, KNOWN_TYPES.get(c, "double")] for c in REQUIRED_COLUMNS]], []
+    else:
+        schemas = [json.loads(g) for g in groups]
+        one = len(groups) == 1 and bad.isEmpty()
+        sources = [[root] if isinstance(root, str) else root] if one else [[r["path"] for r in good.filter(F.col("fields") == g).select("path").collect()] for g in groups]
+    types = _out_types(schemas)
+    out = None
+    for fields, paths in zip(schemas, sources):
+        reader = (spark.read.schema(", ".join(f"`{n}` {t}" for n, t in fields)).option("recursiveFileLookup", "true")
+                  .option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", str(tolerant).lower()))
+        df = reader.parquet(*paths)
+        if dates is not None:
+            df = df.filter(in_dates(dates))
+        df = df.select(_plain_path().alias("path"), *[F.col(f"`{n}`").cast(types[n]).alias(n) for n, _ in fields])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        out = spark.createDataFrame([], "path string, " + ", ".join(f"`{n}` {t}" for n, t in types.items()))
+    df = with_time_key(out, "path")
     if not keep_invalid:
         df = df.filter("valid")
-    return df.select("timestamp_int", "date", "minute", "path", *[F.col(f"`{c}`") for c in data_cols])
+    return df.select("timestamp_int", "date", "minute", "path", *[F.col(f"`{c}`") for c in types])
 
 
 def scan_enriched(spark: SparkSession, root: str) -> DataFrame:
-    """The Spark-native minute-partitioned layout; ``date``/``minute`` come
-    back as partition columns (strings) so filters on them prune directories."""
+    """The Spark-native layout; ``date`` (and ``minute`` in the mirror layout) come
+    back as partition columns, so filters on them prune directories."""
     df = spark.read.parquet(root)
     return (df.withColumn("date", F.lpad(F.col("date").cast("string"), 8, "0"))
             .withColumn("minute", F.lpad(F.col("minute").cast("string"), 4, "0")))

@@ -1,19 +1,19 @@
 """Live ingestion: Structured Streaming over a folder of minute files.
 
-Each micro-batch (a set of new ``strikes_*.parquet`` files):
+The stream carries file names; each micro-batch (new ``strikes_*.parquet`` files):
 
-1. parses the time key of every file (bad names are skipped, as a failed file
-   would be);
+1. parses the time key of every file and reads the footers; bad names, unreadable files
+   and files without the required columns are rejected;
 2. applies the chronology gate: a minute not later than the newest minute
-   already written is rejected (late data policy = reject, logged in the
-   ``rejected`` table);
-3. numbers the accepted minutes after the last known position (the
-   ``positions`` table: one row per written minute, its ``minute_seq`` and
-   source path);
-4. reads, straight from the source files, the ``lookback`` minutes before the
-   first new one as context, computes the features, keeps the new rows;
-5. writes them as the batch's own partition (``batch_id=<epoch>``, replaced on
-   replay: idempotent), then appends the new positions.
+   already written is rejected, as is a second file of a minute;
+3. reads the accepted files, each with its own schema, and rejects minutes that fail
+   validation (``operators.quality``);
+4. numbers the valid minutes after the last known position (the ``positions`` table: one
+   row per written minute, its ``minute_seq`` and source path);
+5. reads the ``lookback`` minutes before the first new one from their source files as
+   context, computes the features, keeps the new rows;
+6. writes rows, positions and rejects, each as the batch's own partition (``batch_id=<n>``),
+   replaced when the batch is replayed: a retry at any step gives the same tables.
 
 Only per-minute bookkeeping is kept between batches; the panel rows of the
 look-back are re-read from the source, so no state grows with the chain width.
@@ -28,91 +28,94 @@ from pyspark.sql import types as T
 from chainfeatures.config import FeatureParams
 from chainfeatures.functions.frames import SEQ
 from chainfeatures.operators.keys import with_time_key
+from chainfeatures.operators.quality import minute_facts
 from chainfeatures.plans.pipeline import compute_features
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
 from chainfeatures.plans.sinks import hadoop_exists, write_batch
 from chainfeatures.session import materialize
+from chainfeatures.sources.snapshots import file_footers, footer_failures, scan_snapshots
 
-POSITIONS_SCHEMA = T.StructType([
+STATE_SCHEMA = T.StructType([
     T.StructField("timestamp_int", T.LongType()),
     T.StructField(SEQ, T.LongType()),
     T.StructField("path", T.StringType()),
-    T.StructField("epoch", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
 ])
+STREAM_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _positions(spark: SparkSession, state: str) -> DataFrame:
     path = f"{state}/positions"
     if hadoop_exists(spark, path):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], POSITIONS_SCHEMA)
+        return spark.read.schema(STATE_SCHEMA).parquet(path)
+    return spark.createDataFrame([], STATE_SCHEMA)
 
 
 def process_batch(batch: DataFrame, epoch: int, sink: str, state: str,
                   registry: FeatureRegistry | None = None, params: FeatureParams | None = None) -> None:
-    spark = batch.sparkSession
-    batch = batch.persist()
-    try:
-        _process(batch, epoch, sink, state, registry, params)
-    finally:
-        batch.unpersist()
-
-
-def _process(batch: DataFrame, epoch: int, sink: str, state: str,
-             registry: FeatureRegistry | None, params: FeatureParams | None) -> None:
+    """One micro-batch: ``batch`` has the ``path`` of each new file."""
     spark = batch.sparkSession
     reg = registry or create_default_registry()
     lookback = reg.max_lookback()
-    rows = with_time_key(batch, "path").filter("valid").drop("valid", "ts")
-    known = _positions(spark, state).filter(F.col("epoch") < epoch)  # replay-safe
+    paths = [r["path"] for r in batch.select("path").distinct().collect()]  # at most maxFilesPerTrigger
+    if not paths:
+        return
+    known = _positions(spark, state).filter(F.col("batch_id") < epoch)  # a replay sees what its first run saw
     newest = known.agg(F.max("timestamp_int").alias("t"), F.max(SEQ).alias("s")).first()
     newest_t, newest_s = (newest["t"] or -1), (newest["s"] or 0)
 
-    files = rows.select("timestamp_int", "path").distinct()
-    late = files.filter(F.col("timestamp_int") <= F.lit(newest_t))
-    late.select("timestamp_int", "path", F.lit(epoch).alias("epoch")).write.mode("append").parquet(f"{state}/rejected")
-    # one file per minute; several files for one minute in a batch -> keep the first path
-    fresh = (files.filter(F.col("timestamp_int") > F.lit(newest_t))
-             .groupBy("timestamp_int").agg(F.min("path").alias("path")))
-    # number the new minutes after the newest known one (a batch holds at most
-    # maxFilesPerTrigger minutes, so this small window is bounded)
-    fresh = fresh.select("timestamp_int", "path",
-                         (F.lit(newest_s) + F.row_number().over(Window.orderBy("timestamp_int"))).alias(SEQ))
-    fresh = materialize(fresh)
-    if fresh.isEmpty():
+    footers = materialize(file_footers(spark, paths))
+    bad = footer_failures(footers)
+    files = with_time_key(footers.select("path", "rows"), "path").join(bad, "path", "left")
+    first = F.row_number().over(Window.partitionBy("timestamp_int").orderBy(F.col("error").isNotNull(), "path"))
+    files = files.withColumn("_n", first).select(
+        "path", "rows", "timestamp_int",
+        F.when(~F.col("valid"), F.lit("Invalid filename format")).when(F.col("error").isNotNull(), F.col("error"))
+        .when(F.col("timestamp_int") <= F.lit(newest_t), F.lit("Not later than the newest minute"))
+        .when(F.col("_n") > 1, F.lit("Another file of the minute was taken")).alias("error"))
+    files = materialize(files)
+    taken = files.filter(F.col("error").isNull())
+    new_rows = facts = None
+    if not taken.isEmpty():
+        chosen = materialize(footers.join(taken.select("path"), "path", "left_semi"))
+        new_rows = scan_snapshots(spark, [r["path"] for r in taken.select("path").collect()], footers=chosen, tolerant=True)
+        facts = materialize(minute_facts(new_rows, chosen))
+    rejected = files.filter(F.col("error").isNotNull()).select("timestamp_int", "path", "error")
+    if facts is not None:
+        rejected = rejected.unionByName(facts.filter("NOT valid").select("timestamp_int", "path", "error"))
+    write_batch(rejected, f"{state}/rejected", epoch)
+    if facts is None or facts.filter("valid").isEmpty():
         return
+    # a batch holds at most maxFilesPerTrigger minutes, so this window is bounded
+    fresh = materialize(facts.filter("valid").select(
+        "timestamp_int", "path", "stockPrice", (F.lit(newest_s) + F.row_number().over(Window.orderBy("timestamp_int"))).cast("long").alias(SEQ)))
     ctx = known.filter(F.col(SEQ) > F.lit(newest_s - lookback))
-    spine = (ctx.select("timestamp_int", SEQ).unionByName(fresh.select("timestamp_int", SEQ)))
-    ctx_paths = [r["path"] for r in ctx.select("path").collect()]  # at most ``lookback`` paths
-    new_rows = rows.join(fresh.select("timestamp_int", "path"), ["timestamp_int", "path"], "left_semi")
-    panel = new_rows.drop("path")
+    ctx_paths = [r["path"] for r in ctx.select("path").collect()]  # at most ``lookback`` paths: one row per position
+    panel = new_rows.join(fresh.select("timestamp_int"), "timestamp_int", "left_semi").drop("path")
+    spine = fresh.select("timestamp_int", SEQ, "stockPrice")
     if ctx_paths:
-        old = spark.read.parquet(*ctx_paths).select("*", F.col("_metadata.file_path").alias("path"))
-        old = with_time_key(old, "path").filter("valid").drop("valid", "ts", "path")
-        panel = panel.unionByName(old.select(*panel.columns))
-    # positions: global, so gates and look-backs equal a batch recompute
-    spine = spine.join(panel.groupBy("timestamp_int").agg(F.min("stockPrice").alias("stockPrice")),
-                       "timestamp_int", "left")
+        old = scan_snapshots(spark, ctx_paths).drop("path")
+        # positions are global, so gates and look-backs equal a batch recompute
+        spine = spine.unionByName(ctx.select("timestamp_int", SEQ).join(
+            old.groupBy("timestamp_int").agg(F.min("stockPrice").alias("stockPrice")), "timestamp_int", "left"))
+        panel = panel.unionByName(old.select([c for c in old.columns if c in panel.columns]), allowMissingColumns=True)
     out = compute_features(panel, registry=reg, params=params, spine=spine,
                            spine_rows=lookback + fresh.count(),
                            keep=F.col(SEQ) > F.lit(newest_s))
     write_batch(out, sink, epoch)
-    fresh.select("timestamp_int", SEQ, "path", F.lit(epoch).cast("long").alias("epoch")) \
-        .write.mode("append").parquet(f"{state}/positions")
+    write_batch(fresh.select("timestamp_int", SEQ, "path"), f"{state}/positions", epoch)
 
 
 def start_stream(spark: SparkSession, source: str, sink: str, state: str, checkpoint: str,
                  max_files_per_trigger: int = 100, registry: FeatureRegistry | None = None,
                  params: FeatureParams | None = None, available_now: bool = True):
     """Start the ingestion query over ``source`` (reference layout minute files)."""
-    schema = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
-        .parquet(source).schema
-    stream = (spark.readStream.schema(schema)
+    stream = (spark.readStream.format("binaryFile").schema(STREAM_SCHEMA)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("maxFileAge", "36500d")
-              .parquet(source)
-              .select("*", F.col("_metadata.file_path").alias("path")))
+              .load(source)
+              .select("path"))
     writer = (stream.writeStream
               .foreachBatch(lambda df, epoch: process_batch(df, epoch, sink, state, registry, params))
               .option("checkpointLocation", checkpoint))
