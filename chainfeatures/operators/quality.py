@@ -22,8 +22,13 @@ def minute_facts(panel: DataFrame, footers: DataFrame | None = None) -> DataFram
     panel has it, ``path``.  With ``footers`` (path, rows) also minutes of which rows are missing or
     nothing could be read."""
     missing = [c for c in REQUIRED_COLUMNS if c not in panel.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    if missing:  # of the whole panel: no minute is valid
+        null = F.lit(None)
+        path = F.col("path") if "path" in panel.columns else null.cast("string")
+        return panel.groupBy("timestamp_int").agg(F.count(F.lit(1)).alias("rows"), F.min(path).alias("path")).select(
+            "timestamp_int", "rows", null.cast("long").alias("null_key_rows"), null.cast("long").alias("duplicate_keys"),
+            F.lit(False).alias("valid"), F.lit(f"Missing required columns: {missing}").alias("error"),
+            F.lit("ValueError").alias("error_type"), null.cast("double").alias("stockPrice"), "path")
     path = F.min("path") if "path" in panel.columns else F.lit(None).cast("string")
     per_key = panel.groupBy("timestamp_int", "expirDate", "strike").agg(
         F.count(F.lit(1)).alias("_n"), F.min("stockPrice").alias("_lo"), F.max("stockPrice").alias("_hi"), path.alias("_path"))

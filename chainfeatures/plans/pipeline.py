@@ -157,6 +157,9 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     if node_aggs:
         base = timeline.attach_seq(p, spine, spine_rows)
         nodes = base.groupBy("expirDate", SEQ).agg(*[expr(exact_order(c, integral)).alias(n) for n, c in node_aggs.items()])
+        if inputs and node_secs:  # read twice below; stored, so that the panel is aggregated once
+            from chainfeatures.session import materialize
+            nodes = materialize(nodes)
         nodes = timeline.with_blocks(nodes, block, halo).repartition(nparts, "expirDate", "block")
     if inputs:
         rows = rows.join(nodes.select(*KEYS, *sorted(inputs)).hint("shuffle_hash"), list(KEYS), "left")

@@ -12,8 +12,7 @@ from conftest import SF001
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 from crosscheck import compare, duck  # noqa: E402
 
-ROWS_ONLY = {"file_listing", "file_checksum", "file_footer_check", "lineage_manifest", "live_response",
-             "streaming_features"}
+ROWS_ONLY = set()  # every query has an oracle
 
 
 def test_entry_smoke(spark):
@@ -25,7 +24,8 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == ROWS_ONLY
+    optional = {n for n in q if n == "pipeline" or (n.startswith("op") and n[2:3].isdigit())}  # tested in tests/llm
+    assert set(q) - set(s) - optional == ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", ["all_features", "contract_mid_zscore", "atm_zscore", "offset_spread_zscore",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainfeatures.plans import jobs
-from chainfeatures.plans.pipeline import compute_features
+from chainfeatures.plans.pipeline import compute_features, node_table
 from chainfeatures.plans.registry import create_default_registry
 from chainfeatures.sources.chain import derived_chain
 from conftest import SF001
@@ -64,13 +64,15 @@ def test_plan_shuffles_panel_once(chain):
     ex = [line.strip() for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     by_block = [e for e in ex if "hashpartitioning(expirDate" in e and "block" in e]
     by_minute = [e for e in ex if "hashpartitioning(expirDate" in e and "minute_seq" in e]
-    # panel rows once and the (small) node table once, both by (expirDate, block);
-    # the node aggregate once by (expirDate, minute_seq) after a map-side
-    # partial aggregation; the node join and the contract window reuse the
-    # (expirDate, block) partitioning -- no further exchange of the panel
-    assert len(by_block) == 2 and len(by_minute) == 1, ex
-    assert "partial_min_by" in plan and "SortAggregate" not in plan
-    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
+    # panel rows once; the node table (stored after a map-side partial aggregation, one row per
+    # expiry and minute) twice: what contract inputs use before the window, the node features after
+    # it; both joins and the contract window reuse the (expirDate, block) partitioning
+    assert len(by_block) == 3 and len(by_minute) == 0, ex
+    stored = node_table(chain)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in stored and "SortAggregate" not in stored + plan
+    assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+    # the panel is sorted once, for the contract window
+    assert plan.count("Sort [expirDate") <= 2
     assert plan.count("Window [") >= 3
 
 
