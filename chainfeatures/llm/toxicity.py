@@ -34,6 +34,8 @@ from .words import ALPHANUMERIC, blocks, words
 
 STEMS = range(4, 11)
 MAX_TERMS = 400
+#: Share of the best term's likelihood ratio that a term of the same round must reach.
+STRONG = 0.2
 MAX_CANDIDATES = 200_000
 #: Closed words from this length on, and stems from the second, also match at distance 1.
 FUZZY_WORD, FUZZY_STEM = 5, 7
@@ -228,7 +230,7 @@ def _llr(k1, n1, k0, n0):
     return np.where(p1 > p0, g, 0.0)
 
 
-def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, rounds: int = 3) -> list[tuple[bytes, bool]]:
+def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, rounds: int = 6) -> list[tuple[bytes, bool]]:
     """[(term, whether it is a stem)] from (text, label)."""
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
@@ -245,7 +247,9 @@ def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, rounds: int = 3
         t = seen.merge(other, how="left", on="candidate").fillna({"k0": 0})
         g = _llr(t["n"].to_numpy(float), n1, t["k0"].to_numpy(float), n[0])
         # most terms of a corpus are rare and harmless: ask for more than chance among all that were tried
-        ok = (g >= 2 * np.log(len(t))) & (t["n"].to_numpy() / n1 >= 20 * t["k0"].to_numpy() / n[0])
+        # ask also for a good part of the best term's evidence: what only a few copied documents share comes into
+        # question in a later round, when documents that a stronger term explains are out of the count
+        ok = (g >= np.maximum(2 * np.log(len(t)), STRONG * g.max())) & (t["n"].to_numpy() / n1 >= 20 * t["k0"].to_numpy() / n[0])
         t = t.assign(g=g)[ok].assign(size=lambda x: x["candidate"].str.len()).sort_values(["g", "size", "candidate"], ascending=[False, False, True])
         fresh = 0
         for cand in t["candidate"]:
