@@ -185,14 +185,24 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             right = right.sort_values("vec_id")
             ids, y = right["vec_id"].to_numpy(), np.stack(right["v"])
             step = max(1, 2_000_000 // len(ids))  # scores held at a time
+            norms = np.sqrt((y * y).sum(1)).max()
             for a in range(0, len(left), step):
                 part = left.iloc[a:a + step]
-                s = inner(np.stack(part["q"]), y)
-                for i, row in zip(part["query_id"], s):
-                    row = np.where(ids == i, -np.inf, row)
-                    top = np.argsort(-row, kind="stable")[:k] if len(row) <= 4 * k else _top(row, k)
-                    top = top[row[top] > -np.inf]
-                    out.append((i, ids[top], row[top]))
+                q = np.stack(part["q"])
+                # a matrix product finds all that can be among the best; those are then scored exactly,
+                # component by component, so that equal vectors get equal scores
+                rough = q @ y.T
+                slack = 1e-12 * norms * np.sqrt((q * q).sum(1)) * q.shape[1]
+                own = part["query_id"].to_numpy()
+                for r, i in enumerate(own):
+                    row = rough[r]
+                    row[np.searchsorted(ids, i):np.searchsorted(ids, i, "right")] = -np.inf  # the query itself
+                    kept = len(row) - k
+                    at = np.flatnonzero(row >= np.partition(row, kept)[kept] - slack[r]) if kept > 0 else np.arange(len(row))
+                    at = at[ids[at] != i]
+                    s = inner(q[r:r + 1], y[at])[0]
+                    top = np.argsort(-s, kind="stable")[:k]
+                    out.append((i, ids[at[top]], s[top]))
         return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
 
     found = asked.groupBy("leaf", "block").cogroup(held.groupBy("leaf", "block")).applyInPandas(score, "query_id long, ids array<long>, scores array<double>")
@@ -202,12 +212,5 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         "query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("p.i").alias("vec_id"), (-F.col("p.s")).alias("score"))
 
 
-def _top(row: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` largest, equal ones in order of position."""
-    edge = np.partition(row, len(row) - k)[len(row) - k]
-    at = np.flatnonzero(row >= edge)
-    return at[np.argsort(-row[at], kind="stable")[:k]]
-
-
 def op6_ann(spark, sf_dir: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda i: i % 20 == 0, k=20)
