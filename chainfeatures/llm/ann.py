@@ -15,8 +15,8 @@ with ``M`` the largest norm (0 for a query), so the tree prunes by Euclidean dis
    keeps the best of each block; a query's blocks are merged at the end.
 
 Defined cases: vectors that are null, empty, zero, hold null or non-finite components, or
-have another length than most, take no part, nor do null ids; equal scores are ordered by id; a repeated row
-counts once in a list; rows with the
+have another length than most, take no part, nor do null ids; equal scores are ordered by id; a query id
+that is repeated is asked once, a candidate as often as it is there; rows with the
 query's own id are no candidates; fewer candidates than asked for give fewer rows; an empty table
 gives an empty result.
 """
@@ -177,7 +177,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
                 out += [(i, q, leaf, b) for leaf in tree.best_bins(np.append(q, 0.0), visits) for b in range(blocks[leaf])]
             yield pd.DataFrame(out, columns=["query_id", "q", "leaf", "block"]).astype({"leaf": "int32", "block": "int32"})
 
-    asked = placed.filter(is_query(F.col("vec_id"))).select("vec_id", "v").mapInPandas(walk, "query_id long, q array<double>, leaf int, block int")
+    asked = placed.filter(is_query(F.col("vec_id"))).select("vec_id", "v").dropDuplicates(["vec_id"]).mapInPandas(walk, "query_id long, q array<double>, leaf int, block int")
 
     def score(left, right):
         out = []
@@ -206,8 +206,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
 
     found = asked.groupBy("leaf", "block").cogroup(held.groupBy("leaf", "block")).applyInPandas(score, "query_id long, ids array<long>, scores array<double>")
-    best = found.groupBy("query_id").agg(F.slice(F.array_distinct(F.array_sort(F.flatten(F.collect_list(
-        F.transform(F.arrays_zip("ids", "scores"), lambda p: F.struct((-p["scores"]).alias("s"), p["ids"].alias("i"))))))), 1, k).alias("b"))
+    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list(
+        F.transform(F.arrays_zip("ids", "scores"), lambda p: F.struct((-p["scores"]).alias("s"), p["ids"].alias("i")))))), 1, k).alias("b"))
     return best.select("query_id", F.posexplode("b").alias("rank", "p")).select(
         "query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("p.i").alias("vec_id"), (-F.col("p.s")).alias("score"))
 
