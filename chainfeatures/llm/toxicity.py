@@ -5,8 +5,11 @@ bytes that many different words begin with, which occur in toxic documents far
 more than in others (log-likelihood ratio; later rounds look at the toxic documents that
 have no term yet).  One deterministic automaton is the intersection of the lexicon trie with
 the Levenshtein automata of distance 1: its states are sets of (trie node, edits).  It
-runs over all words of a block at once, a table step for each byte; nearly all words are
-dropped after two or three bytes.  Near misses that clean documents use are exempt.
+runs over all words of a block at once, a table step for each code point; nearly all words are
+dropped after two or three.  Near misses that clean documents use are exempt.
+
+Learning and scoring cut words alike: runs of letters and digits of any script, so quotation
+marks, dashes and apostrophes of any kind border a word; case is folded in all scripts.
 
 Every hit is seen in a window: whether it stands between quotation marks or is
 reported (quotation), whether other hits or words of address are close (abuse).  Counts of
@@ -22,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +41,7 @@ MAX_TERMS = 400
 #: Share of the best term's likelihood ratio that a term of the same round must reach.
 STRONG = 0.2
 MAX_CANDIDATES = 200_000
-#: Closed words from this length on, and stems from the second, also match at distance 1.
+#: Closed words from this number of characters on, and stems from the second, also match at distance 1.
 FUZZY_WORD, FUZZY_STEM = 5, 7
 WINDOW_BYTES = 120
 MODULUS, HELD_OUT, THRESHOLD = 4, 2, 0.3
@@ -51,6 +55,23 @@ ADDRESS = re.compile(r"\b(you|your|u|ur|du|dich|dein|ihr|euch|tu|toi|ton|vous|t
 FEATURES = ["abuse", "quoted", "fuzzy", "distinct", "dense", "share", "address"]
 
 
+def fold(text: str) -> str:
+    """Lower case by single code points: no letter becomes two, and sigma has one form."""
+    return text.replace("\u0130", "i").lower().replace("ς", "σ")
+
+
+@cache
+def _code_points() -> tuple[np.ndarray, dict[int, list[int]]]:
+    """Whether each code point belongs to words, and the code points that fold to another."""
+    is_word = np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+    variants: dict[int, list[int]] = {}
+    for c in np.flatnonzero(is_word[:0x20000]).tolist():  # no letter with case is above
+        low = ord(fold(chr(c)))
+        if low != c:
+            variants.setdefault(low, []).append(c)
+    return is_word, variants
+
+
 class Automaton:
     """Deterministic automaton of a lexicon [(term, is_stem)] with at most one edit."""
 
@@ -61,7 +82,7 @@ class Automaton:
         opened: dict[int, int] = {}
         fuzzy = {}
         for k, (term, stem) in enumerate(lexicon):
-            node = 0
+            node, term = 0, [ord(c) for c in fold(term.decode())]
             for c in term:
                 if c not in child[node]:
                     child[node][c] = len(child)
@@ -93,21 +114,21 @@ class Automaton:
                     best = min(best, (e, table[node])) if best else (e, table[node])
             return best
 
-        alphabet = sorted({c for d in child for c in d})
-        self.kind = np.full(256, len(alphabet), np.int64)
-        for i, c in enumerate(alphabet):
-            self.kind[c] = i
-            if 97 <= c <= 122:
-                self.kind[c - 32] = i
+        alphabet = {c: i for i, c in enumerate(sorted({c for d in child for c in d}))}
+        variants = _code_points()[1]
+        self.kind = np.full(0x110000, len(alphabet), np.int32)
+        for c, i in alphabet.items():
+            self.kind[[c, *variants.get(c, [])]] = i
         start = closure({(0, 0)})
-        number, todo, rows = {frozenset(): 0, start: 1}, [start], {0: [0] * (len(alphabet) + 1)}
+        number, todo = {frozenset(): 0, start: 1}, [start]
+        rows = {0: (0, {})}  # state after any other code point, and after those that lead on from the state
         ends, stems = {0: None}, {0: None}
         while todo:
             states = todo.pop()
             me = number[states]
             ends[me], stems[me] = hit(states, closed), hit(states, opened)
-            row = []
-            for c in [*alphabet, -1]:
+            row = {}
+            for c in [-1, *{c for node, _ in states for c in child[node]}]:
                 nxt = set()
                 for node, e in states:
                     if c in child[node]:
@@ -119,9 +140,13 @@ class Automaton:
                 if to not in number:
                     number[to] = len(number)
                     todo.append(to)
-                row.append(number[to])
-            rows[me] = row
-        self.step = np.array([rows[k] for k in range(len(number))], np.int32)
+                row[c] = number[to]
+            rows[me] = (row.pop(-1), row)
+        self.step = np.empty((len(number), len(alphabet) + 1), np.int32)
+        for k, (other, row) in rows.items():
+            self.step[k] = other
+            for c, to in row.items():
+                self.step[k, alphabet[c]] = to
         pack = lambda d: np.array([-1 if d[k] is None else d[k][1] * 2 + d[k][0] for k in range(len(number))], np.int32)
         self.at_end, self.at_stem = pack(ends), pack(stems)
 
@@ -158,17 +183,34 @@ def is_quoted(left: str, right: str) -> bool:
     return False
 
 
+def _cut(buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code points, the byte where each begins (and the end), and start and end of every word in code points."""
+    a = np.frombuffer(buf, np.uint8)
+    if buf.isascii():
+        code, at = a, np.arange(len(a) + 1)
+    else:
+        code = np.frombuffer(buf.decode().encode("utf-32-le"), np.uint32)
+        at = np.append(np.flatnonzero((a & 0xC0) != 0x80), len(a))
+    edge = np.flatnonzero(np.diff(_code_points()[0][code].view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    return code, at, edge[0::2], edge[1::2]
+
+
+def _hashes(found: list[str]) -> np.ndarray:
+    return words("\n".join(map(fold, found)).encode(), ALPHANUMERIC)[0]
+
+
 def hits(texts: list[bytes], auto: Automaton, exempt: np.ndarray):
-    """(index of the text, number of words, [(word number, term, edits, start, end)]) of every text."""
+    """(index of the text, number of words, [(word number, term, edits, first byte, end)]) of every text."""
     for i, j, buf, starts in blocks(texts):
-        h, s, e = words(buf, ALPHANUMERIC)
-        a = np.frombuffer(buf, np.uint8)
-        m = auto.match(a, s, e)
+        code, byte, s, e = _cut(buf)
+        m = auto.match(code, s, e)
         at = np.flatnonzero(m >= 0)
-        if len(exempt) and len(at):
-            near = np.searchsorted(exempt, h[at])
-            known = (exempt[np.minimum(near, len(exempt) - 1)] == h[at]) & (m[at] % 2 == 1)
-            at = at[~known]
+        s, e = byte[s], byte[e]
+        near = np.flatnonzero(m[at] % 2 == 1)
+        if len(exempt) and len(near):
+            h = _hashes([buf[s[k]:e[k]].decode() for k in at[near]])
+            known = exempt[np.minimum(np.searchsorted(exempt, h), len(exempt) - 1)] == h
+            at = np.delete(at, near[known])
         first = np.searchsorted(s, starts)
         last = np.append(first[1:], len(s))
         doc = np.searchsorted(starts, s[at], "right") - 1
@@ -202,7 +244,7 @@ def features(texts: list[bytes], auto: Automaton, exempt: np.ndarray) -> np.ndar
 def _candidates(text: str) -> set[str]:
     """Every possible term of a text: closed words (marked ``$``) and stems."""
     out = set()
-    for w in set(re.findall(r"[^\W_]+", text.lower())):
+    for w in set(re.findall(r"[^\W_]+", fold(text))):
         if 4 <= len(w.encode()) <= 24:
             out.add(w + "$")
         out.update(w[:k] for k in STEMS if len(w) > k)
@@ -263,7 +305,7 @@ def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, rounds: int = 6
         if not fresh:
             break
         exact = [(b.decode(), s) for b, s in lexicon]
-        pattern = r"(?i)(?<![\p{L}\p{N}])(" + "|".join(re.escape(b) + ("" if s else r"(?![\p{L}\p{N}])") for b, s in exact) + ")"
+        pattern = r"(?iu)(?<![\p{L}\p{N}])(" + "|".join(re.escape(b) + ("" if s else r"(?![\p{L}\p{N}])") for b, s in exact) + ")"
         left = left.filter(~F.col("text").rlike(pattern))
         n1 = left.count()
         if n1 < 3:
@@ -289,7 +331,7 @@ def _near_misses(lexicon):
             for t, y in zip(pdf["text"], pdf["label"]):
                 b = t.encode()
                 for _, _, found in hits([b], auto, none):
-                    c.update((w, y) for w in {b[s:e].decode().lower() for _, _, edits, s, e in found if edits})
+                    c.update((w, y) for w in {fold(b[s:e].decode()) for _, _, edits, s, e in found if edits})
         yield pd.DataFrame([(w, y, n) for (w, y), n in c.items()], columns=["word", "label", "n"]).astype({"label": "int32", "n": "int64"})
     return run
 
@@ -312,7 +354,7 @@ def fit(sample: DataFrame) -> Model:
         return Model([], none, zero, zero + 1, np.append(zero, -3.0))
     near = sample.mapInPandas(_near_misses(lexicon), "word string, label int, n long").groupBy("word").agg(
         F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("clean")).filter("clean >= 2").select("word").limit(MAX_CANDIDATES).collect()
-    exempt = words("\n".join(r["word"] for r in near).encode(), ALPHANUMERIC)[0]
+    exempt = _hashes([r["word"] for r in near])
     exempt.sort()
     rows = sample.mapInPandas(_feature_rows(lexicon, exempt), "x array<double>, label int").toPandas()  # at most MAX_TRAIN rows
     x, y = np.stack(rows["x"]), rows["label"].to_numpy(float)

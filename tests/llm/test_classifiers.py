@@ -65,6 +65,53 @@ def test_quotation_and_abuse_differ():
     assert T.features([far.encode()], auto, NONE)[0, 1] == 0
 
 
+@pytest.mark.parametrize("around", ["{}…", "…{}", "{}—x", "x—{}", "¡{}!", "¿{}?", "l’{}", "{}’s", "“{}”", "„{}“", "«{}»", "‹{}›", "‘{}’", "»{}«", "x–{}–x", "{}\u00a0!", "\u2003{}"])
+def test_terms_next_to_marks_of_any_kind(around):
+    auto = T.Automaton([(b"idiot", False), ("débile".encode(), False), (b"disgus", True)])
+    for word, term, edits in [("idiot", 0, 0), ("Idoit", None, 0), ("idiots", 0, 1), ("débile", 1, 0), ("DÉBILE", 1, 0), ("debile", 1, 1), ("disgusting", 2, 0)]:
+        text = "ñ " + around.format(word) + " end"
+        (_, _, found), = T.hits([text.encode()], auto, NONE)
+        assert [(t, d, text.encode()[s:e].decode()) for _, t, d, s, e in found] == ([] if term is None else [(term, edits, word)]), text
+
+
+def test_unspaced_quotes_are_quotation():
+    auto = T.Automaton([(b"idiot", False)])
+    f = T.features([q.encode() for q in ("mot «idiot» fin", "the “idiot” word", "das „idiot“ da", "a ‘idiot’ b", "you idiot…")], auto, NONE)
+    abuse, quoted = f[:, T.FEATURES.index("abuse")], f[:, T.FEATURES.index("quoted")]
+    assert (quoted[:4] > 0).all() and not abuse[:4].any() and abuse[4] > 0 == quoted[4]
+
+
+def test_exempt_near_misses_by_folded_word():
+    auto = T.Automaton([("débile".encode(), False)])
+    exempt = np.sort(T._hashes(["debile", "débilé"]))
+    texts = ["“Debile” DÉBILÉ… débile".encode(), b"debile"]
+    assert [[d for _, _, d, _, _ in found] for _, _, found in T.hits(texts, auto, exempt)] == [[0], []]
+
+
+def test_automaton_by_code_point_equals_edit_distance():
+    lexicon = [("crétin".encode(), False), ("übelst".encode(), True), ("дурак".encode(), False), ("Σκύλος".encode(), False), ("白痴".encode(), False)]
+    auto, r, tokens = T.Automaton(lexicon), random.Random(3), set()
+    for w, _ in lexicon:
+        for _ in range(150):
+            x = list(w.decode())
+            for _ in range(r.randint(0, 2)):
+                k = r.randrange(len(x))
+                x[k:k + r.randint(0, 1)] = r.choice(["", "é", "e", "у", "白", "ß", "ab"])
+                x = x or ["x"]
+            tokens.add("".join(c.upper() if r.random() < 0.3 and len(c.upper()) == 1 else c for c in x))
+    tokens = sorted(t for t in tokens if t)
+    (_, n, found), = T.hits([" ".join(tokens).encode()], auto, NONE)
+    got = {k for k, *_ in found}
+    assert n == len(tokens)
+    for k, t in enumerate(tokens):
+        t, want = T.fold(t), False
+        for w, stem in lexicon:
+            w = T.fold(w.decode())
+            most = 1 if len(w) >= (T.FUZZY_STEM if stem else T.FUZZY_WORD) else 0
+            want |= any(distance(x, w) <= most for x in ([t[:n] for n in range(len(t) + 1)] if stem else [t]))
+        assert (k in got) == want, t
+
+
 def _scored(spark, module, fn, label):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     out = fn(docs, labels).toPandas()
