@@ -11,7 +11,7 @@ with ``M`` the largest norm (0 for a query), so the tree prunes by Euclidean dis
    brute force, and visits are widened until the leaves visited hold the target share
    of their true neighbours;
 4. each query walks the tree with a priority queue of nodes, nearest centre first, until it has
-   that many leaves; it meets their blocks in a cogroup, which scores in double precision and
+   that many leaves and they hold enough rows besides those of its own id; it meets their blocks in a cogroup, which scores in double precision and
    keeps the best of each block; a query's blocks are merged at the end.
 
 Defined cases: vectors that are null, empty, zero, hold null or non-finite components, or
@@ -91,10 +91,10 @@ class Tree:
             todo += [(c, rows[to == k]) for k, c in enumerate(self.children[node]) if (to == k).any()]
         return out
 
-    def best_bins(self, q: np.ndarray, visits: int) -> list[int]:
-        """The leaves that best-bin-first reaches, in order."""
-        heap, out = [(0.0, 0)], []
-        while heap and len(out) < visits:
+    def best_bins(self, q: np.ndarray, visits: int, sizes: list[int] | None = None, least: int = 0) -> list[int]:
+        """The leaves that best-bin-first reaches, in order: ``visits``, and more until by ``sizes`` they hold ``least`` rows."""
+        heap, out, held = [(0.0, 0)], [], 0
+        while heap and (len(out) < visits or held < least):
             _, node = heapq.heappop(heap)
             if self.children[node]:
                 d = ((self.stacked[node] - q) ** 2).sum(1)
@@ -102,6 +102,7 @@ class Tree:
                     heapq.heappush(heap, (float(d[k]), c))
             else:
                 out.append(self.leaf[node])
+                held += sizes[out[-1]] if sizes else 0
         return out
 
 
@@ -165,19 +166,20 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
                 yield pdf.assign(leaf=tree.assign(augment(np.stack(pdf["v"]), largest)).astype(np.int32))
 
     placed = shared_table(v.mapInPandas(place, "vec_id long, v array<double>, leaf int"), "leaves")
-    sizes = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # one row for each leaf
-    blocks = [max(1, -(-sizes.get(leaf, 0) // BLOCK)) for leaf in range(tree.n_leaves)]
+    counts = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # one row for each leaf
+    sizes = [counts.get(leaf, 0) for leaf in range(tree.n_leaves)]
+    blocks = [max(1, -(-size // BLOCK)) for size in sizes]
     n_blocks = F.element_at(F.array(*[F.lit(b) for b in blocks]), F.col("leaf") + 1)
     held = placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int"))
 
     def walk(batches):
         for pdf in batches:
             out = []
-            for i, q in zip(pdf["vec_id"], pdf["v"]):
-                out += [(i, q, leaf, b) for leaf in tree.best_bins(np.append(q, 0.0), visits) for b in range(blocks[leaf])]
+            for i, q, own in zip(pdf["vec_id"], pdf["v"], pdf["own"]):  # ``own``: rows of the id, in whatever leaves
+                out += [(i, q, leaf, b) for leaf in tree.best_bins(np.append(q, 0.0), visits, sizes, k + own) for b in range(blocks[leaf])]
             yield pd.DataFrame(out, columns=["query_id", "q", "leaf", "block"]).astype({"leaf": "int32", "block": "int32"})
 
-    asked = placed.filter(is_query(F.col("vec_id"))).select("vec_id", "v").dropDuplicates(["vec_id"]).mapInPandas(walk, "query_id long, q array<double>, leaf int, block int")
+    asked = placed.filter(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("own")).mapInPandas(walk, "query_id long, q array<double>, leaf int, block int")
 
     def score(left, right):
         out = []

@@ -117,3 +117,33 @@ def test_best_bins_visit_every_leaf_once():
     order = t.best_bins(x[5], t.n_leaves)
     assert sorted(order) == list(range(t.n_leaves)) and t.n_leaves > 20
     assert order[0] == t.assign(x[5:6])[0] or order.index(t.assign(x[5:6])[0]) < 4
+
+
+def test_queries_in_small_leaves_get_all_their_rows(spark):
+    """Six common vectors that fill a leaf each, so that one visit is enough for nearly all, and two small outlying
+    leaves: five rows, and 24 rows of one id with one other."""
+    axes = np.eye(8)
+    rows = [(i, 4 * axes[i % 6]) for i in range(6 * 390)]
+    rows += [(i, -5 * axes[6]) for i in range(10_000, 10_005)] + [(10_020, -5 * axes[7])] * 24 + [(10_021, -5 * axes[7])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    x = np.stack([v for _, v in rows])
+    t = A.Tree(A.augment(x, 5.0), A.LEAF)
+    assert sorted(np.bincount(t.assign(A.augment(x, 5.0))))[:3] == [5, 25, 390]
+    got = A.nearest(df, lambda i: i % 20 == 0, k=20).toPandas()
+    n = got.groupby("query_id").size()
+    assert set(n.index) == {i for i, _ in rows if i % 20 == 0} and (n == 20).all(), n[n < 20]
+    assert (got["query_id"] != got["vec_id"]).all()
+    assert set(got[(got["query_id"] == 10_000) & (got["rank"] <= 4)]["vec_id"]) == {10_001, 10_002, 10_003, 10_004}
+    assert set(got[(got["query_id"] == 10_020) & (got["rank"] == 1)]["vec_id"]) == {10_021}
+
+
+def test_best_bins_go_on_until_they_hold_enough():
+    x = np.random.default_rng(0).normal(size=(900, 6))
+    t = A.Tree(x, 30)
+    sizes = np.bincount(t.assign(x), minlength=t.n_leaves).tolist()
+    whole = t.best_bins(x[5], t.n_leaves)
+    for least in (0, 1, 40, 200, 900, 10**6):
+        got = t.best_bins(x[5], 2, sizes, least)
+        assert got == whole[:len(got)] and len(got) >= 2
+        assert sum(sizes[i] for i in got) >= min(least, 900)
+        assert len(got) == 2 or sum(sizes[i] for i in got[:-1]) < least
