@@ -72,3 +72,12 @@ def crc_mod(id_col: str, m: int):
 def arrow_batch_rows(spark: SparkSession, rows: int) -> None:
     """Rows per Arrow batch handed to Python: bounds what one worker holds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: Bytes of one Arrow batch handed to Python: what a worker holds whatever the lengths of the texts.
+BATCH_BYTES = 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches handed to Python end at ``BATCH_BYTES`` (one longer text is a batch of its own)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
