@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, html_text, mixing, neardup, phrases, pii, quality, runs, sharding, suffix_dedup, toxicity
+from . import ann, decontam, html_text, language_model, mixing, neardup, phrases, pii, quality, runs, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_quality": quality.op10_quality,
+    "op11_lm": language_model.op11_lm,
     "op12_phrases": phrases.op12_phrases,
     "op13_runs": runs.op13_runs,
 }
