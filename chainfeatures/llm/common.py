@@ -81,3 +81,11 @@ BATCH_BYTES = 16 << 20
 def bound_batches(spark: SparkSession) -> None:
     """Batches handed to Python end at ``BATCH_BYTES`` (one longer text is a batch of its own)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a ``shared_table`` that no later step reads."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles() if "/chainfeatures-llm/" in f}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,7 @@ one direction and its twin in the other are kept in step.
    small, so nothing is lost here;
 2. the shards index their text again and extend what is left to the right: a three-word phrase is
    listed where both its two-word parts reach the least count.  These lists carry the words
-   themselves, and their sums over all shards are exact;
+   themselves, compressed, and other parts sum them over all shards: exactly;
 3. cuts, scores, the rule of longer phrases and ranks are DataFrame operations.
 
 The index is sorted to the depth that the extensions need, so its cost does not depend on repeats.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import parts_for, shared_table
-from .tiles import by_part, merged, pack, pack_sorted, tiled, unpack, unpack_sorted
+from .tiles import by_part, merged, pack, pack_bytes, pack_sorted, tiled, unpack, unpack_bytes, unpack_sorted
 from .words import mix
 
 LEAST = 10
@@ -108,7 +108,7 @@ class Shard:
         x, self.text = tokens(texts)
         self.n = int((x > 0).sum())
         self.index = FMIndex(x, len(self.text) + 1)
-        seed = pd.util.hash_array(np.array([lang], dtype=object))[0]
+        self.seed = seed = pd.util.hash_array(np.array([lang], dtype=object))[0]
         h = np.concatenate(([np.uint64(0)], pd.util.hash_array(self.text, categorize=False) if len(self.text) else np.empty(0, np.uint64)))
         self.word, lo, hi = self.index.words()
         self.count = hi - lo
@@ -166,34 +166,55 @@ def often(least: int):
     return run
 
 
-def _phrase_rows(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    of = shards(texts)
-    keys, _, order = _listing(of)
-    answers = answers.sort_values("part")
-    flags = [np.unpackbits(unpack(b, np.uint8), count=int(n)) for b, n in zip(answers["flags"], answers["n"])]
-    ok = np.zeros(len(keys), bool)
-    if flags:
-        ok[order] = np.concatenate(flags).astype(bool)
-    out, at = [], 0
-    for s in of:
-        word_ok, pair_ok = ok[at:at + len(s.word_key)], ok[at + len(s.word_key):at + len(s.word_key) + len(s.pair_key)]
-        at += len(s.word_key) + len(s.pair_key)
-        a, b, c, n = s.longer(pair_ok)
-        none = lambda k: np.zeros(k, np.int64)
-        w, p = word_ok.sum(), pair_ok.sum()
-        ids = [np.concatenate(x) for x in ((none(1), s.word[word_ok], s.first[pair_ok], a), (none(1), none(w), s.second[pair_ok], b), (none(1), none(w), none(p), c))]
-        text = np.empty(len(s.text) + 1, object)  # None for "no word"
-        used = np.unique(np.concatenate(ids))
-        text[used[1:]] = [t.decode() for t in s.text[used[1:] - 1]]
-        out.append(pd.DataFrame({"lang": s.lang, "w1": text[ids[0]], "w2": text[ids[1]], "w3": text[ids[2]],
-                                 "f": np.concatenate(([s.n], s.count[word_ok], s.pair_count[pair_ok], n))}))
-    return pd.concat(out) if out else pd.DataFrame({"lang": [], "w1": [], "w2": [], "w3": [], "f": []})
+def list_phrases(parts: int):
+    """The phrases themselves and their counts, by part; the empty phrase counts all words."""
+    def run(key, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        of = shards(texts)
+        keys, _, order = _listing(of)
+        answers = answers.sort_values("part")
+        flags = [np.unpackbits(unpack(b, np.uint8), count=int(n)) for b, n in zip(answers["flags"], answers["n"])]
+        ok = np.zeros(len(keys), bool)
+        if flags:
+            ok[order] = np.concatenate(flags).astype(bool)
+        rows, at = [], 0
+        for s in of:
+            word_ok, pair_ok = ok[at:at + len(s.word_key)], ok[at + len(s.word_key):at + len(s.word_key) + len(s.pair_key)]
+            at += len(s.word_key) + len(s.pair_key)
+            a, b, c, n = s.longer(pair_ok)
+            text = np.concatenate((np.array([b""], object), s.text))
+            two = text[s.first[pair_ok]] + b" " + text[s.second[pair_ok]]
+            phrases = np.concatenate((text[:1], text[s.word[word_ok]], two, text[a] + b" " + text[b] + b" " + text[c]))
+            counts = np.concatenate(([s.n], s.count[word_ok], s.pair_count[pair_ok], n))
+            # dealt by the first and last word's keys, so that phrases of one frequent word are spread
+            h = mix(np.concatenate(([s.seed], s.word_key[word_ok], s.pair_key[pair_ok], s.word_key[a - 1] * _PLACE[1] + s.word_key[b - 1] * _PLACE[2] + s.word_key[c - 1])))
+            order_of = np.argsort(h)
+            for p, k in by_part(h[order_of], parts):
+                mine = order_of[k]
+                rows.append((p, s.lang, pack_bytes(b"\n".join(phrases[mine])), pack(counts[mine])))
+        return pd.DataFrame(rows, columns=["part", "lang", "phrases", "counts"])
+    return run
+
+
+def sum_phrases(least: int):
+    """Sums over all shards, of the phrases themselves: two and three words from ``least`` on, and all words."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for lang, rows in pdf.groupby("lang"):
+            lists = [unpack_bytes(b).split(b"\n") for b in rows["phrases"]]
+            at, phrases = pd.factorize(np.array([p for k in lists for p in k], dtype=object))
+            f = np.zeros(len(phrases), np.int64)
+            np.add.at(f, at, np.concatenate([unpack(b, np.int64) for b in rows["counts"]]))
+            kept = [(p.decode().split(" "), n) for p, n in zip(phrases, f.tolist()) if n >= least or b" " not in p]
+            out.append(pd.DataFrame([(lang, *(w if w != [""] else []), *[None] * (3 - (len(w) if w != [""] else 0)), n) for w, n in kept],
+                                    columns=["lang", "w1", "w2", "w3", "f"]))
+        return pd.concat(out)
+    return run
 
 
 def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   least: int = LEAST, **sizes) -> DataFrame:
-    """``lang, w1, w2, w3, f``: exact counts of all words and of phrases of two and three words that reach
-    ``least`` (and of some that do not); the row without words has the number of words of the language."""
+    """``lang, w1, w2, w3, f``: exact counts of the phrases of two and three words that reach ``least`` and of
+    their words (and some others); the row without words has the number of words of the language."""
     rows, _, total = tiled(docs, id_col, text_col, lang=F.coalesce(F.col(lang_col).cast("string"), F.lit("und")),
                            **{k: v for k, v in sizes.items() if k == "tile_bytes"})
     texts = rows.select("tile", "lang", "text")
@@ -201,8 +222,8 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keys = texts.groupBy("tile").applyInPandas(list_keys(parts), "part int, tile int, keys binary, counts binary")
     answers = keys.groupBy("part").applyInPandas(often(least), "tile int, part int, flags binary, n int")
     local = texts.groupBy("tile").cogroup(answers.groupBy("tile")).applyInPandas(
-        _phrase_rows, "lang string, w1 string, w2 string, w3 string, f long")
-    return local.groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f"))
+        list_phrases(parts), "part int, lang string, phrases binary, counts binary")
+    return local.groupBy("part").applyInPandas(sum_phrases(least), "lang string, w1 string, w2 string, w3 string, f long")
 
 
 def score(a: str, left: str, right: str) -> str:

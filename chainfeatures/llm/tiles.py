@@ -45,6 +45,14 @@ def unpack(b: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(dtype.itemsize, n).T).view(dtype).reshape(n)
 
 
+def pack_bytes(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_bytes(b: bytes) -> bytes:
+    return pa.decompress(b[8:], decompressed_size=int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True)
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     return pack(np.diff(keys, prepend=keys.dtype.type(0)))
 
