@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, crc_mod, parts_for, shared_table
+from .common import bound_batches, crc_mod, discard, parts_for, shared_table
 from .seating import tables
 from .tiles import by_part, merged, pack, pack_sorted, tiled, unpack, unpack_sorted
 from .words import BLANK_SEPARATED, blocks, mix, words
@@ -345,10 +345,15 @@ def train(rows: DataFrame, text_bytes: int, strength: float = STRENGTH, sweeps:
             break
         down = parent.filter(F.col("kind") == DOWN).select("part", F.lit(UP).alias("kind"), "parent", F.col("b").alias("own"), F.lit(None).cast("binary").alias("t"))
         now = seated.filter(F.col("kind") == SEATED).select("part", "kind", F.lit(-1).alias("parent"), F.lit(None).cast("binary").alias("own"), F.col("a").alias("t"))
+        old = seated
         seated = shared_table(dishes.groupBy("part").cogroup(down.unionByName(now).groupBy("part")).applyInPandas(
             _seat_dishes(sweep, level, strength, d, hot, sliced, moves, word_parts), SEATED_ROW), "lm-seated")
+        if sweep <= burn_in:  # written in full above, and no sample
+            discard(old)
+            discard(parent)
         if sweep == 0:
             level.discount = discount(sums[2], sums[3])
+    discard(base)
     return Model(vocabulary=vocabulary, pairs=merged_pairs, samples=samples, hot=hot, tokens=n, distinct=v, strength=strength, discount=d, word_parts=word_parts)
 
 
