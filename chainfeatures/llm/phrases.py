@@ -38,6 +38,8 @@ TOP = 2000
 SHARE = 50
 #: Bytes of text for each part that sums hashes.
 PART_BYTES = 12 << 20
+#: Groups that a language's candidates are ranked in before the last ranking: it meets at most SALTS * top rows.
+SALTS = 64
 BORDER = b"\xff"  # no byte of UTF-8
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + BORDER * 10)
@@ -254,8 +256,10 @@ def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cut = F.col("s1") <= F.col("s2")
     long = long.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", F.when(cut, F.col("l1")).otherwise(F.col("l2")).alias("l"),
                        F.when(cut, F.col("r1")).otherwise(F.col("r2")).alias("r"), F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = short.unionByName(long).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the best of every salted group first: no task sorts all phrases of a language
+    best, order = short.unionByName(long).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))), (F.desc("score"), F.desc("a"), "phrase")
+    for keys in (("lang", "salt"), ("lang",)):
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= top)
     return best.join(F.broadcast(n), "lang").select(  # one row for each language that has a phrase
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
