@@ -215,19 +215,25 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have, in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that no benchmark item contaminates."""
     items = _items(bench, item_col, item_text_col)
     if text_bytes(items)[1] <= broadcast_bytes:
         rows = [(r["item"], r["text"].encode()) for r in items.collect()]  # its size has just been checked
-        hit = "__hit"
-        while hit in docs.columns:
-            hit += "_"
+        hit = _fresh(docs, "hit")
         return docs.withColumn(hit, hit_column(rows, F.col(text_col).cast("string"))).filter(F.col(f"{hit}.n_hit") == 0).drop(hit)
-    key = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    found = _joined(docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text")), items).select(F.col("key").alias("__key"))
-    return docs.join(shared_table(found, "contaminated"), key == F.col("__key"), "left_anti")
+    key, name = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256), _fresh(docs, "key")
+    found = _joined(docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text")), items).select(F.col("key").alias(name))
+    return docs.join(shared_table(found, "contaminated"), key == F.col(name), "left_anti")
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

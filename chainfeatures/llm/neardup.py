@@ -86,7 +86,7 @@ def signatures(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches):
-    """(doc_id, text) -> shingle count, set identity, band keys and signature bits."""
+    """(doc_id, no_id, text) -> shingle count, set identity, band keys and signature bits."""
     band_of = np.arange(BANDS, dtype=np.uint64)
     for pdf in batches:
         texts = [t.encode() if t else b"" for t in pdf["text"]]
@@ -109,7 +109,8 @@ def _sketch(batches):
             one = np.zeros((len(full), 128), np.uint8)
             one[:, :HASHES] = sig & np.uint32(1)
             bits[i + full] = np.packbits(one, axis=1).view(np.int64)
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": n_out, "c1": c1, "c2": c2, "bands": keys, "s1": bits[:, 0], "s2": bits[:, 1]})
+        ids = pd.arrays.IntegerArray(pdf["doc_id"].to_numpy(np.int64), pdf["no_id"].to_numpy(bool))
+        yield pd.DataFrame({"doc_id": ids, "n_shingles": n_out, "c1": c1, "c2": c2, "bands": keys, "s1": bits[:, 0], "s2": bits[:, 1]})
 
 
 def _sets(batches):
@@ -198,8 +199,10 @@ def _open_pairs(m: DataFrame, sets: DataFrame, percent: int, n: int) -> DataFram
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     arrow_batch_rows(docs.sparkSession, BATCH_ROWS)
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sig = shared_table(d.mapInPandas(_sketch, "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, s1 long, s2 long"), "sketch")
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # no nulls among the ids that pandas sees: next to one it would turn large ids into floats
+    filled = d.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text")
+    sig = shared_table(filled.mapInPandas(_sketch, "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, s1 long, s2 long"), "sketch")
     n_docs = sig.count()
 
     copies = shared_table(sig.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("c1", "c2", "n_shingles")

@@ -87,7 +87,7 @@ def find_spans(text: str, automaton) -> tuple[list[tuple[int, int, str]], list[t
             run_end = DIGITS.match(text, p).end()  # one look at each run of digits
             if p >= ip_end and (m := QUAD.match(text, p)):
                 ip_end = m.end()
-                if all(len(g) < 400 and int(g) <= 255 for g in m.groups()):
+                if all(len(z := g.lstrip("0")) <= 3 and int(z or 0) <= 255 for g in m.groups()):
                     base.append((p, ip_end, "ip"))
             if p >= card_end and (m := CARD.match(text, p)):
                 card_end = m.end()
@@ -108,7 +108,7 @@ def find_spans(text: str, automaton) -> tuple[list[tuple[int, int, str]], list[t
                     base.append((p, phone_end, "phone"))
         elif what == "://":
             s = p
-            while s > url_end and p - s < 12 and text[s - 1].isascii() and text[s - 1].isalpha():
+            while s > url_end and text[s - 1].isascii() and text[s - 1].isalpha():
                 s -= 1
             if s < p and (m := URL_REST.match(text, p + 3)):
                 end = p + 3 + len(m[0].rstrip(".,;:!?)]}"))

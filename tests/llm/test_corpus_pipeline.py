@@ -49,3 +49,12 @@ def test_stages_on_edge_cases(spark, edge_docs, no_docs):
         assert d.count() >= 0
     kept = P.drop_near_duplicates(spark, edge_docs, SF)
     assert kept.filter("doc_id is null").count() == 2
+
+
+def test_helper_columns_never_clash(spark, edge_docs):
+    """Extra columns named like helper columns, in any case of letters, come through as they were."""
+    docs = edge_docs.selectExpr("*", "1 AS __gone", "2 AS gone", "3 AS __HIT", "4 AS HIT", "5 AS __key", "6 AS key", "7 AS SCORE_")
+    for d in (P.drop_toxic(spark, docs, SF), P.drop_near_duplicates(spark, docs, SF), P.drop_contaminated(spark, docs, SF),
+              decontam.keep_clean(docs, spark.read.parquet(f"{SF}/benchmark.parquet"), broadcast_bytes=0)):
+        assert d.columns == docs.columns
+        assert {tuple(r[-7:]) for r in d.collect()} == {(1, 2, 3, 4, 5, 6, 7)}

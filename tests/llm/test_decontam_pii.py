@@ -118,3 +118,10 @@ def test_linear_on_hostile_texts():
     a = P.anchors()
     for t in ("1" * 200_000, "1 " * 100_000, "a" * 100_000 + "@", "@" * 100_000, "+1" * 50_000, "1." * 100_000, "://" * 50_000):
         P.find_spans(t, a)
+
+
+def test_parts_of_an_address_with_very_many_zeros():
+    find = lambda t: P.find_spans(t, P.anchors())[0]
+    for zeros in (0, 3, 450, 9000):
+        assert [k for _, _, k in find("at " + "0" * zeros + "10.0.0.255 x")] == ["ip"]
+        assert [k for _, _, k in find("at " + "0" * zeros + "256.1.1.1 x")] == []

@@ -126,3 +126,11 @@ def test_signature_minima():
     sig = N.signatures(flat, np.array([0, 20]))
     want = min(int((int(x) * int(N._A[3]) + int(N._B[3])) % 2**64 >> 32) for x in flat[20:])
     assert sig.shape == (2, N.HASHES) and sig[1, 3] == want
+
+
+def test_large_ids_next_to_null_ids(spark):
+    t = "one two three four five six seven eight nine ten eleven twelve"
+    df = spark.createDataFrame([(9007199254740993, t), (None, t), (9007199254740995, t), (None, None)], "doc_id long, text string").coalesce(1)
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in N.near_duplicates(df).collect()}
+    big = 9007199254740993
+    assert {g[:1] + g[2:] for g in got} == {(big, True), (big + 2, False), (None, True)} and (big + 2, big, False) in got
