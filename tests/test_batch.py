@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chainfeatures.plans.jobs import run_batch
 from chainfeatures.plans.sinks import write_minute_files
 from chainfeatures.sources.chain import derived_chain
-from conftest import SF001
+from testdata_paths import SF001
 
 
 def test_run_batch(spark, tmp_path):

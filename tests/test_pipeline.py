@@ -8,7 +8,7 @@ from chainfeatures.plans import jobs
 from chainfeatures.plans.pipeline import compute_features, node_table
 from chainfeatures.plans.registry import create_default_registry
 from chainfeatures.sources.chain import derived_chain
-from conftest import SF001
+from testdata_paths import SF001
 
 FEATS = create_default_registry().get_active_features()
 KEY = ["timestamp_int", "expirDate", "strike"]

@@ -9,7 +9,7 @@ from chainfeatures.plans.registry import create_default_registry
 from chainfeatures.plans.sinks import write_minute_files
 from chainfeatures.sources.chain import derived_chain
 from chainfeatures.streaming.ingest import start_stream
-from conftest import SF001
+from testdata_paths import SF001
 
 KEY = ["timestamp_int", "expirDate", "strike"]
 
