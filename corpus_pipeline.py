@@ -11,8 +11,11 @@ included); the last returns one row for each record of the mixed corpus with its
   occur up to three times;
 * sharding: 24 shards by bytes through virtual slots.
 
-Null texts are not toxic, have no duplicates and no benchmark words; they stay
-until the mix, which takes rows, not words, of a source by its weight.
+Null and empty texts are not toxic, have no duplicates and no benchmark words; they stay
+until the mix, which takes rows, not words, of a source by its weight.  Very long texts are judged whole.  Of
+texts that are alike (ties) the smallest id stays; rows that repeat an id are judged alike and stay or go together; rows with a
+null id have no duplicates.  Extra columns pass through whatever their names, in any case of letters, since helper columns take
+names that the table does not have.  An empty table gives an empty corpus.
 """
 
 from __future__ import annotations
@@ -42,8 +45,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = neardup.near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(shared_table(gone, "duplicates"), docs["doc_id"] == F.col("__gone"), "left_anti")
+    name = _fresh(docs, "gone")
+    gone = neardup.near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(shared_table(gone, "duplicates"), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
