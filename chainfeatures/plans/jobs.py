@@ -12,16 +12,19 @@ from __future__ import annotations
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainfeatures.config import HISTORY_PRELOAD_DAYS, HISTORY_PRELOAD_MINUTES, FeatureParams
 from chainfeatures.functions.frames import SEQ
 from chainfeatures.operators import timeline
-from chainfeatures.operators.quality import split_valid
+from chainfeatures.operators.keys import with_time_key
+from chainfeatures.operators.quality import minute_facts, split_valid
 from chainfeatures.plans.pipeline import build_spine, compute_features, normalise_panel
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
+from chainfeatures.plans.store import SlabStore
 from chainfeatures.session import materialize
+from chainfeatures.sources.snapshots import file_checksums, file_footers, footer_failures, list_files, scan_snapshots
 
 
 def context_minutes(spine: DataFrame, new_minutes: DataFrame, lookback: int) -> DataFrame:
@@ -43,18 +46,18 @@ def needed_dates(minutes: DataFrame) -> list[str]:
 
 def run_incremental(panel: DataFrame, new_minutes: DataFrame, registry: FeatureRegistry | None = None,
                     params: FeatureParams | None = None, spine: DataFrame | None = None,
-                    spine_rows: int | None = None, need: DataFrame | None = None) -> DataFrame:
+                    spine_rows: int | None = None, need: DataFrame | None = None, prune: bool = True) -> DataFrame:
     """Features of the rows of ``new_minutes`` only, identical to a full
     recompute.  ``panel`` is the whole source (a lazy scan).  Where it has a ``date`` column, only
     the days of the needed minutes are read: a filter on the date prunes partitions, or row
     groups of a sorted table.  Pass a stored ``spine`` (one row per valid minute) to spare the pass
-    over the minutes as well.  Context rows are dropped before the final projection."""
+    over the minutes as well (``prune=False``: the panel holds nothing but the needed minutes).  Context rows are dropped before the final projection."""
     reg = registry or create_default_registry()
     if spine is None:
         spine, spine_rows = build_spine(normalise_panel(panel.select("timestamp_int", "stockPrice")))
     if need is None:
         need = materialize(context_minutes(spine, new_minutes, reg.max_lookback()))  # one row per needed minute
-    if "date" in panel.columns:
+    if prune and "date" in panel.columns:
         panel = panel.filter(F.col("date").isin(needed_dates(need)))
     small = spine_rows is not None and spine_rows <= timeline.SPINE_BROADCAST_MAX_ROWS  # need ⊆ spine
     rows = panel.join(F.broadcast(need) if small else need, "timestamp_int", "inner")
@@ -133,76 +136,143 @@ def lineage_manifest(checksums: DataFrame, minutes: DataFrame, registry: Feature
                     F.lit(now).alias("processing_timestamp")))
 
 
-def write_manifest(manifest: DataFrame, dest: str) -> None:
-    """Keep one manifest row per minute: the days touched are rewritten with the new rows in place."""
-    from chainfeatures.plans.sinks import hadoop_exists
+#: What the store keeps of every file: its footer, checksum, and the facts of its minute.
+FILES = ("path", "date", "length", "modificationTime", "timestamp_int", "rows", "fields", "md5", "valid", "stockPrice", "error", "error_type")
+
+
+def describe_files(spark: SparkSession, listed: DataFrame, root: str | None) -> DataFrame:
+    """A row of FILES for each listed file (path, length, modificationTime); files are opened here and nowhere
+    else.  ``root``: set where the files are all of that folder."""
+    paths = root or [r["path"] for r in listed.select("path").collect()]  # of the files that are new to the store
+    footers = materialize(file_footers(spark, paths, files=listed))
+    named = with_time_key(footers.select("path"), "path").select("path", F.col("valid").alias("named"), F.when(F.col("valid"), F.col("timestamp_int")).alias("timestamp_int"))
+    bad = footer_failures(footers).select("path", F.col("error").alias("bad"), F.col("error_type").alias("kind"))
+    files = materialize(footers.join(named, "path").join(bad, "path", "left"))
+    sound = materialize(files.filter("named AND bad IS NULL").select("path", "length", "rows", "fields", "error"))
+    facts = None
+    if not sound.isEmpty():
+        every = root if root and sound.count() == files.count() else [r["path"] for r in sound.select("path").collect()]
+        facts = minute_facts(scan_snapshots(spark, every, footers=sound, tolerant=True), sound)
+        facts = facts.select("timestamp_int", "valid", "stockPrice", F.col("error").alias("fault"), F.col("error_type").alias("fault_kind"))
+    else:
+        facts = spark.createDataFrame([], "timestamp_int long, valid boolean, stockPrice double, fault string, fault_kind string")
+    sums = file_checksums(spark, paths).select("path", "md5")
+    name_error = "Invalid filename format: expected strikes_YYYYMMDDHHMM.parquet"
+    ok = F.col("named") & F.col("bad").isNull()
+    stamp = F.lpad(F.col("timestamp_int").cast("string"), 12, "0")
+    return (files.drop("error").join(listed.select("path", "modificationTime"), "path").join(sums, "path", "left").join(facts, "timestamp_int", "left")
+            .select("path", F.coalesce(F.substring(stamp, 1, 8), F.lit("unnamed")).alias("date"), "length", "modificationTime", "timestamp_int", "rows", "fields", "md5",
+                    F.coalesce(ok & F.col("valid"), F.lit(False)).alias("valid"), "stockPrice",
+                    F.when(~F.col("named"), F.lit(name_error)).when(F.col("bad").isNotNull(), F.col("bad")).otherwise(F.col("fault")).alias("error"),
+                    F.when(~F.col("named"), F.lit("ValueError")).when(F.col("bad").isNotNull(), F.col("kind")).otherwise(F.col("fault_kind")).alias("error_type")))
+
+
+def file_changes(spark: SparkSession, root: str, store: SlabStore) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all files now, files that were described in this run, files gone or replaced): the listing against the stored catalog.
+
+    A file is known by path, length and modification time.  The files of a minute are judged together, so where one of
+    them came or went, the others are described again."""
+    listed = list_files(spark, root)
+    known = store.read("files")
+    if known is None:
+        now = materialize(describe_files(spark, materialize(listed), root))
+        return now, now, now.limit(0)
+    key = ["path", "length", "modificationTime"]
+    listed, known = materialize(listed), materialize(known)
+    new = listed.join(known.select(*key), key, "left_anti")
+    gone = materialize(known.join(listed, key, "left_anti"))
+    touched = with_time_key(new.select("path"), "path").filter("valid").select("timestamp_int").unionByName(gone.select("timestamp_int")).distinct()
+    again = known.join(gone.select("path"), "path", "left_anti").join(touched, "timestamp_int", "left_semi").select(*key)
+    todo = materialize(new.unionByName(again))
+    described = materialize(describe_files(spark, todo, None)) if not todo.isEmpty() else known.limit(0)
+    kept = known.join(gone.select("path"), "path", "left_anti").join(described.select("path"), "path", "left_anti")
+    return materialize(kept.select(*FILES).unionByName(described.select(*FILES))), described, gone
 
-    spark = manifest.sparkSession
-    manifest = materialize(manifest)
-    if hadoop_exists(spark, dest):
-        days = spark.read.parquet(dest).withColumn("date", F.lpad(F.col("date").cast("string"), 8, "0"))
-        days = days.filter(F.col("date").isin([r["date"] for r in manifest.select("date").distinct().collect()]))
-        manifest = materialize(manifest.unionByName(days.join(manifest.select("timestamp_int"), "timestamp_int", "left_anti")))
-    (manifest.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date").parquet(dest))
+
+def _slabs(store: SlabStore, *frames: DataFrame) -> list[str]:
+    """The slabs of some rows with a date: one value for each."""
+    out: set = set()
+    for df in frames:
+        out |= {r["s"] for r in df.select(store.slab_of("date").alias("s")).distinct().collect()}
+    return sorted(out - {None})
+
+
+def _dated(minutes: DataFrame) -> DataFrame:
+    stamp = F.lpad(F.col("timestamp_int").cast("string"), 12, "0")
+    return minutes.withColumn("date", F.substring(stamp, 1, 8)).withColumn("minute", F.substring(stamp, 9, 4))
 
 
 def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | None = None,
-              params: FeatureParams | None = None, new_only: bool = True) -> dict:
-    """The batch event as one Spark job over a snapshot folder (reference layout):
-
-    list files -> time keys (bad names fail) -> footers (unreadable and empty files,
-    missing required columns fail) -> one row per minute (null/duplicate keys, several prices,
-    unreadable pages fail), stored once -> features of the minutes not yet in ``dest`` (all with
-    ``new_only=False``) with the full valid history as context; only the days that hold needed
-    minutes are scanned -> lineage manifest (keyed by minute), then the rows, by minute.
-
-    Returns DataFrames: ``failures`` (uri, error, error_type), ``written``
-    (timestamp_int), ``manifest``, ``outcomes`` (per date and total: completed, failed, status) and
-    ``summary`` (one row: success_count, failure_count).
+              params: FeatureParams | None = None, new_only: bool = True, slab_chars: int = 8) -> dict:
+    """The batch event as one Spark job over a snapshot folder (reference layout) into a store (``plans.store``)
+    with the tables ``files`` (the catalog), ``spine``, ``rows`` (enriched) and ``lineage``:
+
+    1. the listing is compared with the catalog; only files that are new or changed are opened: footer, checksum and
+       the facts of their minute (bad names, unreadable or empty files, missing columns, null or repeated keys and
+       several prices are failures of that file);
+    2. minutes that came, changed or went are merged into the stored spine, slab by slab;
+    3. they and the look-back positions after each of them are computed (``new_only=False``: all), reading
+       only the files of these minutes and of the look-back before them, so the destination equals a
+       full recompute whatever the order in which minutes arrive;
+    4. rows, lineage, spine and catalog are committed in one step: a crash anywhere before leaves the store as it was.
+
+    Returns DataFrames: ``failures`` (uri, error, error_type: of all files there are), ``written`` (timestamp_int), ``manifest``
+    (the lineage of all rows), ``outcomes`` (per date and total: completed, failed, status), ``summary`` (one row:
+    success_count, failure_count) and ``opened`` (path: files whose footers, or whose rows, were read).
     """
-    from chainfeatures.operators.keys import with_time_key
-    from chainfeatures.operators.quality import minute_facts
+    from chainfeatures.operators import stored_spine
     from chainfeatures.operators.worklist import run_summary
-    from chainfeatures.plans.sinks import hadoop_exists, write_enriched
-    from chainfeatures.sources.snapshots import file_checksums, file_footers, footer_failures, scan_snapshots
 
     reg = registry or create_default_registry()
-    footers = materialize(file_footers(spark, source_root))
-    named = materialize(with_time_key(footers.select("path"), "path").select("path", "valid"))
-    bad_names = named.filter(~F.col("valid")).select(
-        F.col("path").alias("uri"), F.lit("Invalid filename format: expected strikes_YYYYMMDDHHMM.parquet")
-        .alias("error"), F.lit("ValueError").alias("error_type"))
-    bad_files = materialize(footer_failures(footers.join(named.filter("valid").select("path"), "path", "left_semi")))
-    sound = materialize(footers.join(named.filter("valid").select("path"), "path", "left_semi")
-                        .join(bad_files.select("path"), "path", "left_anti"))
-    minutes = materialize(minute_facts(scan_snapshots(spark, source_root, footers=footers, tolerant=True), sound))
-    failures = materialize(bad_names.unionByName(bad_files.select(F.col("path").alias("uri"), "error", "error_type"))
-                           .unionByName(minutes.filter(~F.col("valid")).select(F.col("path").alias("uri"), "error", "error_type")))
-    good = minutes.filter("valid").select("timestamp_int", "stockPrice", "path")
-    todo = good.select("timestamp_int", "path")
-    if new_only and hadoop_exists(spark, dest):
-        done = spark.read.parquet(dest).select(
-            F.concat(F.lpad(F.col("date").cast("string"), 8, "0"),
-                     F.lpad(F.col("minute").cast("string"), 4, "0")).cast("long").alias("timestamp_int")).distinct()
-        todo = todo.join(done, "timestamp_int", "left_anti")
-    todo = materialize(todo)
-    spine = materialize(timeline.minute_spine(good))
-    manifest = None
-    if not todo.isEmpty():
-        need = materialize(context_minutes(spine, todo, reg.max_lookback()))
-        rows = scan_snapshots(spark, source_root, footers=footers, dates=needed_dates(need), tolerant=True).drop("path")
-        out = run_incremental(rows, todo, registry=reg, params=params, spine=spine, spine_rows=spine.count(), need=need)
-        stamp = F.lpad(F.col("timestamp_int").cast("string"), 12, "0")
-        keyed = todo.select("timestamp_int", F.substring(stamp, 1, 8).alias("date"), F.substring(stamp, 9, 4).alias("minute"), "path")
-        # lineage first: a crash in between leaves a record to write again, never rows without one
-        write_manifest(lineage_manifest(file_checksums(spark, source_root, dates=needed_dates(todo)), keyed, reg), dest.rstrip("/") + "_manifest")
-        write_enriched(out, dest)
-    if hadoop_exists(spark, dest.rstrip("/") + "_manifest"):
-        manifest = spark.read.parquet(dest.rstrip("/") + "_manifest")
-    outcome = todo.select(F.col("path").alias("uri"), F.lit(True).alias("ok")).unionByName(failures.select("uri", F.lit(False).alias("ok")))
+    lookback = max(reg.max_lookback(), 1)
+    store = SlabStore(spark, dest, slab_chars)
+    files, described, gone = file_changes(spark, source_root, store)
+    good = files.filter("valid").groupBy("timestamp_int").agg(F.min("stockPrice").alias("stockPrice"), F.min("path").alias("path"))
+    touched = described.select("timestamp_int").unionByName(gone.select("timestamp_int")).filter("timestamp_int IS NOT NULL").distinct()
+    touched = materialize(touched.join(good, "timestamp_int", "left").withColumn("there", F.col("path").isNotNull()))
+    added, removed = touched.filter("there"), touched.filter("NOT there").select("timestamp_int")
+    opened, todo, changes = described.select("path"), touched.filter("there").select("timestamp_int"), {}
+    failures = files.filter(F.col("error").isNotNull()).select(F.col("path").alias("uri"), "error", "error_type")
+    if not touched.isEmpty() or not described.isEmpty() or not gone.isEmpty() or not new_only:
+        slabs = _slabs(store, _dated(touched))
+        minutes = materialize(stored_spine.merged(store, added, removed, slabs))
+        counts = {s: n for s, n in store.slabs(stored_spine.TABLE).items() if s not in slabs}
+        counts |= {r["s"]: r["count"] for r in minutes.groupBy(store.slab_of("date").alias("s")).count().collect()}
+        ranks, held = minutes, store.read(stored_spine.TABLE, set(counts) - set(slabs))
+        if held is not None:
+            ranks = ranks.unionByName(held.select(*ranks.columns))
+        spine = materialize(stored_spine.numbered(spark, ranks, counts, slab_chars))  # one row for each minute
+        n_minutes = sum(counts.values())
+        todo = materialize(spine.select("timestamp_int") if not new_only else stored_spine.stale_minutes(spine, touched, lookback).distinct())
+        changes["files"] = files, _slabs(store, described, gone)
+        changes["spine"] = minutes, slabs
+        there = todo.join(good, "timestamp_int").select("timestamp_int", "path")
+        out_slabs = _slabs(store, _dated(todo), _dated(removed))
+        replaced = todo.select("timestamp_int").unionByName(removed)
+        fresh = None
+        if not todo.isEmpty():
+            need = materialize(context_minutes(spine, todo, lookback))
+            sources = files.filter("valid").join(need.select("timestamp_int"), "timestamp_int", "left_semi")
+            sources = materialize(sources.select("path", "length", "rows", "fields", F.lit(None).cast("string").alias("error")))
+            whole = sources.count() == files.count()
+            paths = source_root if whole else [r["path"] for r in sources.select("path").collect()]  # of the needed minutes
+            opened = opened.unionByName(sources.select("path")).distinct()
+            rows = scan_snapshots(spark, paths, footers=sources, tolerant=True).drop("path")
+            fresh = run_incremental(rows, todo, registry=reg, params=params, spine=spine, spine_rows=n_minutes, need=need, prune=False)
+            lineage = lineage_manifest(files.select("path", "md5"), _dated(there), reg)
+        for table, new in (("rows", fresh), ("lineage", lineage if fresh is not None else None)):
+            old = store.read(table, set(out_slabs))
+            if old is not None:
+                old = old.join(replaced, "timestamp_int", "left_anti")
+                new = old if new is None else new.unionByName(old, allowMissingColumns=True)
+            if new is not None:
+                changes[table] = new, out_slabs
+        # a minute lies in the files' slab of its date; unnamed files have one of their own
+        inside = store.slab_of("date").isin(changes["files"][1])
+        changes["files"] = files.filter(inside), changes["files"][1]
+        store.commit(changes)
+    outcome = todo.join(good, "timestamp_int").select(F.col("path").alias("uri"), F.lit(True).alias("ok")).unionByName(failures.select("uri", F.lit(False).alias("ok")))
     folder = F.regexp_extract("uri", r"([^/]+)/[^/]+$", 1)  # the date folder that holds the file
     outcomes = run_summary(outcome.select(folder.alias("date"), "ok"))
-    summary = todo.agg(F.count(F.lit(1)).alias("success_count")).select(
-        "success_count", F.lit(failures.count()).alias("failure_count"))
-    return {"failures": failures, "written": todo.select("timestamp_int"), "manifest": manifest, "outcomes": outcomes, "summary": summary}
+    summary = todo.agg(F.count(F.lit(1)).alias("success_count")).select("success_count", F.lit(failures.count()).alias("failure_count"))
+    return {"failures": failures, "written": todo, "manifest": store.read("lineage"), "outcomes": outcomes, "summary": summary, "opened": opened}

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from chainfeatures.config import OPTIONAL_COLUMNS, REQUIRED_COLUMNS
 from chainfeatures.session import materialize
 
-FOOTER_SCHEMA = "path string, length long, rows long, fields string, error string"
+FOOTER_SCHEMA = "path string, length long, rows long, fields string, error string, read_bytes long"
 #: Types that known columns are read as; other columns keep the type of their files.
 KNOWN_TYPES = {"expirDate": "string", **{c: "double" for c in ("stockPrice", "strike", *OPTIONAL_COLUMNS)}}
 
@@ -35,7 +35,7 @@ def _binary(spark: SparkSession, root: str | list[str], glob: str = "*.parquet")
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """(path, length, modificationTime) of every file under ``root`` matching
-    ``glob``; the file content is never read (column pruned)."""
+    ``glob``; the file content is never read (column pruned).  Spark lists no files of length 0."""
     return _binary(spark, root, glob).select("path", "length", "modificationTime")
 
 
@@ -58,36 +58,97 @@ def _plain_path():
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def _parse_footers(batches):
-    import pandas as pd
+def _footer(path: str, length: int, read) -> tuple:
+    """One file's row from ``read(first byte, bytes)``: its last 8 bytes, then its footer, nothing else."""
     import pyarrow as pa
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_type
 
+    got = 0
+    try:
+        end = read(max(0, length - 8), min(8, length))
+        got = len(end)
+        size = int.from_bytes(end[:4], "little")
+        if length < 12 or end[4:] != b"PAR1" or size + 12 > length:
+            raise pa.ArrowInvalid("no footer")
+        tail = read(length - 8 - size, size)
+        got += size
+        f = pq.ParquetFile(pa.BufferReader(tail + end))
+        fields = [[x.name, from_arrow_type(x.type).simpleString()] for x in f.schema_arrow]
+        return path, length, f.metadata.num_rows, json.dumps(fields), None, got
+    except (pa.ArrowException, ValueError, TypeError, NotImplementedError) as e:  # the bytes came, so this is the file's fault
+        return path, length, None, None, f"unreadable: {type(e).__name__}", got
+
+
+def _footer_frame(rows):
+    import pandas as pd
+
+    names = [c.split()[0] for c in FOOTER_SCHEMA.split(", ")]
+    return pd.DataFrame(rows, columns=names).astype({"length": "Int64", "rows": "Int64", "read_bytes": "Int64"})
+
+
+def _store_of(path: str):
+    """pyarrow's file system for a path as Spark lists it, and the path there."""
+    import pyarrow.fs as pafs
+
+    scheme, _, rest = path.partition(":")
+    if not rest or "/" in scheme or scheme == "file":
+        return pafs.LocalFileSystem(), "/" + (rest if scheme == "file" else path).lstrip("/")
+    authority, _, key = rest.lstrip("/").partition("/")
+    fs, base = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return fs, f"{base.rstrip('/')}/{key}" if base.strip("/") else f"/{key}"
+
+
+def _ranged(batches):
+    """Footers by ranged reads: a failing store fails (and retries) the task."""
     for pdf in batches:
-        out = []
+        rows = []
+        for path, length in zip(pdf["path"], pdf["length"]):
+            fs, at = _store_of(path)
+            with fs.open_input_file(at) as f:
+                rows.append(_footer(path, int(length), lambda first, n, f=f: f.read_at(n, first)))
+        yield _footer_frame(rows)
+
+
+def _tails(batches):
+    """Footers of the tails that Spark's binary reader cut out."""
+    for pdf in batches:
+        rows = []
         for path, length, tail in zip(pdf["path"], pdf["length"], pdf["tail"]):
-            try:
-                f = pq.ParquetFile(pa.BufferReader(tail))
-                fields = [[x.name, from_arrow_type(x.type).simpleString()] for x in f.schema_arrow]
-                out.append((path, length, f.metadata.num_rows, json.dumps(fields), None))
-            except Exception as e:  # noqa: BLE001 -- the bytes are here, so this is the file's fault, not the store's
-                out.append((path, length, None, None, f"unreadable: {type(e).__name__}"))
-        yield pd.DataFrame(out, columns=["path", "length", "rows", "fields", "error"]).astype({"rows": "Int64"})
+            first = int(length) - len(tail)
+            rows.append(_footer(path, int(length), lambda at, n, t=tail, f=first: t[max(0, at - f):max(0, at - f) + n]))
+        yield _footer_frame(rows)
+
 
+def ranged_reads(root: str | list[str]) -> bool:
+    """Whether pyarrow can open the store that holds ``root``."""
+    import pyarrow as pa
+
+    try:
+        _store_of(root if isinstance(root, str) else root[0])
+        return True
+    except (pa.ArrowException, ValueError, OSError, NotImplementedError):
+        return False
 
-def file_footers(spark: SparkSession, root: str | list[str]) -> DataFrame:
-    """(path, length, rows, fields, error) of every file, from its footer.
 
-    The bytes come from Spark's binary reader, so any store that Spark reads will do and a failing
-    read fails (and retries) the task; only the footer's bytes are handed to Python.
-    ``error`` tells of bytes that are no footer."""
+def file_footers(spark: SparkSession, root: str | list[str], files: DataFrame | None = None, ranged: bool | None = None) -> DataFrame:
+    """(path, length, rows, fields, error, read_bytes) of every file (of ``files``: path, length), from its footer.
+
+    Tasks read the last 8 bytes and the footer of their files, whatever the files' size.  Where pyarrow has no reader for
+    the store, Spark's binary reader serves: it reads whole files (up to 2 GB), of which only the tail
+    is handed to Python.  ``error`` tells of bytes that are no footer."""
+    if ranged_reads(root) if ranged is None else ranged:
+        files = list_files(spark, root) if files is None else files
+        tasks = max(1, spark.sparkContext.defaultParallelism)
+        return files.select("path", "length").repartition(4 * tasks, "path").mapInPandas(_ranged, FOOTER_SCHEMA)
     size = F.expr("CAST(conv(concat(hex(substring(content, -5, 1)), hex(substring(content, -6, 1)), "
                   "hex(substring(content, -7, 1)), hex(substring(content, -8, 1))), 16, 10) AS BIGINT)")
-    files = _binary(spark, root).withColumn("_n", F.when(F.col("length") >= 12, size))
+    content = _binary(spark, root).withColumn("_n", F.when(F.col("length") >= 12, size))
+    if files is not None:
+        content = content.join(files.select("path"), "path", "left_semi")
     whole = F.coalesce(F.col("_n") + 8 <= F.col("length"), F.lit(False))
-    tail = F.when(whole, F.expr("substring(content, CAST(-(_n + 8) AS INT), CAST(_n + 8 AS INT))")).otherwise(F.col("content").substr(1, 8))
-    return files.select("path", "length", tail.alias("tail")).mapInPandas(_parse_footers, FOOTER_SCHEMA)
+    tail = F.when(whole, F.expr("substring(content, CAST(-(_n + 8) AS INT), CAST(_n + 8 AS INT))")).otherwise(F.expr("substring(content, -8, 8)"))
+    return content.select("path", "length", tail.alias("tail")).mapInPandas(_tails, FOOTER_SCHEMA)
 
 
 def footer_failures(footers: DataFrame) -> DataFrame:
@@ -160,8 +221,13 @@ def scan_snapshots(spark: SparkSession, root: str | list[str], footers: DataFram
 
 
 def scan_enriched(spark: SparkSession, root: str) -> DataFrame:
-    """The Spark-native layout; ``date`` (and ``minute`` in the mirror layout) come
-    back as partition columns, so filters on them prune directories."""
+    """Enriched rows: the committed ones of a store (``plans.store``), or a folder with ``date`` (and ``minute``) as
+    partition columns, so that filters on them prune directories."""
+    from chainfeatures.plans.store import SlabStore
+
+    store = SlabStore(spark, root)
+    if store.exists():
+        return store.read("rows")
     df = spark.read.parquet(root)
     return (df.withColumn("date", F.lpad(F.col("date").cast("string"), 8, "0"))
             .withColumn("minute", F.lpad(F.col("minute").cast("string"), 4, "0")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chainfeatures.plans.jobs import run_batch
 from chainfeatures.plans.sinks import write_minute_files
 from chainfeatures.sources.chain import derived_chain
+from chainfeatures.sources.snapshots import scan_enriched
 from testdata_paths import SF001
 
 
@@ -36,7 +37,7 @@ def test_run_batch(spark, tmp_path):
     assert "Duplicate" in fails["strikes_209912310932.parquet"]
     s = res["summary"].first()
     assert (s["success_count"], s["failure_count"]) == (60, 4)
-    assert spark.read.parquet(dest).count() == chain.count()
+    assert scan_enriched(spark, dest).count() == chain.count()
     # second run: nothing new
     again = run_batch(spark, src, dest)
     assert again["summary"].first()["success_count"] == 0
@@ -88,8 +89,7 @@ def test_files_with_schemas_of_their_own(spark, tmp_path):
         "PutMid", F.when(F.col("timestamp_int").isin([minutes[k] for k in lacks]), F.lit(None)).otherwise(F.col("PutMid")))
     feats = create_default_registry().get_active_features()
     key = ["timestamp_int", "expirDate", "strike"]
-    got = spark.read.parquet(dest)
-    got = got.withColumn("timestamp_int", F.col("timestamp_int").cast("long"))
+    got = scan_enriched(spark, dest)
     assert got.select(key + feats).exceptAll(compute_features(clean).select(key + feats)).count() == 0
     assert got.filter(F.col("PutMidReturn_L1").isNotNull()).count() > 0
     assert got.filter("extra = 'e'").count() == chain.filter(F.col("timestamp_int") == minutes[5]).count()
