@@ -553,11 +553,15 @@ spoilt AS (SELECT * FROM odd UNION ALL SELECT * FROM odd WHERE substr(date, 7, 2
 
 _MINUTES = "(SELECT timestamp_int, min(date) AS date, min(minute) AS minute, count(*) AS n FROM chain GROUP BY timestamp_int)"
 FILE_LISTING_SQL = with_chain(f"SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, true AS has_bytes, true AS has_time FROM {_MINUTES}")
-FILE_CHECKSUM_SQL = with_chain(f"SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, true AS is_md5 FROM {_MINUTES}")
+#: Per minute: how many minutes hold the same rows (files that are alike byte for byte).
+_ALIKE = f"""(SELECT timestamp_int, date, minute, count(*) OVER (PARTITION BY content) AS files_alike FROM (
+  SELECT timestamp_int, date, minute, string_agg(concat_ws('|', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in CHAIN_COLUMNS[3:])}), ';'
+    ORDER BY expirDate, strike) AS content FROM chain GROUP BY timestamp_int, date, minute))"""
+FILE_CHECKSUM_SQL = with_chain(f"SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, true AS is_md5, files_alike FROM {_ALIKE}")
 FILE_FOOTER_SQL = with_chain(f"""SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, n AS rows,
   CAST({len(CHAIN_COLUMNS) - 3} AS INTEGER) AS n_fields, CAST(NULL AS VARCHAR) AS failure FROM {_MINUTES}""")
-LINEAGE_SQL = with_chain(f"""SELECT timestamp_int, date, minute, '{DEFAULT_FEATURE_HASH}' AS feature_version_hash,
-  true AS has_checksum, true AS utc FROM {_MINUTES}""")
+LINEAGE_SQL = with_chain(f"""SELECT files_alike, timestamp_int, date, minute, '{DEFAULT_FEATURE_HASH}' AS feature_version_hash,
+  true AS has_checksum, true AS utc FROM {_ALIKE}""")
 _DAY = "CAST(substr(date, 7, 2) AS INTEGER)"
 SNAPSHOT_SCAN_MIXED_SQL = with_chain(f"""SELECT timestamp_int, expirDate, strike, stockPrice, CallMid,
   CASE WHEN {_DAY} % 3 <> 0 THEN PutMid END AS PutMid, callVolume, CASE WHEN {_DAY} % 5 = 0 THEN 'x' || expirDate END AS extra

@@ -17,11 +17,13 @@ from chainfeatures.functions import timekeys as K
 from chainfeatures.functions.frames import SEQ
 from chainfeatures.operators import keys, quality, timeline, worklist
 from chainfeatures.operators.offset import offset_tag
+from chainfeatures.operators.stored_spine import read_spine
 from chainfeatures.plans import jobs
 from chainfeatures.plans.coverage import feature_coverage
 from chainfeatures.plans.pipeline import build_spine, compute_features, minute_features, node_table, normalise_panel
 from chainfeatures.plans.registry import FeatureSection, create_default_registry
-from chainfeatures.plans.sinks import hadoop_exists, hadoop_touch, write_enriched, write_minute_files
+from chainfeatures.plans.sinks import hadoop_exists, hadoop_touch, write_minute_files
+from chainfeatures.plans.store import SlabStore
 from chainfeatures.session import fresh_shared_path, materialize, tune_session
 from chainfeatures.sources import fixtures, names, snapshots
 from chainfeatures.sources.chain import CHAIN_COLUMNS, read_table
@@ -224,9 +226,13 @@ def file_listing(spark, sf_dir):
 
 
 def file_checksum(spark, sf_dir):
-    """One checksum per file: 32 hexadecimal digits."""
-    sums = snapshots.file_checksums(spark, _minute_root(spark, sf_dir))
-    return sums.select(*_stamp(), F.col("md5").rlike("^[0-9a-f]{32}$").alias("is_md5"))
+    """One checksum per file, 32 hexadecimal digits, and how many files have the same one: as many as have the same rows."""
+    return _alike(snapshots.file_checksums(spark, _minute_root(spark, sf_dir)), "md5").select(
+        *_stamp(), F.col("md5").rlike("^[0-9a-f]{32}$").alias("is_md5"), "files_alike")
+
+
+def _alike(files: DataFrame, checksum: str) -> DataFrame:
+    return files.join(files.groupBy(checksum).agg(F.count(F.lit(1)).alias("files_alike")), checksum)
 
 
 def file_footer_check(spark, sf_dir):
@@ -279,18 +285,18 @@ def _mixed_root(spark, sf_dir):
 def lineage_manifest(spark, sf_dir):
     root = _minute_root(spark, sf_dir)
     minutes = snapshots.scan_snapshots(spark, root).select("timestamp_int", "date", "minute", "path").distinct()
-    m = jobs.lineage_manifest(snapshots.file_checksums(spark, root), minutes)
-    return m.select("timestamp_int", "date", "minute", "feature_version_hash",
+    m = _alike(jobs.lineage_manifest(snapshots.file_checksums(spark, root), minutes), "source_data_checksum")
+    return m.select("files_alike", "timestamp_int", "date", "minute", "feature_version_hash",
                     F.col("source_data_checksum").rlike("^[0-9a-f]{32}$").alias("has_checksum"),
                     F.col("processing_timestamp").endswith("Z").alias("utc"))
 
 
 def enriched_roundtrip(spark, sf_dir):
-    """Scan the minute files, compute every feature, write them partitioned by
-    minute, read them back."""
+    """Scan the minute files, compute every feature, commit them to a store (slabs of a month: the chain has one minute a day),
+    read back what is committed."""
     panel = snapshots.scan_snapshots(spark, _minute_root(spark, sf_dir)).drop("path")
     dest = fresh_shared_path(spark, "enriched")
-    write_enriched(compute_features(panel), dest)
+    SlabStore(spark, dest, slab_chars=6).commit({"rows": (compute_features(panel), None)})
     back = snapshots.scan_enriched(spark, dest)
     feats = create_default_registry().get_active_features()
     return back.select(*CHAIN_COLUMNS, *[F.col(f"`{c}`") for c in feats])
@@ -319,10 +325,11 @@ def live_metadata(spark, sf_dir):
 
 def incremental_features(spark, sf_dir):
     """New = minutes whose day of month is not a multiple of 3; everything
-    else counts as already written."""
+    else counts as already written.  Positions come from the stored spine."""
     c = chain(spark, sf_dir)
     new = c.select("timestamp_int").filter(F.substring("date", 7, 2).cast("int") % 3 != 0).distinct()
-    return jobs.run_incremental(c, new)
+    spine, n = read_spine(fixtures.spine_store(spark, sf_dir))
+    return jobs.run_incremental(c, new, spine=spine, spine_rows=n)
 
 
 class PutGap(FeatureSection):

@@ -10,16 +10,17 @@ feature -- equal a full recompute.
 from __future__ import annotations
 
 import time
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainfeatures.config import HISTORY_PRELOAD_DAYS, HISTORY_PRELOAD_MINUTES, FeatureParams
 from chainfeatures.functions.frames import SEQ
+from chainfeatures.functions.rounding import half_even_sql
 from chainfeatures.operators import timeline
 from chainfeatures.operators.keys import with_time_key
-from chainfeatures.operators.quality import minute_facts, split_valid
+from chainfeatures.operators.quality import minute_facts
 from chainfeatures.plans.pipeline import build_spine, compute_features, normalise_panel
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
 from chainfeatures.plans.store import SlabStore
@@ -28,14 +29,14 @@ from chainfeatures.sources.snapshots import file_checksums, file_footers, footer
 
 
 def context_minutes(spine: DataFrame, new_minutes: DataFrame, lookback: int) -> DataFrame:
-    """(timestamp_int, is_new) of the minutes an incremental run must read:
+    """(timestamp_int, minute_seq, stockPrice, is_new) of the minutes an incremental run must read:
     every new minute and the ``lookback`` positions before each one."""
-    sp = spine.select("timestamp_int", SEQ)
-    new = new_minutes.select("timestamp_int").distinct().join(sp, "timestamp_int")
+    sp = spine.select("timestamp_int", SEQ, "stockPrice")
+    new = new_minutes.select("timestamp_int").distinct().join(sp.select("timestamp_int", SEQ), "timestamp_int")
     need = new.select(F.explode(F.sequence(F.col(SEQ) - lookback, F.col(SEQ))).alias(SEQ)).distinct()
     return (sp.join(need, SEQ).join(new.select("timestamp_int", F.lit(True).alias("is_new")),
                                     "timestamp_int", "left")
-            .select("timestamp_int", F.coalesce("is_new", F.lit(False)).alias("is_new")))
+            .select("timestamp_int", SEQ, "stockPrice", F.coalesce("is_new", F.lit(False)).alias("is_new")))
 
 
 def needed_dates(minutes: DataFrame) -> list[str]:
@@ -60,8 +61,10 @@ def run_incremental(panel: DataFrame, new_minutes: DataFrame, registry: FeatureR
     if prune and "date" in panel.columns:
         panel = panel.filter(F.col("date").isin(needed_dates(need)))
     small = spine_rows is not None and spine_rows <= timeline.SPINE_BROADCAST_MAX_ROWS  # need ⊆ spine
-    rows = panel.join(F.broadcast(need) if small else need, "timestamp_int", "inner")
-    out = compute_features(rows, registry=reg, params=params, spine=spine, spine_rows=spine_rows, keep=F.col("is_new"))
+    flags = need.select("timestamp_int", "is_new")
+    rows = panel.join(F.broadcast(flags) if small else flags, "timestamp_int", "inner")
+    # the needed minutes with their global positions are all of the spine that is used from here on
+    out = compute_features(rows, registry=reg, params=params, spine=need.drop("is_new"), spine_rows=spine_rows, keep=F.col("is_new"))
     return out.drop("is_new")
 
 
@@ -76,35 +79,34 @@ def run_live(panel: DataFrame, minute_ts: int, registry: FeatureRegistry | None
     """
     reg = registry or create_default_registry()
     params = params or FeatureParams()
-    start = time.time()
+    start, spark = time.time(), panel.sparkSession
     # only the days that can hold the history are looked at, and of them only the minutes' names first:
-    # the newest listed ones are taken, then invalid ones dropped without replacement
-    now = F.to_date(F.lit(f"{int(minute_ts):012d}"[:8]), "yyyyMMdd")
-    first = int(panel.sparkSession.range(1).select(F.date_format(F.date_sub(now, history_days), "yyyyMMdd")).first()[0])
-    recent = panel.filter((F.col("timestamp_int") >= F.lit(first * 10000)) & (F.col("timestamp_int") <= F.lit(minute_ts)))
+    # the newest listed ones are taken, then invalid ones dropped without replacement.  What is collected is
+    # a row for each of at most ``history_minutes`` + 1 minutes, so the spine is known here and nothing is stored.
+    stamp = f"{int(minute_ts):012d}"
+    first = (datetime.strptime(stamp[:8], "%Y%m%d") - timedelta(days=history_days)).strftime("%Y%m%d")
+    recent = panel.filter((F.col("timestamp_int") >= F.lit(int(first) * 10000)) & (F.col("timestamp_int") <= F.lit(minute_ts)))
     if "date" in panel.columns:
-        recent = recent.filter((F.col("date") >= F.lit(str(first))) & (F.col("date") <= F.lit(f"{int(minute_ts):012d}"[:8])))
-    names = recent.select("timestamp_int").distinct().orderBy(F.desc("timestamp_int")).limit(min(history_minutes, params.window_size) + 1)
-    rows = materialize(recent.join(F.broadcast(names), "timestamp_int", "left_semi"))  # <= history_minutes + 1 snapshots
-    rows, bad = split_valid(rows)
-    if bad.filter(F.col("timestamp_int") == F.lit(minute_ts)).count():
-        raise ValueError(bad.filter(F.col("timestamp_int") == F.lit(minute_ts)).first()["error"])
-    out = compute_features(rows, registry=reg, params=params)
-    out = out.filter(F.col("timestamp_int") == F.lit(minute_ts))
-    loaded = rows.filter(F.col("timestamp_int") < F.lit(minute_ts)).select("timestamp_int").distinct().count()
-    hash_ = reg.compute_version_hash()
+        recent = recent.filter((F.col("date") >= F.lit(first)) & (F.col("date") <= F.lit(stamp[:8])))
+    listed = recent.select("timestamp_int").distinct().orderBy(F.desc("timestamp_int")).limit(min(history_minutes, params.window_size) + 1)
+    names = [r["timestamp_int"] for r in listed.collect()]
+    rows = recent.filter(F.col("timestamp_int").isin(names))
+    facts = {r["timestamp_int"]: r for r in minute_facts(normalise_panel(rows)).collect()}
+    asked = facts.get(int(minute_ts))
+    if asked is not None and not asked["valid"]:
+        raise ValueError(asked["error"])
+    valid = sorted(t for t, r in facts.items() if r["valid"])
+    spine = spark.createDataFrame([(t, k + 1, facts[t]["stockPrice"]) for k, t in enumerate(valid)], f"timestamp_int long, {SEQ} long, stockPrice double").coalesce(1)
+    out = compute_features(rows.filter(F.col("timestamp_int").isin(valid)), registry=reg, params=params, spine=spine, spine_rows=len(valid),
+                           keep=F.col("timestamp_int") == F.lit(minute_ts), store_nodes=False)
     in_cols = [c for c in panel.columns if c not in ("timestamp_int", "date", "minute", "path")]
-    stamp = f"{int(minute_ts):012d}"
-    meta = out.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min("stockPrice").alias("stock_price"),
-    ).select(F.lit(stamp[:8]).alias("date"), F.lit(stamp[8:]).alias("minute"), "*").select(
-        F.lit(len(in_cols) + len(reg.get_active_features())).alias("feature_count"),
-        "row_count", "date", "minute", "stock_price",
-        F.lit(hash_).alias("feature_version_hash"),
-        F.lit(min(loaded + 1, params.window_size)).cast("long").alias("history_minutes_loaded"))
+    loaded = sum(t < int(minute_ts) for t in valid)
+    known = [(len(in_cols) + len(reg.get_active_features()), asked["rows"] if asked else 0, stamp[:8], stamp[8:], asked["stockPrice"] if asked else None,
+              reg.compute_version_hash(), min(loaded + 1, params.window_size), int(1000 * (time.time() - start)))]
     # time up to here: history read and validated; the rows themselves are computed by the caller's action
-    return out, meta.withColumn("processing_time_ms", F.lit(int(1000 * (time.time() - start))).cast("long"))
+    meta = spark.createDataFrame(known, "feature_count int, row_count long, date string, minute string, stock_price double, "
+                                        "feature_version_hash string, history_minutes_loaded long, processing_time_ms long")
+    return out, meta.withColumn("stock_price", F.expr(half_even_sql("stock_price", params.precision)))
 
 
 def live_envelope(rows: DataFrame, meta: DataFrame) -> DataFrame:

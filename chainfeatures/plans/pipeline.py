@@ -101,13 +101,14 @@ def _partitions(spark) -> int:
 def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
                      params: FeatureParams | None = None, spine: DataFrame | None = None,
                      spine_rows: int | None = None, keep: Column | None = None,
-                     round_output: bool = True) -> DataFrame:
+                     round_output: bool = True, store_nodes: bool = True) -> DataFrame:
     """Input columns plus every enabled feature, one row per input row.
 
     ``panel`` needs ``timestamp_int`` and the required snapshot columns.
     ``spine`` (optional) supplies global positions when ``panel`` is only a
     slice of the history (incremental runs); ``keep`` then selects the rows to
-    return, the others served as look-back context.
+    return, the others served as look-back context.  ``store_nodes=False`` aggregates the nodes twice
+    instead of writing them: for a few minutes that is the cheaper way.
     """
     reg = registry or create_default_registry()
     missing = [c for c in ("timestamp_int",) + REQUIRED_COLUMNS if c not in panel.columns]
@@ -157,7 +158,7 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     if node_aggs:
         base = timeline.attach_seq(p, spine, spine_rows)
         nodes = base.groupBy("expirDate", SEQ).agg(*[expr(exact_order(c, integral)).alias(n) for n, c in node_aggs.items()])
-        if inputs and node_secs:  # read twice below; stored, so that the panel is aggregated once
+        if inputs and node_secs and store_nodes:  # read twice below; stored, so that the panel is aggregated once
             from chainfeatures.session import materialize
             nodes = materialize(nodes)
         nodes = timeline.with_blocks(nodes, block, halo).repartition(nparts, "expirDate", "block")

@@ -80,11 +80,12 @@ class SlabStore:
     def slab_of(self, date):
         return F.substring(date, 1, self.slab_chars)
 
-    def commit(self, changes: dict[str, tuple[DataFrame, list[str] | None]]) -> int:
+    def commit(self, changes: dict[str, tuple[DataFrame, list[str] | None]], spread: tuple = ("rows",)) -> int:
         """Replace slabs of several tables in one step: ``{table: (rows with a date column, slabs)}``.
 
         All rows of the named slabs are replaced by the given ones (none left: the slab goes); None names
-        every slab of the table.  The rows may be read from this very store."""
+        every slab of the table.  The rows may be read from this very store.  Slabs of the tables ``spread`` are written by
+        several tasks each; those of the others (a row for each minute or file) by one."""
         old = self.log()
         n = max([r["version"] for r in old] + self.versions(), default=0) + 1
         log = [tuple(r) for r in old if r["table"] not in changes]
@@ -94,7 +95,7 @@ class SlabStore:
             fields = _joined([json.loads(r["fields"]) for r in old if r["table"] == table] + [json.loads(df.schema.json())])
             rows = df.select("*", self.slab_of("date").alias("slab"))
             # the next two characters (hours of a day, days of a month) spread a slab over tasks; files are sorted by time
-            piece = F.substring(F.lpad(F.col("timestamp_int").cast("string"), 12, "0"), self.slab_chars + 1, 2) if "timestamp_int" in df.columns else F.lit("")
+            piece = F.substring(F.lpad(F.col("timestamp_int").cast("string"), 12, "0"), self.slab_chars + 1, 2) if table in spread and "timestamp_int" in df.columns else F.lit("")
             order = ["slab"] + (["timestamp_int"] if "timestamp_int" in df.columns else [])
             path = f"{self.root}/{table}/v={n}"
             rows.repartition(parts, "slab", piece).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("slab").parquet(path)

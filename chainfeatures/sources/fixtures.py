@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chainfeatures.plans.sinks import hadoop_exists, hadoop_touch, write_minute_files
 from chainfeatures.session import shared_path
@@ -55,6 +56,18 @@ def chain_minute_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def spine_store(spark: SparkSession, sf_dir: str):
+    """The chain's minutes as a stored spine (``operators.stored_spine``), in slabs of a month."""
+    from chainfeatures.operators import stored_spine
+    from chainfeatures.plans.store import SlabStore
+
+    store = SlabStore(spark, shared_path(spark, "tables", f"spine-{_tag(spark, sf_dir)}"), slab_chars=6)
+    if not store.exists():
+        minutes = chain_table(spark, sf_dir).groupBy("timestamp_int").agg(F.min("stockPrice").alias("stockPrice"))
+        store.commit({stored_spine.TABLE: (stored_spine.ranked(store, minutes), None)})
+    return store
+
+
 def names_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event-derived object names (``sources.names``) as a table, so later
     parsing works on stored strings, as it would on a real listing."""
