@@ -570,6 +570,12 @@ PLUGIN_SQL = with_chain(f"""SELECT c.timestamp_int, c.expirDate, c.strike, {r4('
   CASE WHEN c.minute_seq > 2 THEN {r4('(c.CallMid - c.PutMid) - (l.CallMid - l.PutMid)')} END AS PutGapChange_L2
 FROM p c LEFT JOIN p l ON l.expirDate = c.expirDate AND l.strike = c.strike AND l.minute_seq = c.minute_seq - 2""")
 
+HISTORY_SECTION_SQL = with_chain(f"""SELECT timestamp_int, expirDate, strike,
+  CASE WHEN minute_seq > 5 THEN {r4('mids[(len(mids) + 1) // 2]')} END AS CallMidMedian_5
+FROM (SELECT c.timestamp_int, c.expirDate, c.strike, c.minute_seq, list(h.CallMid ORDER BY h.CallMid) FILTER (WHERE h.CallMid IS NOT NULL) AS mids
+  FROM p c LEFT JOIN p h ON h.expirDate = c.expirDate AND h.strike = c.strike AND h.minute_seq BETWEEN c.minute_seq - 5 AND c.minute_seq
+  GROUP BY ALL)""")
+
 
 def live_sql() -> str:
     """Features of the newest minute, computed over its own five days only."""

@@ -21,7 +21,7 @@ from chainfeatures.operators.stored_spine import read_spine
 from chainfeatures.plans import jobs
 from chainfeatures.plans.coverage import feature_coverage
 from chainfeatures.plans.pipeline import build_spine, compute_features, minute_features, node_table, normalise_panel
-from chainfeatures.plans.registry import FeatureSection, create_default_registry
+from chainfeatures.plans.registry import FeatureSection, HistorySection, create_default_registry
 from chainfeatures.plans.sinks import hadoop_exists, hadoop_touch, write_minute_files
 from chainfeatures.plans.store import SlabStore
 from chainfeatures.session import fresh_shared_path, materialize, tune_session
@@ -349,6 +349,34 @@ def plugin_section(spark, sf_dir):
     return compute_features(chain(spark, sf_dir), registry=reg).select(*ROW_KEYS, *PutGap.feature_names)
 
 
+class MedianMid(HistorySection):
+    """A section that sorts its history: the (lower) median mid of a contract over this minute and the five before."""
+
+    name, lookback, inputs = "section_median_mid", 5, ("CallMid",)
+    feature_names = ("CallMidMedian_5",)
+
+    def history(self, rows, params):
+        import numpy as np
+        import pandas as pd
+
+        first, n = rows["minute_seq"].min(), self.lookback
+        strikes, column = np.unique(rows["strike"], return_inverse=True)
+        line = (rows["minute_seq"] - first).to_numpy()
+        grid = np.full((n + line.max() + 1, len(strikes)), np.nan)  # a line for each position, absent contracts are missing
+        grid[n + line, column] = rows["CallMid"]
+        seen = np.sort(np.lib.stride_tricks.sliding_window_view(grid, n + 1, axis=0), axis=-1)  # missing ones last
+        count = (~np.isnan(seen)).sum(-1)
+        median = np.take_along_axis(seen, np.maximum(count - 1, 0)[..., None] // 2, -1)[..., 0]
+        gated = np.minimum(rows["minute_seq"] - 1, params.window_size) >= n
+        return pd.DataFrame({"CallMidMedian_5": np.where(gated, median[line, column], np.nan)}, index=rows.index)
+
+
+def history_section(spark, sf_dir):
+    """A registry with one history section of the user's own."""
+    reg = registry_with(set()).register_section("section_median_mid", MedianMid()).enable_section("section_median_mid")
+    return compute_features(chain(spark, sf_dir), registry=reg).select(*ROW_KEYS, *MedianMid.feature_names)
+
+
 def streaming_features(spark, sf_dir):
     """Stream the chain's minute files through the live-ingestion query
     (several micro-batches), then read what it wrote."""
@@ -393,6 +421,7 @@ QUERIES = {
     "file_checksum": file_checksum,
     "snapshot_scan_mixed": snapshot_scan_mixed,
     "plugin_section": plugin_section,
+    "history_section": history_section,
     "snapshot_quality": snapshot_quality,
     "file_footer_check": file_footer_check,
     "lineage_manifest": lineage_manifest,

@@ -18,7 +18,9 @@ Shape of the physical plan (see README "Plan"):
 from __future__ import annotations
 
 import math
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,9 +173,13 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     if contract_secs:
         rows = staged_select(rows, ctx, lambda c: {n: e for s in contract_secs for n, e in s.columns(c).items()},
                              "cf_")
+    history_secs = [s for _, s in sections if s.level == "history"]
+    own_history = _history_level(rows, history_secs, params) if history_secs else None
     rows = rows.filter(~F.col("is_halo"))
     if keep is not None:
         rows = rows.filter(keep)
+    if own_history is not None:
+        rows = rows.join(own_history.hint("shuffle_hash"), [*KEYS, "strike"], "left")
     if node_secs:
         nodes = staged_select(nodes, ctx, lambda c: {n: e for s in node_secs for n, e in s.columns(c).items()}, "nf_")
         node_feats = [n for s in node_secs for n in s.columns(ctx)]
@@ -195,6 +201,33 @@ def compute_features(panel: DataFrame, registry: FeatureRegistry | None = None,
     return rows.select(out)
 
 
+def _history_level(rows: DataFrame, secs: list, params: FeatureParams) -> DataFrame:
+    """Keys and features of the history sections: grouped by the partitioning that the rows already have.
+
+    A section's code travels by value, so the module that defines it need not be installed on the executors."""
+    for s in secs:
+        if type(s).__module__ in sys.modules and type(s).__module__ != "__main__":
+            cloudpickle.register_pickle_by_value(sys.modules[type(s).__module__])
+    inputs = sorted({c for s in secs for c in s.inputs} - {SEQ, "strike", "is_halo", "block", "expirDate"})
+    names = [n for s in secs for n in s.feature_names]
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in (*KEYS, "strike")), *(f"`{n}` double" for n in names)])
+
+    def run(pdf):
+        pdf = pdf.sort_values([SEQ, "strike"], kind="stable").reset_index(drop=True)
+        out = pdf[[*KEYS, "strike"]].copy()
+        for s in secs:
+            got = s.history(pdf, params)
+            if sorted(got.columns) != sorted(s.feature_names) or len(got) != len(pdf):
+                raise ValueError(f"section '{s.name}' declares {sorted(s.feature_names)} but produces {sorted(got.columns)} in {len(got)} of {len(pdf)} rows")
+            for n in s.feature_names:
+                out[n] = got[n].astype("float64")
+        return out[~pdf["is_halo"]]
+
+    got = rows.select(*KEYS, "strike", "is_halo", *[F.col(f"`{c}`") for c in inputs]).groupBy("expirDate", "block").applyInPandas(run, schema)
+    return got.select(*KEYS, "strike", *[F.expr(f"nanvl(`{n}`, CAST(NULL AS DOUBLE))").alias(n) for n in names])
+
+
 def _minute_level(spine: DataFrame, sections, ctx: Context, block: int, halo: int, nparts: int) -> DataFrame | None:
     """Features of the enabled minute-level sections, one row per spine position."""
     secs = [s for _, s in sections if s.level == "minute"]
@@ -227,7 +260,7 @@ def validate_sections(sections, ctx: Context, input_columns) -> None:
     feature may shadow an input column or another section's feature."""
     seen = set(input_columns)
     for name, s in sections:
-        got = list(s.columns(ctx).keys())
+        got = list(s.feature_names if s.level == "history" else s.columns(ctx).keys())
         if sorted(got) != sorted(s.feature_names):
             raise ValueError(f"section '{name}' declares {sorted(s.feature_names)} but produces {sorted(got)}")
         clash = seen & set(got)

@@ -7,7 +7,10 @@ A section declares ``feature_names`` and the level it computes at:
                   broadcast to every row of that expiry and minute
 * ``contract`` -- one value per row, over the contract's history (``ctx.contract_window``)
 
-and returns expressions (Spark SQL text or Columns), never DataFrames, so all
+* ``history``  -- one value per row, by code of the section's own over the history of one expiry
+                  (``HistorySection``), for what windows cannot say
+
+The first three return expressions (Spark SQL text or Columns), never DataFrames, so all
 sections of one level share a single window pass.  Optional hooks:
 ``node_aggs`` (per (minute, expiry) aggregates it needs, e.g. the ATM row) and
 ``row_inputs`` (per-row columns the window must see, e.g. a volume share).
@@ -62,6 +65,25 @@ class FeatureSection:
         raise NotImplementedError
 
 
+class HistorySection(FeatureSection):
+    """A section with free access to the history: ``history`` is called once for every expiry and time block.
+
+    ``inputs`` are the columns it reads.  Work is grouped like the windows, by (expirDate, block): a group holds the rows
+    of one expiry in a block of minutes and the ``lookback`` positions before it, so it is bounded however long
+    the history is, and a hot expiry is many groups.  Keys must be unique in a minute, as validation asks."""
+
+    level = "history"
+    inputs: tuple[str, ...] = ()
+
+    def columns(self, ctx: Context) -> dict[str, Expr]:
+        return {}
+
+    def history(self, rows, params: FeatureParams):
+        """``rows``: pandas, by minute_seq and strike, with ``minute_seq, strike, is_halo`` and the inputs; rows with
+        ``is_halo`` are look-back only.  Returns the features as a pandas frame with the same index."""
+        raise NotImplementedError
+
+
 class FeatureRegistry:
     """Registered sections plus the enabled subset.  Sections run in name
     order (the order of the output columns)."""
@@ -71,7 +93,7 @@ class FeatureRegistry:
         self.enabled: set[str] = set()
 
     def register_section(self, name: str, section: FeatureSection) -> "FeatureRegistry":
-        if section.level not in ("minute", "node", "contract"):
+        if section.level not in ("minute", "node", "contract", "history"):
             raise ValueError(f"section '{name}': unknown level '{section.level}'")
         self.sections[name] = section
         return self

@@ -85,3 +85,15 @@ def hadoop_touch(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
+def hadoop_delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def batch_ids(spark: SparkSession, dest: str) -> list[int]:
+    """The batches that ``write_batch`` has written to ``dest``, ascending."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{dest}/batch_id=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    return sorted(int(s.getPath().getName().split("=")[1]) for s in found)

@@ -9,14 +9,16 @@ The stream carries file names; each micro-batch (new ``strikes_*.parquet`` files
 3. reads the accepted files, each with its own schema, and rejects minutes that fail
    validation (``operators.quality``);
 4. numbers the valid minutes after the last known position (the ``positions`` table: one
-   row per written minute, its ``minute_seq`` and source path);
+   row per written minute, its ``minute_seq`` and source path); of these only the *tail* is read, a table of the last
+   ``lookback`` positions that every batch writes for the next one;
 5. reads the ``lookback`` minutes before the first new one from their source files as
    context, computes the features, keeps the new rows;
-6. writes rows, positions and rejects, each as the batch's own partition (``batch_id=<n>``),
+6. writes rows, positions, tail and rejects, each as the batch's own partition (``batch_id=<n>``),
    replaced when the batch is replayed: a retry at any step gives the same tables.
 
 Only per-minute bookkeeping is kept between batches; the panel rows of the
-look-back are re-read from the source, so no state grows with the chain width.
+look-back are re-read from the source, so no state grows with the chain width.  What a batch reads is its own files,
+one tail and ``lookback`` files, however many batches there were; tails that no replay can ask for are deleted.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from chainfeatures.operators.keys import with_time_key
 from chainfeatures.operators.quality import minute_facts
 from chainfeatures.plans.pipeline import compute_features
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
-from chainfeatures.plans.sinks import hadoop_exists, write_batch
+from chainfeatures.plans.sinks import batch_ids, hadoop_delete, hadoop_exists, write_batch
 from chainfeatures.session import materialize
 from chainfeatures.sources.snapshots import file_footers, footer_failures, scan_snapshots
 
@@ -41,14 +43,32 @@ STATE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+TAIL_SCHEMA = T.StructType(STATE_SCHEMA.fields[:3])
 STREAM_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _positions(spark: SparkSession, state: str) -> DataFrame:
-    path = f"{state}/positions"
-    if hadoop_exists(spark, path):
-        return spark.read.schema(STATE_SCHEMA).parquet(path)
-    return spark.createDataFrame([], STATE_SCHEMA)
+def _tail(spark: SparkSession, state: str, epoch: int, lookback: int) -> list:
+    """The last positions before batch ``epoch``, oldest first: at most ``lookback`` rows (at least the newest).
+
+    A replay sees what its first run saw: the tail of the last batch before it.  A state without tails (written by an
+    earlier release, or for a smaller look-back) is read from the positions, once."""
+    batches = batch_ids(spark, f"{state}/tail")
+    before = max((b for b in batches if b < epoch), default=None)
+    if before is not None:
+        rows = spark.read.schema(TAIL_SCHEMA).parquet(f"{state}/tail/batch_id={before}").collect()
+        if len(rows) >= lookback or rows and min(r[SEQ] for r in rows) == 1:
+            return sorted(rows, key=lambda r: r[SEQ])[-lookback:]
+    if not hadoop_exists(spark, f"{state}/positions"):
+        return []
+    known = spark.read.schema(STATE_SCHEMA).parquet(f"{state}/positions").filter(F.col("batch_id") < epoch)
+    return sorted(known.select(*TAIL_SCHEMA.names).orderBy(F.desc(SEQ)).limit(lookback).collect(), key=lambda r: r[SEQ])
+
+
+def _write_tail(spark: SparkSession, rows: list, state: str, epoch: int) -> None:
+    write_batch(spark.createDataFrame(rows, TAIL_SCHEMA).coalesce(1), f"{state}/tail", epoch)
+    earlier = [b for b in batch_ids(spark, f"{state}/tail") if b < epoch]
+    for b in earlier[:-1]:  # a replay of this batch reads the last earlier one
+        hadoop_delete(spark, f"{state}/tail/batch_id={b}")
 
 
 def process_batch(batch: DataFrame, epoch: int, sink: str, state: str,
@@ -60,9 +80,8 @@ def process_batch(batch: DataFrame, epoch: int, sink: str, state: str,
     paths = [r["path"] for r in batch.select("path").distinct().collect()]  # at most maxFilesPerTrigger
     if not paths:
         return
-    known = _positions(spark, state).filter(F.col("batch_id") < epoch)  # a replay sees what its first run saw
-    newest = known.agg(F.max("timestamp_int").alias("t"), F.max(SEQ).alias("s")).first()
-    newest_t, newest_s = (newest["t"] or -1), (newest["s"] or 0)
+    tail = _tail(spark, state, epoch, lookback)
+    newest_t, newest_s = (tail[-1]["timestamp_int"], tail[-1][SEQ]) if tail else (-1, 0)
 
     footers = materialize(file_footers(spark, paths))
     bad = footer_failures(footers)
@@ -89,8 +108,8 @@ def process_batch(batch: DataFrame, epoch: int, sink: str, state: str,
     # a batch holds at most maxFilesPerTrigger minutes, so this window is bounded
     fresh = materialize(facts.filter("valid").select(
         "timestamp_int", "path", "stockPrice", (F.lit(newest_s) + F.row_number().over(Window.orderBy("timestamp_int"))).cast("long").alias(SEQ)))
-    ctx = known.filter(F.col(SEQ) > F.lit(newest_s - lookback))
-    ctx_paths = [r["path"] for r in ctx.select("path").collect()]  # at most ``lookback`` paths: one row per position
+    ctx = spark.createDataFrame(tail, TAIL_SCHEMA)
+    ctx_paths = [r["path"] for r in tail]  # at most ``lookback`` paths: one row per position
     panel = new_rows.join(fresh.select("timestamp_int"), "timestamp_int", "left_semi").drop("path")
     spine = fresh.select("timestamp_int", SEQ, "stockPrice")
     if ctx_paths:
@@ -104,6 +123,8 @@ def process_batch(batch: DataFrame, epoch: int, sink: str, state: str,
                            keep=F.col(SEQ) > F.lit(newest_s))
     write_batch(out, sink, epoch)
     write_batch(fresh.select("timestamp_int", SEQ, "path"), f"{state}/positions", epoch)
+    last = fresh.select(*TAIL_SCHEMA.names).orderBy(F.desc(SEQ)).limit(lookback).collect()
+    _write_tail(spark, (tail + sorted(last, key=lambda r: r[SEQ]))[-lookback:], state, epoch)
 
 
 def start_stream(spark: SparkSession, source: str, sink: str, state: str, checkpoint: str,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chainfeatures.config import DEFAULT_FEATURE_HASH
 from chainfeatures.plans.pipeline import compute_features
-from chainfeatures.plans.registry import FeatureSection, create_default_registry, version_hash
+from chainfeatures.plans.registry import FeatureSection, HistorySection, create_default_registry, version_hash
 
 
 def test_counts_and_hash():
@@ -69,3 +69,42 @@ def test_plugin_must_add_declared_names(spark):
     reg = create_default_registry().register_section("section_wrong", Wrong()).enable_section("section_wrong")
     with pytest.raises(ValueError, match="declares"):
         compute_features(derived_chain(spark, "/root/testdata/sf0.001"), registry=reg)
+
+
+def test_history_section_equals_brute_force(spark):
+    """A section that sorts its history, over blocks of several sizes, next to an ordinary section."""
+    from chainfeatures.config import FeatureParams
+    from chainfeatures.plans.catalog import MedianMid, registry_with
+    from chainfeatures.sources.chain import derived_chain
+
+    chain = derived_chain(spark, "/root/testdata/sf0.001")
+    minutes = sorted(r[0] for r in chain.select("timestamp_int").distinct().collect())[:90]
+    chain = chain.filter(F.col("timestamp_int").isin(minutes))
+    rows = {(r["timestamp_int"], r["expirDate"], r["strike"]): r["CallMid"] for r in chain.collect()}
+    want = {}
+    for (t, e, k), _ in rows.items():
+        s = minutes.index(t)
+        seen = sorted(x for m in minutes[max(0, s - 5):s + 1] if (x := rows.get((m, e, k))) is not None)
+        want[t, e, k] = seen[(len(seen) - 1) // 2] if s >= 5 and seen else None
+    for block in (16, 1024):
+        reg = registry_with({"section_contract"}).register_section("section_median_mid", MedianMid()).enable_section("section_median_mid")
+        out = compute_features(chain, registry=reg, params=FeatureParams(block_minutes=block))
+        got = {(r["timestamp_int"], r["expirDate"], r["strike"]): r["CallMidMedian_5"] for r in out.collect()}
+        assert got.keys() == want.keys() and all((got[k] is None) == (v is None) and (v is None or abs(got[k] - v) < 5.1e-5) for k, v in want.items())
+        assert out.filter(F.col("CallMidReturn_L1").isNotNull()).count() > 0
+
+
+class Short(HistorySection):
+    name, inputs, feature_names = "section_short", ("CallMid",), ("A", "B")
+
+    def history(self, rows, params):
+        return rows[["CallMid"]].rename(columns={"CallMid": "A"})
+
+
+def test_history_section_must_give_declared_names(spark):
+    from chainfeatures.plans.catalog import registry_with
+    from chainfeatures.sources.chain import derived_chain
+
+    reg = registry_with(set()).register_section("section_short", Short()).enable_section("section_short")
+    with pytest.raises(Exception, match="declares"):
+        compute_features(derived_chain(spark, "/root/testdata/sf0.001"), registry=reg).collect()

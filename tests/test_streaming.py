@@ -122,3 +122,28 @@ def test_invalid_files_are_rejected_once(spark, tmp_path):
     feats = create_default_registry().get_active_features()
     got = spark.read.parquet(f"{base}/sink").select(KEY + feats)
     assert got.exceptAll(compute_features(good).select(KEY + feats)).count() == 0 and got.count() == good.count()
+
+
+def test_what_a_batch_reads_does_not_grow(spark, tmp_path, monkeypatch):
+    """Many small batches: each opens its own files, one tail and the look-back, and the result is that of one batch."""
+    import chainfeatures.streaming.ingest as I
+
+    chain, minutes = _panel(spark, 44)
+    src = str(tmp_path / "src")
+    write_minute_files(chain, src).write.format("noop").mode("overwrite").save()
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(src) for f in names if f.endswith(".parquet"))
+    base = str(tmp_path / "run")
+    lookback = create_default_registry().max_lookback()
+    opened, real = [], I.scan_snapshots
+    monkeypatch.setattr(I, "scan_snapshots", lambda spark, paths, **kw: (opened.append(len(paths)), real(spark, paths, **kw))[1])
+    cuts = [0, 32, 34, 36, 38, 40, 42, 44]
+    for epoch, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        opened.clear()
+        I.process_batch(_paths(spark, files[a:b]), epoch, f"{base}/sink", f"{base}/state")
+        if epoch:
+            assert opened == [2, lookback]
+            assert spark.read.parquet(f"{base}/state/tail").filter(F.col("batch_id") == epoch).count() == lookback
+            assert len([d for d in os.listdir(f"{base}/state/tail") if d.startswith("batch_id=")]) == 2
+    feats = create_default_registry().get_active_features()
+    got = spark.read.parquet(f"{base}/sink").select(KEY + feats)
+    assert got.count() == chain.count() and got.exceptAll(compute_features(chain).select(KEY + feats)).count() == 0
