@@ -39,7 +39,7 @@ from .words import BLANK_SEPARATED, blocks, mix, words
 MODULUS, HELD_OUT = 10, 0
 SWEEPS, BURN_IN, MOVES = 3, 1, 2
 STRENGTH = 1.0
-TILE_BYTES, PART_BYTES = 16 << 20, 12 << 20
+TILE_BYTES, PART_BYTES = 12 << 20, 12 << 20
 #: A context is sliced from this many tokens on, and never one with less than 1 / MAX_HOT of all tokens.
 SLICE, MAX_HOT = 250_000, 65_536
 
@@ -48,21 +48,20 @@ _SLICE_STEP = np.uint64(0x8EBC6AF09C88C6E3)
 
 
 class Tokens:
-    """The tokens of many texts: hash of each, of the one before it, and the text it belongs to."""
+    """The tokens of many texts: hash of each, the text it belongs to, and where each text starts."""
 
     def __init__(self, texts: list[bytes]):
         parts = []
         for i, _, buf, starts in blocks(texts):
             h, s, _ = words(buf, BLANK_SEPARATED)
-            parts.append((h, i + np.searchsorted(starts, s, "right") - 1))
+            parts.append((h, np.diff(np.append(np.searchsorted(s, starts), len(s)))))
         h = np.concatenate([p[0] for p in parts] or [np.empty(0, np.uint64)])
-        d = np.concatenate([p[1] for p in parts] or [np.empty(0, np.int64)])
-        n = np.bincount(d, minlength=len(texts))
+        n = np.concatenate([p[1] for p in parts] or [np.empty(0, np.int64)])  # words of each text
+        d = np.repeat(np.arange(len(texts)), n)
         self.word = np.full(len(h) + len(texts), END, np.uint64)
         self.word[np.arange(len(h)) + d] = h
-        self.text = np.repeat(np.arange(len(texts)), n + 1)
-        self.before = np.concatenate((np.full(min(1, len(texts)), START), self.word[:-1]))
-        self.before[np.cumsum(n + 1)[:-1]] = START
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), n + 1)
+        self.starts = np.cumsum(n + 1) - n - 1
 
 
 class Hot:
@@ -73,18 +72,29 @@ class Hot:
         self.keys = keys[order]
         self.slices = np.maximum(1, -(-counts[order] // slice_tokens)).astype(np.uint64)
         own = np.repeat(np.arange(len(self.keys)), self.slices.astype(np.int64))
-        first = np.cumsum(self.slices) - self.slices if len(self.keys) else self.slices
-        which = np.arange(len(own), dtype=np.uint64) - first[own]
-        sliced = mix(self.keys[own] + (which + np.uint64(1)) * _SLICE_STEP)
-        order = np.argsort(sliced)
-        self.sliced, self.owner = sliced[order], own[order]
-
-    def context_keys(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        at = self.find(self.keys, before)
-        which = np.zeros(len(before), np.uint64)
-        hot = at >= 0
-        which[hot] = mix(word[hot] ^ START) % self.slices[at[hot]] + np.uint64(1)
-        return mix(before + which * _SLICE_STEP)
+        self.first = (np.cumsum(self.slices) - self.slices).astype(np.int64)
+        which = (np.arange(len(own)) - self.first[own]).astype(np.uint64)
+        self.slice_keys, self.slice_owner = mix(self.keys[own] + (which + np.uint64(1)) * _SLICE_STEP), own
+        order = np.argsort(self.slice_keys)
+        self.sliced, self.owner = self.slice_keys[order], own[order]
+
+    def contexts(self, names: np.ndarray, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts that occur, sorted by key; the word that each stands for; and each token's context.
+
+        ``before``: place of the word before each token in ``names``; ``word``: the token's hash."""
+        at = self.find(self.keys, names)
+        code = before
+        hot = np.flatnonzero(at[before] >= 0) if len(self.keys) and len(before) else []
+        if len(hot):
+            of = at[before[hot]]
+            code = before.astype(np.int64)
+            code[hot] = len(names) + self.first[of] + (mix(word[hot] ^ START) % self.slices[of]).astype(np.int64)
+        keys, stands = np.concatenate((mix(names), self.slice_keys)), np.concatenate((names, self.keys[self.slice_owner]))
+        used = np.flatnonzero(np.bincount(code, minlength=len(keys)))
+        used = used[np.argsort(keys[used])]
+        rank = np.empty(len(keys), np.int64)
+        rank[used] = np.arange(len(used))
+        return keys[used], stands[used], rank[code]
 
     def owners(self, context: np.ndarray) -> np.ndarray:
         """Which frequent context a key is a slice of (-1: none)."""
@@ -100,19 +110,37 @@ class Hot:
 
 
 class TileList:
-    """Distinct words and distinct (context, word) pairs of a tile, sorted by key, and where each token's are."""
+    """Distinct words and contexts of a tile, sorted by key, and each token's pair as a number: pairs in order of
+    these numbers are sorted by context and word."""
 
     def __init__(self, pdf: pd.DataFrame, hot: Hot):
-        self.tokens = t = Tokens([x.encode() for x in pdf["text"]])
-        self.learn = pdf["learn"].to_numpy(bool)
-        self.words, self.word_of = np.unique(t.word, return_inverse=True)
-        context = hot.context_keys(t.before, t.word)
-        self.contexts, context_of = np.unique(context, return_inverse=True)
-        code, self.pair_of = np.unique(context_of * len(self.words) + self.word_of, return_inverse=True)
-        self.pair_context, self.pair_word = np.divmod(code, max(len(self.words), 1))
-        at = np.empty(len(self.contexts), np.int64)
-        at[context_of] = np.arange(len(context_of))
-        self.before = t.before[at]  # the word that each context stands for
+        t = Tokens([x.encode() for x in pdf["text"]])
+        self.learn, self.text = pdf["learn"].to_numpy(bool), t.text
+        at, found = pd.factorize(t.word)
+        order = np.argsort(found)
+        rank = np.empty(len(found), np.int32)
+        rank[order] = np.arange(len(found), dtype=np.int32)
+        self.words, self.word_of = found[order], rank[at]
+        del at
+        names = np.append(self.words, START)
+        before = np.concatenate((self.word_of[:1], self.word_of[:-1]))
+        before[t.starts] = len(self.words)
+        self.contexts, self.before, context_of = hot.contexts(names, before, t.word)
+        self.code = context_of * len(self.words)
+        self.code += self.word_of
+
+    def parts_of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and word of pairs."""
+        return np.divmod(code, max(len(self.words), 1))
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs and how often each is learned from."""
+        s = self.code * 2
+        s += self.learn[self.text]
+        s.sort()
+        pair = s >> 1
+        first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(s) else np.empty(0, np.int64)
+        return pair[first], np.add.reduceat(s & 1, first) if len(first) else first
 
 
 # -- vocabulary ----------------------------------------------------------------------------------
@@ -154,13 +182,13 @@ MERGED_ROW = "kind int, part int, tile int, a binary, b binary, c binary, d bina
 def _list_pairs(hot: Hot, parts: int):
     def run(key, pdf):
         t = TileList(pdf, hot)
-        counts = np.bincount(t.pair_of, weights=t.learn[t.tokens.text], minlength=len(t.pair_word)).astype(np.uint32)
-        rows = []
+        code, counts = t.counted()
+        (context, word), rows = t.parts_of(code), []
         for p, at in by_part(t.contexts, parts):
-            mine = slice(*np.searchsorted(t.pair_context, [at.start, at.stop]))
-            sizes = np.bincount(t.pair_context[mine] - at.start, minlength=at.stop - at.start)
+            mine = slice(*np.searchsorted(context, [at.start, at.stop]))
+            sizes = np.bincount(context[mine] - at.start, minlength=at.stop - at.start)
             rows.append((p, key[0], pack_sorted(t.contexts[at]), pack(sizes.astype(np.uint32)),
-                         pack_sorted(t.words[t.pair_word[mine]]), pack(counts[mine])))
+                         pack_sorted(t.words[word[mine]]), pack(counts[mine].astype(np.uint32))))
         return pd.DataFrame(rows, columns=_names(PAIR_ROW))
     return run
 
@@ -410,28 +438,30 @@ def _answer_pairs(hot: Hot, d: float, sliced: list[np.ndarray]):
 def _score(hot: Hot, d: float, strength: float, levels: list[Level], n: int, v: int):
     def run(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         t = TileList(texts, hot)
+        of, size = t.text, len(texts)
+        sums = lambda x: np.bincount(of, weights=x, minlength=size)
         answers = answers.sort_values("part")
         by_kind = {k: answers[answers["kind"] == k] for k in (WORDS, PAIRS)}
-        counts = np.concatenate([unpack(b, np.int64) for b in by_kind[WORDS]["a"]])
         split = lambda blobs, dtype: np.concatenate([unpack(b, dtype).reshape(len(levels), -1) for b in blobs], axis=1)
-        own = split(by_kind[WORDS]["b"], np.float32).astype(np.float64)
-        parent = [level.probability(o) for level, o in zip(levels, own)]
-        held = split(by_kind[PAIRS]["a"], np.int64)
-        code = np.concatenate([unpack(b, np.uint8) for b in by_kind[PAIRS]["b"]])
-        left = np.where(code == 1, 1 - d, 0.0)
-        left[code == 2] = np.concatenate([unpack(b, np.float32) for b in by_kind[PAIRS]["c"]])
-        # customers of a context: as often as its word (a start: as a text's end) was learned
-        before = np.where(t.before == START, END, t.before)
-        customers = _take(t.words, counts, before)
-        c, w = t.pair_context, t.pair_word
-        back = np.mean([(strength + d * h[c]) * p[w] for h, p in zip(held, parent)], axis=0)
-        logs = np.log10((left + back) / (strength + customers[c]))
-        size = len(texts)
-        of = t.tokens.text
-        sums = lambda x: np.bincount(of, weights=x, minlength=size)
+        counts = np.concatenate([unpack(b, np.int64) for b in by_kind[WORDS]["a"]])
         base = np.log10((counts + 0.1) / (n + 0.1 * (v + 1)))
-        return pd.DataFrame({"id": texts["id"].to_numpy(), "learn": t.learn, "n_tokens": sums(None if size == 0 else np.ones(len(of))).astype(np.int64),
-                             "n_known": sums(counts[t.word_of] > 0).astype(np.int64), "base_score": sums(base[t.word_of]), "score": sums(logs[t.pair_of])})
+        out = {"id": texts["id"].to_numpy(), "learn": t.learn, "n_tokens": np.bincount(of, minlength=size),
+               "n_known": sums(counts[t.word_of] > 0).astype(np.int64), "base_score": sums(base[t.word_of])}
+        t.word_of = None
+        # customers of a context: as often as its word (a start: as a text's end) was learned
+        customers = _take(t.words, counts, np.where(t.before == START, END, t.before))
+        code_of, pair_of = np.unique(t.code, return_inverse=True)
+        t.code = None
+        c, w = (x.astype(np.int32) for x in t.parts_of(code_of))
+        code = np.concatenate([unpack(b, np.uint8) for b in by_kind[PAIRS]["b"]])
+        p = np.where(code == 1, 1 - d, 0.0)
+        p[code == 2] = np.concatenate([unpack(b, np.float32) for b in by_kind[PAIRS]["c"]])
+        own, held = split(by_kind[WORDS]["b"], np.float32), split(by_kind[PAIRS]["a"], np.int64)
+        for k, level in enumerate(levels):
+            p += (strength + d * held[k])[c] * level.probability(own[k].astype(np.float64))[w] / len(levels)
+        p /= (strength + customers)[c]
+        out["score"] = sums(np.log10(p)[pair_of])
+        return pd.DataFrame(out)
     return run
 
 
