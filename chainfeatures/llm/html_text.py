@@ -10,8 +10,11 @@ the texts of nodes whose marginal is above one half are the main text.  Weights
 potentials are trained from labelled pages (``labelled_pages``).
 
 Defined cases: a null or empty page has no text; unclosed and stray tags are repaired as
-browsers do it roughly; scripts, styles, templates, comments and titles never carry text; repeated
-rows get equal results; an empty table gives an empty result.
+browsers do it roughly; attributes end where the HTML standard ends them (a quote opens a value only right
+after an equals sign); scripts, styles, templates, comments and titles never carry text; an element whose content is
+not shown (video, object, svg and the like) drops what stands before its own end tag, and drops its tag alone where
+an enclosing block or the page ends first; very long and very deep pages are read whole, in time proportional to
+their length; repeated rows get equal results; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,9 @@ from .labelled_pages import labelled_pages
 from .learn import logistic
 
 # --- fixed values: HTML element classes and class words ---
-SKIPPED = {"script", "style", "template", "noscript", "iframe", "svg", "math", "title", "textarea", "select", "object", "canvas", "audio", "video", "xmp"}
+RAW = {"script", "style", "iframe", "title", "textarea", "xmp", "noembed", "noframes"}  # no markup inside
+CODE = {"script", "style"}
+HIDDEN = {"template", "noscript", "svg", "math", "select", "object", "canvas", "audio", "video"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small",
           "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "ruby", "rt", "rp", "center", "nobr", "picture"}
@@ -49,10 +54,89 @@ WORDS = {
 _GROUP = {t: k for k, g in enumerate(GROUPS) for t in g}
 _OTHER = len(GROUPS)
 _APART, _MAIN = {1, 2, 3, 4, 5}, 6
-TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+)>""")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 LABEL = re.compile(r"\by=\"([01])\"")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+
+
+def tokens(s: str) -> Iterator[tuple[str, str, bool]]:
+    """(tag name or "", text or attributes, whether it is an end tag) in page order.  Comments, declarations and the
+    content of raw-text elements are left out; of a raw-text element without an end tag only code takes the rest."""
+    pos, n, last, unclosed = 0, len(s), s.rfind(">"), set()
+    while pos < n:
+        lt = s.find("<", pos)
+        if lt < 0 or lt > last:  # no tag can follow
+            yield "", s[pos:], False
+            return
+        if lt > pos:
+            yield "", s[pos:lt], False
+        if s.startswith("<!--", lt):
+            end = s.find("-->", lt + 2)  # "<!-->" is a whole comment
+            pos = n if end < 0 else end + 3
+            continue
+        if s.startswith(("<!", "<?"), lt):
+            end = s.find(">", lt)
+            pos = n if end < 0 else end + 1
+            continue
+        m = TAG.match(s, lt) or LOOSE_TAG.match(s, lt)
+        if not m:
+            yield "", "<", False
+            pos = lt + 1
+            continue
+        pos = m.end()
+        name = m[2].lower()
+        if name not in RAW:
+            yield name, m[3], bool(m[1])
+        elif not m[1] and not m[3].endswith("/") and name not in unclosed:
+            end = _RAW_END[name].search(s, pos)
+            if end:
+                pos = end.end()
+            elif name in CODE:
+                return
+            else:
+                unclosed.add(name)
+
+
+class Open:
+    """The open elements, with the depths at which each name is open."""
+
+    def __init__(self):
+        self.names, self.items, self.at = ["html"], [0], {}
+
+    def push(self, name: str, item: int) -> None:
+        self.at.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.items.append(item)
+
+    def depth(self, names) -> int:
+        """Depth of the innermost open element of these names; 0 if none is open."""
+        return max((self.at[t][-1] for t in names if self.at.get(t)), default=0)
+
+    def close(self, depth: int) -> None:
+        """Closes the element at ``depth`` and all inside it."""
+        while len(self.names) > depth:
+            self.at[self.names.pop()].pop()
+            self.items.pop()
+
+
+def hidden_ends(toks: list[tuple[str, str, bool]]) -> dict[int, int]:
+    """Token number of the start tag -> that of the end tag, of every element of HIDDEN that its own end tag closes."""
+    ends, o = {}, Open()
+    for i, (name, attrs, closing) in enumerate(toks):
+        if not name or name in VOID or name in INLINE:
+            continue
+        if not closing:
+            if not attrs.endswith("/"):
+                o.push(name, i)
+            continue
+        k = o.depth((name,))
+        if k:
+            if name in HIDDEN:
+                ends[o.items[k]] = i
+            o.close(k)
+    return ends
 
 
 class Page:
@@ -75,49 +159,28 @@ class Page:
             self.stops[node] += text.count(". ") + (text[-1] in ".!?")
 
     def _parse(self, s: str) -> None:
-        open_, parts, linked, in_link = [0], [], 0, False
-        pos, n = 0, len(s)
+        o, parts, linked, in_link = Open(), [], 0, False
+        toks = list(tokens(s))
+        ends = hidden_ends(toks) if any(t[0] in HIDDEN for t in toks) else {}
+        i, n = -1, len(toks)
 
         def flush():
             nonlocal linked
             if parts:
-                self._flush(open_[-1], parts, linked)
+                self._flush(o.items[-1], parts, linked)
                 parts.clear()
             linked = 0
 
-        def put(raw):
-            nonlocal linked
-            t = _html.unescape(raw) if "&" in raw else raw
-            parts.append(t)
-            if in_link:
-                linked += len(t.strip())
-
-        while pos < n:
-            lt = s.find("<", pos)
-            if lt < 0:
-                put(s[pos:])
-                break
-            if lt > pos:
-                put(s[pos:lt])
-            if s.startswith("<!--", lt):
-                end = s.find("-->", lt + 4)
-                pos = n if end < 0 else end + 3
-                continue
-            if s.startswith(("<!", "<?"), lt):
-                end = s.find(">", lt)
-                pos = n if end < 0 else end + 1
+        while (i := i + 1) < n:
+            name, a, closing = toks[i]
+            if not name:
+                t = _html.unescape(a) if "&" in a else a
+                parts.append(t)
+                if in_link:
+                    linked += len(t.strip())
                 continue
-            m = TAG.match(s, lt) or LOOSE_TAG.match(s, lt)
-            if not m:
-                put("<")
-                pos = lt + 1
-                continue
-            pos = m.end()
-            closing, name = m[1], m[2].lower()
-            if name in SKIPPED:
-                if not closing and not m[3].endswith("/"):
-                    end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(s, pos)
-                    pos = end.end() if end else n
+            if name in HIDDEN:
+                i = ends.get(i, i)
                 continue
             if name == "br" or name == "wbr":
                 parts.append(" " if name == "br" else "")
@@ -133,36 +196,32 @@ class Page:
             flush()
             in_link = False
             if closing:
-                for k in range(len(open_) - 1, 0, -1):
-                    if self.tag[open_[k]] == name:
-                        del open_[k:]
-                        break
+                k = o.depth((name,))
+                if k:
+                    o.close(k)
                 continue
             if name == "html":
                 continue
             if name in CLOSES:
                 shut, scope = CLOSES[name]
-                for k in range(len(open_) - 1, 0, -1):
-                    t = self.tag[open_[k]]
-                    if t in shut:
-                        del open_[k:]
-                        if name in ("li", "option"):
-                            break
-                    elif t in scope:
+                stop = o.depth(scope)
+                while (k := o.depth(shut)) > stop:
+                    o.close(k)
+                    if name in ("li", "option"):
                         break
-            if "p" == self.tag[open_[-1]]:  # a block ends an open paragraph
-                open_.pop()
-            self.parent.append(open_[-1])
+            if o.names[-1] == "p":  # a block ends an open paragraph
+                o.close(len(o.names) - 1)
+            parent = o.items[-1]
+            self.parent.append(parent)
             self.tag.append(name)
-            a = m[3]
             self.attrs.append(" ".join("".join(x) for x in ATTRIBUTE.findall(a)) if "=" in a else "")
             y = LABEL.search(a) if "y=" in a else None
-            self.label.append(int(y[1]) if y else self.label[open_[-1]])
+            self.label.append(int(y[1]) if y else self.label[parent])
             self.chars.append(0)
             self.links.append(0)
             self.stops.append(0)
             if not a.endswith("/"):
-                open_.append(len(self.tag) - 1)
+                o.push(name, len(self.tag) - 1)
         flush()
 
     def features(self) -> list[list[float]]:

@@ -1,6 +1,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -60,6 +61,43 @@ def test_parser_repairs(model):
     assert model.extract(["", None, "<script>x</script>"]) == ["", "", ""]
 
 
+def texts(s):
+    return [t for _, t in H.Page(s).blocks]
+
+
+def test_attributes_end_as_in_the_standard():
+    assert texts("<article><p title=it's>one</p><p>two isn't</p><p>three</p></article>") == ["one", "two isn't", "three"]
+    assert texts("<p a'b=\"c>d\" e = 'f>g' h=i\"j>k</p><p \">l</p><p class=\"m>n</p>") == ["k", "l", "n"]
+    assert texts("<p/a=b/>x<p a= >y<p a==\"b>z") == ["x", "y", "z"]
+    p = H.Page("<div class='side bar' id=nav/1 title=it's role=\"x\">t</div>")
+    assert p.attrs[1] == "side bar nav/1 x"
+
+
+@pytest.mark.parametrize("name", sorted(H.HIDDEN))
+def test_hidden_elements_never_take_the_article(name):
+    rest = "<p>two</p><ul><li>three</ul>"
+    assert texts(f"<article><p>one</p><{name}>{rest}</article><p>four") == ["one", "two", "three", "four"]  # unclosed
+    assert texts(f"<article><p>one</p><{name}>no<p>no</p></{name}>{rest}</article>") == ["one", "two", "three"]
+    assert texts(f"<p>one</p><{name}>no<{name}>no</{name}>no</{name}><p>two") == ["one", "two"]  # nested
+    assert texts(f"<article><p>one</p><{name}>{rest}</article><div><{name}>no</{name}>four</div>") == ["one", "two", "three", "four"]  # end tag of a later one
+    assert texts(f"<p>one</p><{name}/><p>two</p></{name}><p>three") == ["one", "two", "three"]
+
+
+def test_raw_text_elements():
+    assert texts("<title>a<b></title ><p>x<script>if (a < b) '</p>'</SCRIPT\n>y</p><style>p</style><textarea><p>no</textarea>z") == ["xy", "z"]
+    assert texts("<p>x</p><textarea><p>y</p><iframe><p>z</p>") == ["x", "y", "z"]  # no end tag: only the tag goes
+    assert texts("<p>x</p><script>var a = '<p>y</p>'") == ["x"]
+    assert texts("<p>a<!-->b<!--->c<!-- <p>no --->d") == ["abcd"]
+
+
+@pytest.mark.parametrize("s", ["<div>" * 20000 + "</section>" * 20000, "<table><td><table>" + "<div>" * 20000 + "<td>" * 20000, "<a <a " * 30000,
+                               "<a b='" * 30000, "<svg>" * 20000 + "</div>" * 20000, "<textarea>" * 20000, "<" * 50000])
+def test_broken_pages_take_linear_time(s):
+    t = time.time()
+    H.Page(s)
+    assert time.time() - t < 2
+
+
 def test_unseen_page(model):
     page = """<html><body><div id="cookie-consent"><p>We use cookies.</p></div><header><h2>Site</h2></header><main><article><h1>Title</h1>
     <p>First  paragraph
