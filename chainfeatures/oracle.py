@@ -9,7 +9,6 @@ string is plain SQL over the registered test tables.
 from __future__ import annotations
 
 from chainfeatures.config import DEFAULT_FEATURE_HASH, OFFSETS
-from chainfeatures.functions.numsum import numpy_sum
 
 # -- shared CTEs ---------------------------------------------------------------
 
@@ -332,6 +331,18 @@ uw AS (
   FROM steps c JOIN steps h ON h.minute_seq BETWEEN c.minute_seq - 30 AND c.minute_seq
   GROUP BY c.minute_seq)"""
 
+    def price_sum(xs, m):
+        # The order of additions decides means of 16 cent prices that end in a half at the fourth place.  Under eight
+        # prices: as they come.  Else eight running sums over every eighth price, added pairwise, then the rest as they come.
+        if m < 8:
+            return f"list_reduce({xs}, lambda a, b: a + b)"
+        rounds = m // 8
+        lane = f"list_reduce(list_transform(range({rounds}), lambda k: {xs}[8 * k + j + 1]), lambda a, b: a + b)"
+        lanes = f"list_transform(range(8), lambda j: {lane})"
+        for width in (4, 2, 1):
+            lanes = f"list_transform(range({width}), lambda i{width}: ({lanes})[2 * i{width} + 1] + ({lanes})[2 * i{width} + 2])"
+        return f"list_reduce(list_concat({lanes}, {xs}[{8 * rounds + 1}:]), lambda a, b: a + b)"
+
     def ema(n):
         com = (n - 1) / 2.0
         a = 1.0 / (1.0 + com)
@@ -347,7 +358,7 @@ uw AS (
     for k in (5, 15, 30):
         sel.append((f"UnderlyingCumReturn_{k}", lag_ret(k)))
     for n in (5, 15, 30):
-        total = numpy_sum([f"w.pts{n}[{i + 1}]" for i in range(n + 1)], lambda a, b: f"({a} + {b})", "0.0")
+        total = price_sum(f"w.pts{n}", n + 1)
         sel.append((f"UnderlyingSMA_{n}", f"CASE WHEN {gate('c', n)} AND w.cnt{n} = {n + 1} THEN {total} / {n + 1} END"))
     for n in (5, 15, 30):
         sel.append((f"UnderlyingEMA_{n}", ema(n)))
@@ -558,6 +569,7 @@ _ALIKE = f"""(SELECT timestamp_int, date, minute, count(*) OVER (PARTITION BY co
   SELECT timestamp_int, date, minute, string_agg(concat_ws('|', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in CHAIN_COLUMNS[3:])}), ';'
     ORDER BY expirDate, strike) AS content FROM chain GROUP BY timestamp_int, date, minute))"""
 FILE_CHECKSUM_SQL = with_chain(f"SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, true AS is_md5, files_alike FROM {_ALIKE}")
+OBJECT_CHECKSUM_SQL = with_chain(f"SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, true AS is_composite, files_alike FROM {_ALIKE}")
 FILE_FOOTER_SQL = with_chain(f"""SELECT date AS date_folder, CAST(timestamp_int AS VARCHAR) AS stamp, n AS rows,
   CAST({len(CHAIN_COLUMNS) - 3} AS INTEGER) AS n_fields, CAST(NULL AS VARCHAR) AS failure FROM {_MINUTES}""")
 LINEAGE_SQL = with_chain(f"""SELECT files_alike, timestamp_int, date, minute, '{DEFAULT_FEATURE_HASH}' AS feature_version_hash,

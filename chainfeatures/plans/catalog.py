@@ -25,7 +25,7 @@ from chainfeatures.plans.registry import FeatureSection, HistorySection, create_
 from chainfeatures.plans.sinks import hadoop_exists, hadoop_touch, write_minute_files
 from chainfeatures.plans.store import SlabStore
 from chainfeatures.session import fresh_shared_path, materialize, tune_session
-from chainfeatures.sources import fixtures, names, snapshots
+from chainfeatures.sources import checksums, fixtures, names, snapshots
 from chainfeatures.sources.chain import CHAIN_COLUMNS, read_table
 
 ROW_KEYS = ("timestamp_int", "expirDate", "strike")
@@ -231,6 +231,13 @@ def file_checksum(spark, sf_dir):
         *_stamp(), F.col("md5").rlike("^[0-9a-f]{32}$").alias("is_md5"), "files_alike")
 
 
+def object_checksum(spark, sf_dir):
+    """Checksums as of uploads in parts of 1 KiB: well formed with the right number of parts, equal where the rows are."""
+    c = checksums.object_checksums(spark, _minute_root(spark, sf_dir), part_bytes=1024)
+    form = F.regexp_extract("checksum", "^[0-9a-f]{32}-([0-9]+)$", 1) == F.ceil(F.col("length") / 1024).cast("string")
+    return _alike(c, "checksum").select(*_stamp(), form.alias("is_composite"), "files_alike")
+
+
 def _alike(files: DataFrame, checksum: str) -> DataFrame:
     return files.join(files.groupBy(checksum).agg(F.count(F.lit(1)).alias("files_alike")), checksum)
 
@@ -419,6 +426,7 @@ QUERIES = {
     "snapshot_scan": snapshot_scan,
     "file_listing": file_listing,
     "file_checksum": file_checksum,
+    "object_checksum": object_checksum,
     "snapshot_scan_mixed": snapshot_scan_mixed,
     "plugin_section": plugin_section,
     "history_section": history_section,

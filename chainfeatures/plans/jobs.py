@@ -25,7 +25,8 @@ from chainfeatures.plans.pipeline import build_spine, compute_features, normalis
 from chainfeatures.plans.registry import FeatureRegistry, create_default_registry
 from chainfeatures.plans.store import SlabStore
 from chainfeatures.session import materialize
-from chainfeatures.sources.snapshots import file_checksums, file_footers, footer_failures, list_files, scan_snapshots
+from chainfeatures.sources.checksums import object_checksums
+from chainfeatures.sources.snapshots import file_footers, footer_failures, list_files, scan_snapshots
 
 
 def context_minutes(spine: DataFrame, new_minutes: DataFrame, lookback: int) -> DataFrame:
@@ -142,9 +143,9 @@ def lineage_manifest(checksums: DataFrame, minutes: DataFrame, registry: Feature
 FILES = ("path", "date", "length", "modificationTime", "timestamp_int", "rows", "fields", "md5", "valid", "stockPrice", "error", "error_type")
 
 
-def describe_files(spark: SparkSession, listed: DataFrame, root: str | None) -> DataFrame:
+def describe_files(spark: SparkSession, listed: DataFrame, root: str | None, part_bytes: int | None = None) -> DataFrame:
     """A row of FILES for each listed file (path, length, modificationTime); files are opened here and nowhere
-    else.  ``root``: set where the files are all of that folder."""
+    else.  ``root``: set where the files are all of that folder.  ``part_bytes``: the store's upload parts (``object_checksums``)."""
     paths = root or [r["path"] for r in listed.select("path").collect()]  # of the files that are new to the store
     footers = materialize(file_footers(spark, paths, files=listed))
     named = with_time_key(footers.select("path"), "path").select("path", F.col("valid").alias("named"), F.when(F.col("valid"), F.col("timestamp_int")).alias("timestamp_int"))
@@ -158,7 +159,7 @@ def describe_files(spark: SparkSession, listed: DataFrame, root: str | None) ->
         facts = facts.select("timestamp_int", "valid", "stockPrice", F.col("error").alias("fault"), F.col("error_type").alias("fault_kind"))
     else:
         facts = spark.createDataFrame([], "timestamp_int long, valid boolean, stockPrice double, fault string, fault_kind string")
-    sums = file_checksums(spark, paths).select("path", "md5")
+    sums = object_checksums(spark, paths, files=listed, part_bytes=part_bytes).select("path", F.col("checksum").alias("md5"))
     name_error = "Invalid filename format: expected strikes_YYYYMMDDHHMM.parquet"
     ok = F.col("named") & F.col("bad").isNull()
     stamp = F.lpad(F.col("timestamp_int").cast("string"), 12, "0")
@@ -169,7 +170,7 @@ def describe_files(spark: SparkSession, listed: DataFrame, root: str | None) ->
                     F.when(~F.col("named"), F.lit("ValueError")).when(F.col("bad").isNotNull(), F.col("kind")).otherwise(F.col("fault_kind")).alias("error_type")))
 
 
-def file_changes(spark: SparkSession, root: str, store: SlabStore) -> tuple[DataFrame, DataFrame, DataFrame]:
+def file_changes(spark: SparkSession, root: str, store: SlabStore, part_bytes: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(all files now, files that were described in this run, files gone or replaced): the listing against the stored catalog.
 
     A file is known by path, length and modification time.  The files of a minute are judged together, so where one of
@@ -177,7 +178,7 @@ def file_changes(spark: SparkSession, root: str, store: SlabStore) -> tuple[Data
     listed = list_files(spark, root)
     known = store.read("files")
     if known is None:
-        now = materialize(describe_files(spark, materialize(listed), root))
+        now = materialize(describe_files(spark, materialize(listed), root, part_bytes))
         return now, now, now.limit(0)
     key = ["path", "length", "modificationTime"]
     listed, known = materialize(listed), materialize(known)
@@ -186,7 +187,7 @@ def file_changes(spark: SparkSession, root: str, store: SlabStore) -> tuple[Data
     touched = with_time_key(new.select("path"), "path").filter("valid").select("timestamp_int").unionByName(gone.select("timestamp_int")).distinct()
     again = known.join(gone.select("path"), "path", "left_anti").join(touched, "timestamp_int", "left_semi").select(*key)
     todo = materialize(new.unionByName(again))
-    described = materialize(describe_files(spark, todo, None)) if not todo.isEmpty() else known.limit(0)
+    described = materialize(describe_files(spark, todo, None, part_bytes)) if not todo.isEmpty() else known.limit(0)
     kept = known.join(gone.select("path"), "path", "left_anti").join(described.select("path"), "path", "left_anti")
     return materialize(kept.select(*FILES).unionByName(described.select(*FILES))), described, gone
 
@@ -205,7 +206,7 @@ def _dated(minutes: DataFrame) -> DataFrame:
 
 
 def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | None = None,
-              params: FeatureParams | None = None, new_only: bool = True, slab_chars: int = 8) -> dict:
+              params: FeatureParams | None = None, new_only: bool = True, slab_chars: int = 8, part_bytes: int | None = None) -> dict:
     """The batch event as one Spark job over a snapshot folder (reference layout) into a store (``plans.store``)
     with the tables ``files`` (the catalog), ``spine``, ``rows`` (enriched) and ``lineage``:
 
@@ -218,6 +219,8 @@ def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | No
        full recompute whatever the order in which minutes arrive;
     4. rows, lineage, spine and catalog are committed in one step: a crash anywhere before leaves the store as it was.
 
+    ``part_bytes``: the part size of uploads to the source store, for checksums equal to the store's; None: plain MD5.
+
     Returns DataFrames: ``failures`` (uri, error, error_type: of all files there are), ``written`` (timestamp_int), ``manifest``
     (the lineage of all rows), ``outcomes`` (per date and total: completed, failed, status), ``summary`` (one row:
     success_count, failure_count) and ``opened`` (path: files whose footers, or whose rows, were read).
@@ -228,7 +231,7 @@ def run_batch(spark, source_root: str, dest: str, registry: FeatureRegistry | No
     reg = registry or create_default_registry()
     lookback = max(reg.max_lookback(), 1)
     store = SlabStore(spark, dest, slab_chars)
-    files, described, gone = file_changes(spark, source_root, store)
+    files, described, gone = file_changes(spark, source_root, store, part_bytes)
     good = files.filter("valid").groupBy("timestamp_int").agg(F.min("stockPrice").alias("stockPrice"), F.min("path").alias("path"))
     touched = described.select("timestamp_int").unionByName(gone.select("timestamp_int")).filter("timestamp_int IS NOT NULL").distinct()
     touched = materialize(touched.join(good, "timestamp_int", "left").withColumn("there", F.col("path").isNotNull()))
