@@ -7,13 +7,15 @@ words starts at a shared fingerprint.  A fingerprint hit is then extended: the
 windows of 10 words around it are compared with the item's windows, and the words of
 those that occur are hit.  Items of fewer words are one window, compared as a whole.
 
-The benchmark is sent to the executors only while its texts are below
-``broadcast_bytes``; a larger one meets the documents in shuffle joins on the
-fingerprints, and only (document, item) candidates are compared.
+The benchmark is sent to the executors only while its texts and ids are below
+``broadcast_bytes``; a larger one meets the documents in shuffle joins: first the distinct
+fingerprints, then the windows around the shared ones, by value and not by item, so a phrase that
+all documents and items share is one row for each document.  Items are named last, for windows that occur.
 
 Defined cases: null or empty text has no words and is clean; an item without words or
 without an id hits nothing; repeated item ids count once; an empty benchmark leaves all
-documents clean; an empty table gives an empty result.
+documents clean; very long texts are judged whole; rows with one id, or none, are judged each for itself; an empty
+table gives an empty result; other columns, whatever their names, are not read (``keep_clean`` passes them through).
 """
 
 from __future__ import annotations
@@ -24,9 +26,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import shared_table, text_bytes
+from .common import shared_table
 from .words import ALPHANUMERIC, blocks, mix, whole, windows, words
 
 WINDOW, GRAM = 10, 5
@@ -55,43 +56,37 @@ def _inside(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Fingerprints and windows of benchmark items: {words in the window: (hashes, item sets)}."""
+    """Fingerprints and windows of benchmark items: {words in the window: (hashes, first owner of each, owners)}."""
 
     def __init__(self, items: list[tuple[str, bytes]]):
-        by_len: dict[int, dict[int, set]] = {}
+        self.names = sorted({item for item, _ in items})
+        number = {item: k for k, item in enumerate(self.names)}
+        by_len: dict[int, list] = {}
         prints = [np.empty(0, np.uint64)]
-        for item, text in items:
-            h, _, _ = words(text, ALPHANUMERIC)
+        for (item, _), h in zip(items, _documents([text for _, text in items])):
             if len(h) >= WINDOW:
                 gram = windows(h, GRAM)
                 prints.append(gram[winnow(gram)])
-                for v in windows(h, WINDOW):
-                    by_len.setdefault(WINDOW, {}).setdefault(int(v), set()).add(item)
-            elif len(h):
-                by_len.setdefault(len(h), {}).setdefault(int(whole(h)), set()).add(item)
+            if len(h):
+                value = _item_windows(h)
+                by_len.setdefault(min(len(h), WINDOW), []).append((value, np.full(len(value), number[item], np.int32)))
         self.prints = np.unique(np.concatenate(prints))
         self.windows = {}
-        for n, d in by_len.items():
-            keys = np.array(sorted(d), np.uint64)
-            self.windows[n] = (keys, [sorted(d[int(k)]) for k in keys])
+        for n, found in by_len.items():
+            value, owner = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((owner, value))
+            value, owner = value[order], owner[order]
+            keys, first = np.unique(value, return_index=True)
+            self.windows[n] = (keys, np.append(first, len(value)), owner)
 
     def hits(self, h: np.ndarray) -> tuple[np.ndarray, set]:
         """Which words of one document are hit, and by which items."""
         cover, items = np.zeros(len(h) + 1, np.int64), set()
-        for n, (keys, owners) in self.windows.items():
+        for n, (keys, first, owner) in self.windows.items():
             if len(h) < n:
                 continue
             if n == WINDOW:
-                gram = windows(h, GRAM)
-                at = winnow(gram)
-                at = at[_inside(self.prints, gram[at])]
-                if not len(at):
-                    continue
-                # extend: every window that contains a shared fingerprint
-                start = np.unique((at[:, None] - np.arange(WINDOW - GRAM + 1)).ravel())
-                start = start[(start >= 0) & (start <= len(h) - WINDOW)]
-                lo = start[0] if len(start) else 0
-                value = windows(h[lo:(start[-1] + WINDOW) if len(start) else 0], WINDOW)[start - lo] if len(start) else gram[:0]
+                start, value = _extended(h, self.prints)
             else:
                 start = np.arange(len(h) - n + 1)
                 value = _short(h, n)
@@ -99,10 +94,28 @@ class Index:
             np.add.at(cover, start[ok], 1)
             np.add.at(cover, start[ok] + n, -1)
             for k in np.unique(np.searchsorted(keys, value[ok])):
-                items.update(owners[k])
+                items.update(self.names[o] for o in owner[first[k]:first[k + 1]])
         return np.cumsum(cover[:-1]) > 0, items
 
 
+def _item_windows(h: np.ndarray) -> np.ndarray:
+    """Hashes of an item's windows: of all runs of WINDOW words, or of the whole of a shorter item."""
+    return windows(h, WINDOW) if len(h) >= WINDOW else np.array([whole(h)], np.uint64)
+
+
+def _extended(h: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of every window of a document that contains one of its fingerprints that is in ``prints`` (sorted)."""
+    gram = windows(h, GRAM)
+    at = winnow(gram)
+    at = at[_inside(prints, gram[at])]
+    start = np.unique((at[:, None] - np.arange(WINDOW - GRAM + 1)).ravel())
+    start = start[(start >= 0) & (start <= len(h) - WINDOW)]
+    if not len(start):
+        return start, gram[:0]
+    lo = start[0]
+    return start, windows(h[lo:start[-1] + WINDOW], WINDOW)[start - lo]
+
+
 def _short(h: np.ndarray, n: int) -> np.ndarray:
     """``whole`` of every ``n`` consecutive words."""
     return mix(windows(h, n) + np.uint64(n))
@@ -123,7 +136,13 @@ def _bytes(col: pd.Series) -> list[bytes]:
 
 
 def _items(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return bench.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
+    return bench.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).filter("item IS NOT NULL AND text RLIKE '[0-9A-Za-z]|[^\\\\x00-\\\\x7F]'")
+
+
+def _bounded(items: DataFrame, limit: int) -> bool:
+    """Whether the items, with their ids and some bytes for each row, have at most ``limit`` bytes."""
+    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item") + F.lit(64)).alias("n")).first()["n"]
+    return (size or 0) <= limit
 
 
 def hit_column(bench_items: list[tuple[str, bytes]], text):
@@ -145,57 +164,92 @@ def hit_column(bench_items: list[tuple[str, bytes]], text):
     return F.pandas_udf(run, _HIT).asNondeterministic()(text)
 
 
-def _prints_of(batches):
-    """(key, text) -> fingerprints of a document and its short windows' hashes, tagged by length."""
-    for pdf in batches:
-        for key, h in zip(pdf["key"], _documents(_bytes(pdf["text"]))):
-            gram = windows(h, GRAM)
-            yield pd.DataFrame({"key": key, "n": WINDOW, "fp": np.unique(gram[winnow(gram)]).view(np.int64)})
-            for n in range(1, min(len(h), WINDOW - 1) + 1):
-                yield pd.DataFrame({"key": key, "n": n, "fp": np.unique(_short(h, n)).view(np.int64)})
+def _rows(parts: list[tuple], names: list[str]) -> pd.DataFrame:
+    """One frame from tuples of a key and equally long arrays."""
+    sizes = np.array([len(p[1]) for p in parts], np.int64)
+    out = {names[0]: np.repeat(np.array([p[0] for p in parts], object), sizes)}
+    for k, name in enumerate(names[1:], 1):
+        out[name] = np.concatenate([p[k] for p in parts]) if parts else np.empty(0, np.int64)
+    return pd.DataFrame(out)
+
+
+def _prints_of(lengths: list[int]):
+    """(key, text) -> a document's fingerprints (``n`` is WINDOW) and its windows of the lengths that short items have."""
+    def run(batches):
+        for pdf in batches:
+            parts = []
+            for key, h in zip(pdf["key"], _documents(_bytes(pdf["text"]))):
+                gram = windows(h, GRAM)
+                found = [(WINDOW, gram[winnow(gram)])] + [(n, _short(h, n)) for n in lengths if n <= len(h)]
+                for n, v in found:
+                    v = np.unique(v).view(np.int64)
+                    parts.append((key, np.full(len(v), n), v))
+            yield _rows(parts, ["key", "n", "fp"])
+    return run
 
 
 def _item_prints(batches):
     for pdf in batches:
-        for item, h in zip(pdf["item"], _documents(_bytes(pdf["text"]))):
+        parts = []
+        for h in _documents(_bytes(pdf["text"])):
             if len(h) >= WINDOW:
                 gram = windows(h, GRAM)
-                yield pd.DataFrame({"item": item, "n": WINDOW, "fp": np.unique(gram[winnow(gram)]).view(np.int64)})
+                v = np.unique(gram[winnow(gram)]).view(np.int64)
+                parts.append((WINDOW, v))
             elif len(h):
-                yield pd.DataFrame({"item": item, "n": len(h), "fp": np.array([whole(h)]).view(np.int64)})
+                parts.append((len(h), _item_windows(h).view(np.int64)))
+        yield _rows(parts, ["n", "fp"])
 
 
-def _compare(batches):
-    """(key, text, item, item_text) -> the hit word ranges of that pair."""
+def _windows_of_items(batches):
     for pdf in batches:
-        out = []
-        for key, h, item, text in zip(pdf["key"], _documents(_bytes(pdf["text"])), pdf["item"], pdf["item_text"]):
-            mask, items = Index([(item, text.encode())]).hits(h) if len(h) else (np.zeros(0, bool), set())
-            if items:
-                out.append((key, item, np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).tolist()))
-        yield pd.DataFrame(out, columns=["key", "item", "ranges"])
+        parts = []
+        for item, h in zip(pdf["item"], _documents(_bytes(pdf["text"]))):
+            if len(h):
+                v = np.unique(_item_windows(h)).view(np.int64)
+                parts.append((item, np.full(len(v), min(len(h), WINDOW)), v))
+        yield _rows(parts, ["item", "n", "w"])
+
+
+def _windows_at(batches):
+    """(key, text, shared) -> the windows of a document that contain a shared fingerprint or are a shared short window."""
+    for pdf in batches:
+        parts = []
+        for key, h, ns, fps in zip(pdf["key"], _documents(_bytes(pdf["text"])), pdf["ns"], pdf["fps"]):
+            ns, fps = np.asarray(ns), np.asarray(fps, np.int64).view(np.uint64)
+            for n in np.unique(ns).tolist():
+                mine = np.sort(fps[ns == n])
+                if n == WINDOW:
+                    start, value = _extended(h, mine)
+                else:
+                    value = _short(h, n)
+                    start = np.flatnonzero(_inside(mine, value))
+                    value = value[start]
+                parts.append((key, np.full(len(start), n), start, value.view(np.int64)))
+        yield _rows(parts, ["key", "n", "start", "w"])
 
 
 def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(key, n_hit, items) of contaminated documents ``docs(key, text)`` by shuffle joins."""
-    prints = docs.mapInPandas(_prints_of, "key string, n int, fp long")
-    marks = items.mapInPandas(_item_prints, "item string, n int, fp long").distinct()
-    pairs = shared_table(prints.join(marks, ["n", "fp"]).select("key", "item").distinct(), "hits")
-    once = docs.dropDuplicates(["key"])
-    both = pairs.join(items.withColumnRenamed("text", "item_text"), "item").join(once, "key")
-    hit = both.mapInPandas(_compare, "key string, item string, ranges array<int>")
-
-    @F.pandas_udf(T.LongType())
-    def union(col: pd.Series) -> pd.Series:
-        def total(lists):
-            end, n = -1, 0
-            for s, e in sorted((x[k], x[k + 1]) for x in lists for k in range(0, len(x), 2)):
-                n += max(0, e - max(s, end))
-                end = max(end, e)
-            return n
-        return col.map(total)
-
-    return hit.groupBy("key").agg(union(F.collect_list("ranges")).alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items"))
+    """(key, n_hit, items) of contaminated documents ``docs(key, text)`` by shuffle joins.
+
+    The item side of the first two joins has one row for each value, so no value multiplies rows however many
+    documents or items hold it."""
+    marks = shared_table(items.select("text").mapInPandas(_item_prints, "n int, fp long").distinct(), "marks")
+    lengths = sorted(r["n"] for r in marks.filter(F.col("n") < WINDOW).select("n").distinct().collect())  # under WINDOW values
+    shared = docs.mapInPandas(_prints_of(lengths), "key string, n int, fp long").join(marks, ["n", "fp"], "left_semi").distinct()
+    # of one text: not more than its words for each length
+    shared = shared_table(shared.groupBy("key").agg(F.collect_list(F.struct("n", "fp")).alias("s")).select("key", F.col("s.n").alias("ns"), F.col("s.fp").alias("fps")), "shared")
+    once = docs.join(shared.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    owned = items.mapInPandas(_windows_of_items, "item string, n int, w long").distinct()
+    at = once.join(shared, "key").mapInPandas(_windows_at, "key string, n int, start int, w long")
+    hit = shared_table(at.join(owned.select("n", "w").distinct(), ["n", "w"], "left_semi"), "hits")
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+    covered = F.aggregate("ranges", zero, lambda a, x: F.struct(
+        F.greatest(a["end"], x["start"] + x["n"]).alias("end"),
+        (a["n"] + F.greatest(F.lit(0), x["start"] + x["n"] - F.greatest(x["start"], a["end"]))).alias("n")), lambda a: a["n"])
+    words_hit = hit.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "n"))).alias("ranges")).select("key", covered.alias("n_hit"))
+    named = hit.select("key", "n", "w").distinct().join(owned, ["n", "w"]).groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return words_hit.join(named, "key")
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -203,7 +257,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     """``doc_id, n_words, n_hit, items, contaminated`` for every row of ``docs``."""
     items = _items(bench, item_col, item_text_col)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    if text_bytes(items)[1] <= broadcast_bytes:
+    if _bounded(items, broadcast_bytes):
         rows = [(r["item"], r["text"].encode()) for r in items.collect()]  # its size has just been checked
         out = d.select("doc_id", hit_column(rows, F.col("text")).alias("h")).select("doc_id", "h.*")
     else:
@@ -227,7 +281,7 @@ def keep_clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
                item_text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that no benchmark item contaminates."""
     items = _items(bench, item_col, item_text_col)
-    if text_bytes(items)[1] <= broadcast_bytes:
+    if _bounded(items, broadcast_bytes):
         rows = [(r["item"], r["text"].encode()) for r in items.collect()]  # its size has just been checked
         hit = _fresh(docs, "hit")
         return docs.withColumn(hit, hit_column(rows, F.col(text_col).cast("string"))).filter(F.col(f"{hit}.n_hit") == 0).drop(hit)

@@ -1,6 +1,9 @@
 import hashlib
 import random
 import re
+import time
+
+import numpy as np
 
 from chainfeatures.llm import decontam as D
 from chainfeatures.llm import pii as P
@@ -70,6 +73,31 @@ def test_winnowing_keeps_a_shared_fingerprint():
         assert set(g[D.winnow(g)]) & set(o[D.winnow(o)])
 
 
+def test_a_phrase_that_all_share_meets_by_value(spark):
+    """Both paths agree where every document and every item hold one phrase, and short items of several lengths repeat."""
+    phrase = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(i, f"lead d{i} {phrase} tail {i} red fox {'blue ' * (i % 3)}") for i in range(60)], "doc_id long, text string")
+    bench = spark.createDataFrame([(f"i{k}", f"intro {k} {phrase} outro {k}") for k in range(40)] + [("s1", "Red fox"), ("s2", "blue blue"), ("s3", "fox"), ("s3", "tail 7"),
+                                  ("none", " -- "), (None, phrase)], "item_id string, text string")
+    wide, joined = run(docs, bench, 1 << 20), run(docs, bench, 0)
+    assert wide == joined and len(joined) == 60
+    by_id = {r[0]: r for r in joined}
+    assert by_id[7][3] == sorted([f"i{k}" for k in range(40)] + ["s1", "s3"]) and by_id[7][2] == 11 + 2 + 2
+    assert by_id[8][2] == 11 + 2 + 2 and "s2" in by_id[8][3]
+
+
+def test_index_of_a_large_benchmark_is_built_at_once():
+    rng = np.random.default_rng(5)
+    items = [(f"i{k}", " ".join(map(str, rng.integers(0, 50_000, 120))).encode()) for k in range(6000)]
+    t = time.time()
+    index = D.Index(items)
+    assert time.time() - t < 4
+    h, _, _ = D.words(items[17][1], D.ALPHANUMERIC)
+    mask, found = index.hits(h)
+    assert mask.all() and found == {"i17"}
+
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
