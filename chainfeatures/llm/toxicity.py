@@ -1,7 +1,7 @@
 """Toxicity: Levenshtein automata over a lexicon trie, with context windows.
 
-The lexicon is learned from labelled documents: words, and stems of at least four
-bytes that many different words begin with, which occur in toxic documents far
+The lexicon is learned from labelled documents: words of two letters or more, and stems of at least four
+letters that many different words begin with, which occur in toxic documents far
 more than in others (log-likelihood ratio; later rounds look at the toxic documents that
 have no term yet).  One deterministic automaton is the intersection of the lexicon trie with
 the Levenshtein automata of distance 1: its states are sets of (trie node, edits).  It
@@ -17,7 +17,8 @@ these are the features of a logistic regression.
 
 Defined cases: a null or empty text has no hits and gets the base score; a null id is not held
 out and never learned from; without labels of both kinds the lexicon is empty and all scores are
-low; repeated rows get equal scores; an empty table gives an empty result.
+low; repeated rows get equal scores; very long texts are read whole, block by block; an empty table gives an empty
+result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -32,17 +33,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, shared_table
 from .learn import labelled_sample, logistic, sigmoid
 from .words import ALPHANUMERIC, blocks, words
 
 STEMS = range(4, 11)
-MAX_TERMS = 400
 #: Share of the best term's likelihood ratio that a term of the same round must reach.
 STRONG = 0.2
-MAX_CANDIDATES = 200_000
 #: Closed words from this number of characters on, and stems from the second, also match at distance 1.
 FUZZY_WORD, FUZZY_STEM = 5, 7
+#: Longer terms match exactly.
+FUZZY_MOST = 24
 WINDOW_BYTES = 120
 MODULUS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 
@@ -89,7 +90,7 @@ class Automaton:
                     child.append({})
                 node = child[node][c]
             (opened if stem else closed)[node] = k
-            fuzzy[k] = len(term) >= (FUZZY_STEM if stem else FUZZY_WORD)
+            fuzzy[k] = (FUZZY_STEM if stem else FUZZY_WORD) <= len(term) <= FUZZY_MOST
         # nodes that lead to a term which may be misspelt
         soft = [False] * len(child)
         for node in range(len(child) - 1, -1, -1):
@@ -245,7 +246,7 @@ def _candidates(text: str) -> set[str]:
     """Every possible term of a text: closed words (marked ``$``) and stems."""
     out = set()
     for w in set(re.findall(r"[^\W_]+", fold(text))):
-        if 4 <= len(w.encode()) <= 24:
+        if len(w) > 1:
             out.add(w + "$")
         out.update(w[:k] for k in STEMS if len(w) > k)
     return out
@@ -259,7 +260,7 @@ def _count_candidates(only: set[str] | None):
             for t in pdf["text"]:
                 found = _candidates(t)
                 c.update(found if only is None else found & only)
-        yield pd.DataFrame({"candidate": list(c), "n": list(c.values())}).astype({"n": "int64"})
+        yield pd.DataFrame({"candidate": list(c), "n": list(c.values())}).astype({"candidate": object, "n": "int64"})  # also of no rows
     return run
 
 
@@ -272,16 +273,22 @@ def _llr(k1, n1, k0, n0):
     return np.where(p1 > p0, g, 0.0)
 
 
-def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, rounds: int = 6) -> list[tuple[bytes, bool]]:
-    """[(term, whether it is a stem)] from (text, label)."""
+def learn_lexicon(sample: DataFrame) -> list[tuple[bytes, bool]]:
+    """[(term, whether it is a stem)] from (text, label).  Closed words of two letters or more and stems come into question; rounds
+    go on until no term is new, each without the documents that earlier terms explain."""
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
         return []
     lexicon: list[tuple[bytes, bool]] = []
     left, n1 = sample.filter("label = 1"), n[1]
-    for turn in range(rounds):
-        seen = (left.select("text").mapInPandas(_count_candidates(None), "candidate string, n long").groupBy("candidate").agg(F.sum("n").alias("n"))
-                .filter(F.col("n") >= 3).orderBy(F.desc("n"), "candidate").limit(MAX_CANDIDATES).toPandas())
+    while True:
+        seen = shared_table(left.select("text").mapInPandas(_count_candidates(None), "candidate string, n long").groupBy("candidate").agg(F.sum("n").alias("n"))
+                            .filter(F.col("n") >= 3), "candidates")
+        tried = seen.count()
+        # what is too rare to pass even if no other document had it needs no counting there
+        size = np.arange(3, n1 + 1)
+        size = size[_llr(size.astype(float), n1, np.zeros(len(size)), n[0]) >= 2 * np.log(max(tried, 1))]
+        seen = seen.filter(F.col("n") >= int(size[0]) if len(size) else F.lit(False)).toPandas()
         if not len(seen):
             break
         other = (sample.filter("label = 0").select("text").mapInPandas(_count_candidates(set(seen["candidate"])), "candidate string, n long")
@@ -291,12 +298,10 @@ def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS, rounds: int = 6
         # most terms of a corpus are rare and harmless: ask for more than chance among all that were tried
         # ask also for a good part of the best term's evidence: what only a few copied documents share comes into
         # question in a later round, when documents that a stronger term explains are out of the count
-        ok = (g >= np.maximum(2 * np.log(len(t)), STRONG * g.max())) & (t["n"].to_numpy() / n1 >= 20 * t["k0"].to_numpy() / n[0])
+        ok = (g >= np.maximum(2 * np.log(tried), STRONG * g.max())) & (t["n"].to_numpy() / n1 >= 20 * t["k0"].to_numpy() / n[0])
         t = t.assign(g=g)[ok].assign(size=lambda x: x["candidate"].str.len()).sort_values(["g", "size", "candidate"], ascending=[False, False, True])
         fresh = 0
         for cand in t["candidate"]:
-            if len(lexicon) >= max_terms:
-                break
             stem, body = not cand.endswith("$"), cand.removesuffix("$").encode()
             if any((body.startswith(b) if s else body == b) or (stem and b.startswith(body)) for b, s in lexicon):
                 continue
@@ -353,7 +358,7 @@ def fit(sample: DataFrame) -> Model:
     if not lexicon:
         return Model([], none, zero, zero + 1, np.append(zero, -3.0))
     near = sample.mapInPandas(_near_misses(lexicon), "word string, label int, n long").groupBy("word").agg(
-        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("clean")).filter("clean >= 2").select("word").limit(MAX_CANDIDATES).collect()
+        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("clean")).filter("clean >= 2").select("word").collect()  # words of the sample next to a term
     exempt = _hashes([r["word"] for r in near])
     exempt.sort()
     rows = sample.mapInPandas(_feature_rows(lexicon, exempt), "x array<double>, label int").toPandas()  # at most MAX_TRAIN rows

@@ -169,3 +169,18 @@ def test_logistic_finds_the_optimum():
     loss = lambda v: -np.sum(y * np.log(learn.sigmoid(x @ v[:2] + v[2])) + (1 - y) * np.log(1 - learn.sigmoid(x @ v[:2] + v[2]))) + 0.05 * (v[:2] ** 2).sum() + 5e-4 * v[2] ** 2
     for d in itertools.product((-1e-3, 0, 1e-3), repeat=3):
         assert loss(w) <= loss(w + np.array(d)) + 1e-9
+
+
+def test_lexicon_takes_short_and_long_words_and_any_number(spark):
+    """Two-letter terms (exact only), terms of 40 letters, and more terms than one round or six find."""
+    long_word = "grob" * 10
+    terms = ["zq", long_word] + [f"vile{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(30)]
+    toxic = [(f"some words {t} here {i}", 1) for t in terms for i in range(30)]
+    clean = [(f"some words are here {i} zx zqa {long_word[:-1]}", 0) for i in range(3000)]
+    lexicon = T.learn_lexicon(spark.createDataFrame(toxic + clean, "text string, label int"))
+    exact = {b.decode() for b, s in lexicon if not s}
+    stems = [b.decode() for b, s in lexicon if s]
+    assert {"zq", long_word} <= exact and all(t in exact or any(t.startswith(s) for s in stems) for t in terms)
+    auto = T.Automaton(lexicon)
+    found = [bool(f) for _, _, f in T.hits([t.encode() for t in ("a zq b", "a zx b", "zqa", long_word, long_word[:-1])], auto, np.empty(0, np.uint64))]
+    assert found == [True, False, False, True, False]
