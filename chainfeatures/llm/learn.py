@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents, and logistic regression on them."""
+"""Labelled ids, bounded samples of labelled documents, and logistic regression on them."""
 
 from __future__ import annotations
 
@@ -12,15 +12,19 @@ from .common import crc_mod, shared_table
 MAX_TRAIN = 8000
 
 
+def labelled_ids(labels: DataFrame, label_col: str, modulus: int, held_out: int, id_col: str = "doc_id") -> DataFrame:
+    """(__id, label) of all labelled ids that are not held out, each once."""
+    return (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label"))
+            .filter(F.col("__id").isNotNull() & F.col("label").isin(0, 1) & (crc_mod("__id", modulus) != held_out))
+            .groupBy("__id").agg(F.max("label").alias("label")))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, modulus: int, held_out: int,
                     id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> DataFrame:
     """(text, label) of at most ``max_train`` labelled ids that are not held out.
 
     Only the ids and labels of the sample are broadcast: ``max_train`` rows."""
-    ids = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label"))
-           .filter(F.col("__id").isNotNull() & F.col("label").isin(0, 1) & (crc_mod("__id", modulus) != held_out))
-           .groupBy("__id").agg(F.max("label").alias("label"))
-           .orderBy(F.xxhash64("__id"), "__id").limit(max_train))
+    ids = labelled_ids(labels, label_col, modulus, held_out, id_col).orderBy(F.xxhash64("__id"), "__id").limit(max_train)
     ids = shared_table(ids, "train-ids")
     d = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return shared_table(d.join(F.broadcast(ids), "__id").dropDuplicates(["__id"]).select("text", "label"), "train")
